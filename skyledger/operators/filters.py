@@ -84,9 +84,11 @@ def message_value(flights: DataFrame) -> DataFrame:
 
 
 def audit(flights: DataFrame) -> DataFrame:
-    """One row: how many rows are clean and how many there are."""
+    """One row: clean rows, rows whose flags could not be read, and all rows."""
+    unknown = F.col("cancelled").isNull() | F.col("diverted").isNull()
     return flights.agg(
         F.count_if(_is_clean()).alias("good_lines"),
+        F.count_if(unknown).alias("unknown_lines"),
         F.count(F.lit(1)).alias("all_lines"),
     )
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import arrival_minutes_or_zero, flight_label, hhmm_text
 from skyledger.operators.filters import on_dates, with_values
+from skyledger.schema import TRIPS
 
 NOON = 1200
 STOPOVER_DAYS = 2
@@ -52,15 +53,23 @@ def best_leg_flights(flights: DataFrame) -> DataFrame:
     of a struct is combined on the map side, so a route-date with very many flights reaches
     the shuffle as one row per task.
     """
+    return best_of_best(legs(flights))
+
+
+def best_of_best(candidates: DataFrame) -> DataFrame:
+    """The best of legs that may themselves be the best of earlier parts."""
     # ``half`` travels inside the struct too: a filter on that copy stays above the
     # aggregate, so the two sides of the trip join share one scan and one shuffle.
     best = F.min(F.struct(*LEG_FLIGHT, "half")).alias("best")
-    return legs(flights).groupBy(*LEG_KEY, "half").agg(best).select(*LEG_KEY, "best.*")
+    return candidates.groupBy(*LEG_KEY, "half").agg(best).select(*LEG_KEY, "best.*")
 
 
 def best_trips(flights: DataFrame) -> DataFrame:
     """Trips made of the best flight of each leg."""
-    best = best_leg_flights(flights)
+    return trips_of_best(best_leg_flights(flights))
+
+
+def trips_of_best(best: DataFrame) -> DataFrame:
     return join_legs(best.filter(F.col("half") == FIRST), best.filter(F.col("half") == SECOND))
 
 
@@ -91,12 +100,14 @@ def all_trips(flights: DataFrame) -> DataFrame:
 
 
 def join_legs(
-    first: DataFrame, second: DataFrame, copies: bool = False, salts: int = 1
+    first: DataFrame, second: DataFrame, copies: bool = False, salts: int = 1,
+    meeting_time: bool = False,
 ) -> DataFrame:
     """Equi-join of first legs with second legs on stopover airport and date.
 
     ``salts`` spreads each key over that many tasks: the first legs are dealt out by hash and
     the second legs repeated.  It is meant for streams, where AQE cannot split a heavy key.
+    ``meeting_time`` adds the watermarked ``meeting`` column of both sides to the key.
     """
     xy = first.select(
         F.col("origin"),
@@ -108,6 +119,7 @@ def join_legs(
         F.col("flight").alias("xyflight"),
         F.col("delay").alias("xydelay"),
         *([F.col("n").alias("xycopies")] if copies else []),
+        *(["meeting"] if meeting_time else []),
     )
     yz = second.select(
         F.col("origin").alias("stopby"),
@@ -118,8 +130,11 @@ def join_legs(
         F.col("flight").alias("yzflight"),
         F.col("delay").alias("yzdelay"),
         *([F.col("n").alias("yzcopies")] if copies else []),
+        *(["meeting"] if meeting_time else []),
     )
     on = ["stopby", "yzdate"]
+    if meeting_time:
+        on.append("meeting")
     if salts > 1:
         dealt = F.pmod(F.xxhash64("origin", "date", "xyflight", "xydeptime"), F.lit(salts))
         xy = xy.withColumn("salt", dealt.cast("int"))
@@ -127,10 +142,4 @@ def join_legs(
         on.append("salt")
     joined = xy.join(yz, on)
     extra = [(F.col("xycopies") * F.col("yzcopies")).alias("copies")] if copies else []
-    return joined.select(*TRIP_COLUMNS, *extra)
-
-
-TRIP_COLUMNS = (
-    "origin", "destination", "stopby", "date", "xydeptime", "xyarrtime", "xyflight", "xydelay",
-    "yzdate", "yzdeptime", "yzarrtime", "yzflight", "yzdelay",
-)
+    return joined.select(*TRIPS.fields, *extra)

@@ -52,11 +52,9 @@ def _popularity(counts: DataFrame) -> DataFrame:
     return ranking.full_rank(counts, "flights", "airport")
 
 
-def _defaulted_tails(rows: DataFrame) -> DataFrame:
-    missing = rows.filter(F.col("tail_num").isNull())
-    return filters.default_tail(missing).select(
-        "flight_date", "flight_num", "tail_num", "carrier", "origin", "dest"
-    )
+def _flights_by_tail(rows: DataFrame) -> DataFrame:
+    tails = filters.default_tail(rows).groupBy("tail_num")
+    return tails.agg(F.count(F.lit(1)).alias("flights"))
 
 
 def _word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +65,7 @@ QUERIES: dict[str, Query] = {
     "clean_flights": _over(_clean, filters.layout14),
     "not_cancelled_flights": _over(_flown, filters.layout14),
     "extract13": _over(_clean, filters.layout13),
-    "tail_default": _over(flights, _defaulted_tails),
+    "tail_default": _over(_clean, _flights_by_tail),
     "extract_audit": _over(flights, filters.audit),
     "flights_on_dates": _over(
         _clean, lambda rows: filters.on_dates(rows, DATES), filters.layout14

@@ -152,9 +152,10 @@ _FLIGHT_QUERIES = {
     "clean_flights": f"SELECT {_COLUMNS14} FROM clean",
     "not_cancelled_flights": f"SELECT {_COLUMNS14} FROM flown",
     "extract13": f"SELECT {_COLUMNS13} FROM clean",
-    "tail_default": """SELECT flight_date, flight_num, flight_num AS tail_num, carrier, origin, dest
-        FROM flights WHERE tail_num IS NULL""",
+    "tail_default": """SELECT coalesce(tail_num, flight_num) AS tail_num, count(*) AS flights
+        FROM clean GROUP BY ALL""",
     "extract_audit": """SELECT count(*) FILTER (WHERE cancelled = 0 AND diverted = 0) AS good_lines,
+        count(*) FILTER (WHERE cancelled IS NULL OR diverted IS NULL) AS unknown_lines,
         count(*) AS all_lines FROM flights""",
     "flights_by_year": """SELECT CAST(year(flight_date) AS INTEGER) AS year, count(*) AS flights
         FROM clean GROUP BY ALL""",

@@ -1,5 +1,5 @@
 """All named queries."""
 
-from skyledger.plans import batch
+from skyledger.plans import batch, serving, streams
 
-QUERIES = {**batch.QUERIES}
+QUERIES = {**batch.QUERIES, **serving.QUERIES, **streams.QUERIES}
