@@ -37,8 +37,13 @@ def in_years(table: DataFrame, years: Iterable[int]) -> DataFrame:
 
 
 def with_values(rows: DataFrame, *columns: str) -> DataFrame:
-    """Rows in which every listed column has a value."""
-    return rows.dropna(subset=list(columns))
+    """Rows in which every listed column has a value.
+
+    One ``IS NOT NULL`` per column, unlike ``dropna``, can be pushed into the file scan.
+    """
+    for column in columns:
+        rows = rows.filter(F.col(column).isNotNull())
+    return rows
 
 
 def default_tail(flights: DataFrame) -> DataFrame:

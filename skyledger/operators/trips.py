@@ -58,19 +58,21 @@ def best_leg_flights(flights: DataFrame) -> DataFrame:
 
 def best_of_best(candidates: DataFrame) -> DataFrame:
     """The best of legs that may themselves be the best of earlier parts."""
-    # ``half`` travels inside the struct too: a filter on that copy stays above the
-    # aggregate, so the two sides of the trip join share one scan and one shuffle.
-    best = F.min(F.struct(*LEG_FLIGHT, "half")).alias("best")
-    return candidates.groupBy(*LEG_KEY, "half").agg(best).select(*LEG_KEY, "best.*")
+    # The date and half-day travel inside the struct too: conditions on those copies stay
+    # above the aggregate, so the two sides of the trip join share one scan and one shuffle.
+    best = F.min(F.struct(*LEG_FLIGHT, "flight_date", "half")).alias("best")
+    return candidates.groupBy(*LEG_KEY, "half").agg(best).select("origin", "dest", "best.*")
 
 
 def best_trips(flights: DataFrame) -> DataFrame:
     """Trips made of the best flight of each leg."""
-    return trips_of_best(best_leg_flights(flights))
+    return trips_of(best_leg_flights(flights))
 
 
-def trips_of_best(best: DataFrame) -> DataFrame:
-    return join_legs(best.filter(F.col("half") == FIRST), best.filter(F.col("half") == SECOND))
+def trips_of(sides: DataFrame, copies: bool = False) -> DataFrame:
+    """Join the first legs among the rows with the second legs among them."""
+    half = F.col("half")
+    return join_legs(sides.filter(half == FIRST), sides.filter(half == SECOND), copies)
 
 
 def best_trips_on(flights: DataFrame, dates: Iterable[dt.date | str]) -> DataFrame:
@@ -93,10 +95,16 @@ def all_trips(flights: DataFrame) -> DataFrame:
     counted before the join, so a hot group of copies does not multiply its rows; AQE splits
     the (airport, date) keys that are still heavy.
     """
-    counted = (*LEG_KEY, *LEG_FLIGHT)
-    first = first_legs(flights).groupBy(*counted).agg(F.count(F.lit(1)).alias("n"))
-    second = second_legs(flights).groupBy(*counted).agg(F.count(F.lit(1)).alias("n"))
-    return join_legs(first, second, copies=True)
+    counted = legs(flights).groupBy(*LEG_KEY, *LEG_FLIGHT, "half").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max("flight_date").alias("day"),
+        F.max("half").alias("side"),
+    )
+    # As above, conditions on the aggregated copies let both sides share one shuffle.
+    sides = counted.drop("flight_date", "half").withColumnsRenamed(
+        {"day": "flight_date", "side": "half"}
+    )
+    return trips_of(sides, copies=True)
 
 
 def join_legs(

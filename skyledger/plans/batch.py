@@ -1,8 +1,9 @@
-"""Batch queries: each is a flight view, a filter, a metric and, where asked for, a ranking."""
+"""Batch reports on flights, and the named queries that run them on the test tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,116 +13,123 @@ from skyledger.plans.parameters import DATES, TRIP_DATES
 from skyledger.sources.driver_tables import flights, table
 
 Query = Callable[[SparkSession, str], DataFrame]
+Report = Callable[..., DataFrame]
 
 
-def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filters.clean(flights(spark, sf_dir))
+def _ranking(metric: Report, rank: Report, *order: str) -> Report:
+    """A metric cut down to its first ``n`` rows, or to the first ``n`` of every origin."""
 
+    def report(flights: DataFrame, n: int = ranking.DEFAULT_N) -> DataFrame:
+        return rank(metric(flights), *order, n=n)
 
-def _flown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filters.not_cancelled(flights(spark, sf_dir))
+    return report
 
 
-def _over(view: Query, *steps: Callable[[DataFrame], DataFrame]) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = view(spark, sf_dir)
-        for step in steps:
-            rows = step(rows)
-        return rows
+def _popularity(flights: DataFrame) -> DataFrame:
+    return ranking.full_rank(metrics.airport_counts(flights), "flights", "airport")
 
-    return query
 
-
-def _largest(value: str, code: str):
-    return lambda metric: ranking.largest(metric, value, code)
+def _flights_by_tail(flights: DataFrame) -> DataFrame:
+    tails = filters.default_tail(flights).groupBy("tail_num")
+    return tails.agg(F.count(F.lit(1)).alias("flights"))
 
 
-def _smallest(value: str, code: str):
-    return lambda metric: ranking.smallest(metric, value, code)
+_BY_ORIGIN = "origin"
+
+# Reports on flown flights; the rankings take ``n``.
+METRICS: dict[str, Report] = {
+    "airport_counts": metrics.airport_counts,
+    "airport_popularity": _popularity,
+    "carrier_mean_delay": metrics.carrier_mean_delay,
+    "carrier_total_delay": metrics.carrier_total_delay,
+    "carrier_ontime_pct": metrics.carrier_ontime,
+    "airport_carrier_ontime_pct": metrics.airport_carrier_ontime,
+    "airport_dest_ontime_pct": metrics.airport_dest_ontime,
+    "airport_carrier_mean_delay": metrics.airport_carrier_mean_delay,
+    "airport_dest_mean_delay": metrics.airport_dest_mean_delay,
+    "airport_carrier_total_delay": metrics.airport_carrier_total_delay,
+    "airport_dest_total_delay": metrics.airport_dest_total_delay,
+    "route_mean_delay": metrics.route_mean_delay,
+    "route_mean_signed_delay": metrics.route_mean_signed_delay,
+    "tail_default": _flights_by_tail,
+    "trip_first_legs": trips.first_legs,
+    "trip_second_legs": trips.second_legs,
+    "best_leg_flights": trips.best_leg_flights,
+    "best_trips": trips.best_trips,
+    "all_trips": trips.all_trips,
+}
 
+RANKINGS: dict[str, Report] = {
+    "top_airports": _ranking(metrics.airport_counts, ranking.largest, "flights", "airport"),
+    "top_carriers_mean_delay": _ranking(
+        metrics.carrier_mean_delay, ranking.smallest, "mean_delay", "carrier"
+    ),
+    "top_carriers_total_delay": _ranking(
+        metrics.carrier_total_delay, ranking.smallest, "total_delay", "carrier"
+    ),
+    "top_carriers_ontime": _ranking(
+        metrics.carrier_ontime, ranking.largest, "ontime_pct", "carrier"
+    ),
+    "top_carriers_by_airport_delay": _ranking(
+        metrics.airport_carrier_mean_delay, ranking.smallest_per_group,
+        _BY_ORIGIN, "mean_delay", "carrier",
+    ),
+    "top_dests_by_airport_delay": _ranking(
+        metrics.airport_dest_mean_delay, ranking.smallest_per_group,
+        _BY_ORIGIN, "mean_delay", "dest",
+    ),
+    "top_carriers_by_airport_total_delay": _ranking(
+        metrics.airport_carrier_total_delay, ranking.smallest_per_group,
+        _BY_ORIGIN, "total_delay", "carrier",
+    ),
+    "top_dests_by_airport_total_delay": _ranking(
+        metrics.airport_dest_total_delay, ranking.smallest_per_group,
+        _BY_ORIGIN, "total_delay", "dest",
+    ),
+    "top_carriers_by_airport_ontime": _ranking(
+        metrics.airport_carrier_ontime, ranking.largest_per_group,
+        _BY_ORIGIN, "ontime_pct", "carrier",
+    ),
+    "top_dests_by_airport_ontime": _ranking(
+        metrics.airport_dest_ontime, ranking.largest_per_group,
+        _BY_ORIGIN, "ontime_pct", "dest",
+    ),
+}
 
-def _largest_by_origin(value: str, code: str):
-    return lambda metric: ranking.largest_per_group(metric, "origin", value, code)
+REPORTS: dict[str, Report] = {**METRICS, **RANKINGS}
 
 
-def _smallest_by_origin(value: str, code: str):
-    return lambda metric: ranking.smallest_per_group(metric, "origin", value, code)
+def _on_all(report: Report) -> Query:
+    return lambda spark, sf_dir: report(flights(spark, sf_dir))
 
 
-def _popularity(counts: DataFrame) -> DataFrame:
-    return ranking.full_rank(counts, "flights", "airport")
+def _on_clean(report: Report) -> Query:
+    return lambda spark, sf_dir: report(filters.clean(flights(spark, sf_dir)))
 
 
-def _flights_by_tail(rows: DataFrame) -> DataFrame:
-    tails = filters.default_tail(rows).groupBy("tail_num")
-    return tails.agg(F.count(F.lit(1)).alias("flights"))
+def _on_not_cancelled(report: Report) -> Query:
+    return lambda spark, sf_dir: report(filters.not_cancelled(flights(spark, sf_dir)))
 
 
 def _word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.word_counts(table(spark, sf_dir, "documents").select("text"))
+    return metrics.word_counts(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
-    "clean_flights": _over(_clean, filters.layout14),
-    "not_cancelled_flights": _over(_flown, filters.layout14),
-    "extract13": _over(_clean, filters.layout13),
-    "tail_default": _over(_clean, _flights_by_tail),
-    "extract_audit": _over(flights, filters.audit),
-    "flights_on_dates": _over(
-        _clean, lambda rows: filters.on_dates(rows, DATES), filters.layout14
-    ),
-    "airport_counts": _over(_clean, metrics.airport_counts),
-    "top_airports": _over(_clean, metrics.airport_counts, _largest("flights", "airport")),
-    "top_airports_not_cancelled": _over(
-        _flown, metrics.airport_counts, _largest("flights", "airport")
-    ),
-    "airport_popularity": _over(_clean, metrics.airport_counts, _popularity),
-    "airport_popularity_not_cancelled": _over(_flown, metrics.airport_counts, _popularity),
-    "carrier_mean_delay": _over(_clean, metrics.carrier_mean_delay),
-    "carrier_total_delay": _over(_clean, metrics.carrier_total_delay),
-    "carrier_ontime_pct": _over(_clean, metrics.carrier_ontime),
-    "top_carriers_mean_delay": _over(
-        _clean, metrics.carrier_mean_delay, _smallest("mean_delay", "carrier")
-    ),
-    "top_carriers_total_delay": _over(
-        _clean, metrics.carrier_total_delay, _smallest("total_delay", "carrier")
-    ),
-    "top_carriers_ontime": _over(
-        _clean, metrics.carrier_ontime, _largest("ontime_pct", "carrier")
-    ),
-    "airport_carrier_ontime_pct": _over(_clean, metrics.airport_carrier_ontime),
-    "airport_dest_ontime_pct": _over(_clean, metrics.airport_dest_ontime),
-    "airport_carrier_mean_delay": _over(_clean, metrics.airport_carrier_mean_delay),
-    "airport_dest_mean_delay": _over(_clean, metrics.airport_dest_mean_delay),
-    "airport_carrier_total_delay": _over(_clean, metrics.airport_carrier_total_delay),
-    "airport_dest_total_delay": _over(_clean, metrics.airport_dest_total_delay),
-    "airport_dest_total_delay_not_cancelled": _over(_flown, metrics.airport_dest_total_delay),
-    "top_carriers_by_airport_delay": _over(
-        _clean, metrics.airport_carrier_mean_delay, _smallest_by_origin("mean_delay", "carrier")
-    ),
-    "top_dests_by_airport_delay": _over(
-        _clean, metrics.airport_dest_mean_delay, _smallest_by_origin("mean_delay", "dest")
-    ),
-    "top_carriers_by_airport_total_delay": _over(
-        _clean, metrics.airport_carrier_total_delay, _smallest_by_origin("total_delay", "carrier")
-    ),
-    "top_dests_by_airport_total_delay": _over(
-        _clean, metrics.airport_dest_total_delay, _smallest_by_origin("total_delay", "dest")
-    ),
-    "top_carriers_by_airport_ontime": _over(
-        _clean, metrics.airport_carrier_ontime, _largest_by_origin("ontime_pct", "carrier")
-    ),
-    "top_dests_by_airport_ontime": _over(
-        _clean, metrics.airport_dest_ontime, _largest_by_origin("ontime_pct", "dest")
+    "clean_flights": _on_clean(filters.layout14),
+    "not_cancelled_flights": _on_not_cancelled(filters.layout14),
+    "extract13": _on_clean(filters.layout13),
+    "extract_audit": _on_all(filters.audit),
+    "flights_on_dates": _on_clean(
+        lambda rows: filters.layout14(filters.on_dates(rows, DATES))
     ),
-    "route_mean_delay": _over(_clean, metrics.route_mean_delay),
-    "route_mean_signed_delay": _over(_clean, metrics.route_mean_signed_delay),
+    **{name: _on_clean(report) for name, report in REPORTS.items()},
+    # The same reports with diverted flights kept.
+    **{
+        f"{name}_not_cancelled": _on_not_cancelled(REPORTS[name])
+        for name in ("top_airports", "airport_popularity", "airport_dest_total_delay")
+    },
+    "best_trips_on_date": _on_clean(partial(trips.best_trips_on, dates=TRIP_DATES)),
+    "publish_messages": _on_clean(filters.message_value),
     "word_count": _word_count,
-    "trip_first_legs": _over(_clean, trips.first_legs),
-    "trip_second_legs": _over(_clean, trips.second_legs),
-    "best_leg_flights": _over(_clean, trips.best_leg_flights),
-    "best_trips": _over(_clean, trips.best_trips),
-    "all_trips": _over(_clean, trips.all_trips),
-    "best_trips_on_date": _over(_clean, lambda rows: trips.best_trips_on(rows, TRIP_DATES)),
-    "publish_messages": _over(_clean, filters.message_value),
 }

@@ -56,20 +56,20 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lookup_carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
     metric = metrics.airport_carrier_ontime(_clean(spark, sf_dir))
-    rows = tables.carrier_performance(metric, "ontime_pct")
+    rows = tables.as_table(metric, CARRIER_PERFORMANCE)
     table = _result_table(spark, sf_dir, CARRIER_PERFORMANCE, rows)
     return lookup.carriers_of(table, LOOKUP_AIRPORTS)
 
 
 def lookup_destinations(spark: SparkSession, sf_dir: str) -> DataFrame:
     metric = metrics.airport_dest_ontime(_clean(spark, sf_dir))
-    rows = tables.destination_performance(metric, "ontime_pct")
+    rows = tables.as_table(metric, DESTINATION_PERFORMANCE)
     table = _result_table(spark, sf_dir, DESTINATION_PERFORMANCE, rows)
     return lookup.destinations_of(table, LOOKUP_AIRPORTS)
 
 
 def lookup_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = tables.route_delay(metrics.route_mean_delay(_clean(spark, sf_dir)))
+    rows = tables.as_table(metrics.route_mean_delay(_clean(spark, sf_dir)), ROUTE_DELAY)
     table = _result_table(spark, sf_dir, ROUTE_DELAY, rows)
     return lookup.routes(table, LOOKUP_ROUTES)
 

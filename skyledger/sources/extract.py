@@ -21,8 +21,13 @@ def read_extract(spark: SparkSession, path: str | list[str], fields: int = 13) -
 
 def write_extract(flights: DataFrame, path: str, fields: int = 13) -> None:
     """Clean flights as headerless text in the given layout."""
+    write_layout(clean(flights), path, fields)
+
+
+def write_layout(flights: DataFrame, path: str, fields: int = 13) -> None:
+    """The flights as they are, as headerless text in the given layout."""
     _, layout = LAYOUTS[fields]
-    text_fields(layout(clean(flights))).write.mode("overwrite").csv(path, emptyValue="")
+    text_fields(layout(flights)).write.mode("overwrite").csv(path, emptyValue="")
 
 
 def times_as_numbers(records: DataFrame) -> DataFrame:

@@ -41,22 +41,21 @@ def write_text(rows: DataFrame, path: str, sep: str = "\t") -> None:
     rows.write.mode("overwrite").csv(path, sep=sep)
 
 
-# How each metric frame maps to the columns of its result table.
-
-
-def carrier_performance(metric: DataFrame, value: str) -> DataFrame:
-    return metric.select(
-        F.col("origin").alias("airport"), "carrier", F.col(value).alias("departureperf")
-    )
-
-
-def destination_performance(metric: DataFrame, value: str) -> DataFrame:
-    return metric.select(
-        "origin", F.col("dest").alias("destination"), F.col(value).alias("departureperf")
-    )
-
-
-def route_delay(metric: DataFrame) -> DataFrame:
-    return metric.select(
-        "origin", F.col("dest").alias("destination"), F.col("mean_delay").alias("meandelay")
-    )
+# Metric columns and the result columns they become.
+_RENAMED = {
+    "carrier_performance": {
+        "origin": "airport", "ontime_pct": "departureperf", "mean_delay": "departureperf",
+        "total_delay": "departureperf",
+    },
+    "destination_performance": {
+        "dest": "destination", "ontime_pct": "departureperf", "mean_delay": "departureperf",
+        "total_delay": "departureperf",
+    },
+    "route_delay": {"dest": "destination", "mean_delay": "meandelay"},
+}
+
+
+def as_table(metric: DataFrame, table: ResultTable) -> DataFrame:
+    """A metric under the column names of its result table."""
+    renamed = metric.withColumnsRenamed(_RENAMED.get(table.name, {}))
+    return renamed.select(*table.fields)

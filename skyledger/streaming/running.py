@@ -17,7 +17,7 @@ from skyledger.schema import (
     ResultTable,
 )
 from skyledger.session import use_rocksdb_state
-from skyledger.sources import tables
+from skyledger.sources.tables import as_table
 from skyledger.streaming.sinks import SnapshotTable, batch_counts, ranked_report
 
 # How often the rankings and the keyed tables are brought up to date.
@@ -27,15 +27,15 @@ AVAILABLE_NOW = {"availableNow": True}
 
 
 def _carrier_table(flights: DataFrame) -> DataFrame:
-    return tables.carrier_performance(metrics.airport_carrier_ontime(flights), "ontime_pct")
+    return as_table(metrics.airport_carrier_ontime(flights), CARRIER_PERFORMANCE)
 
 
 def _destination_table(flights: DataFrame) -> DataFrame:
-    return tables.destination_performance(metrics.airport_dest_ontime(flights), "ontime_pct")
+    return as_table(metrics.airport_dest_ontime(flights), DESTINATION_PERFORMANCE)
 
 
 def _route_table(flights: DataFrame) -> DataFrame:
-    return tables.route_delay(metrics.route_mean_delay(flights))
+    return as_table(metrics.route_mean_delay(flights), ROUTE_DELAY)
 
 
 # Running metric of each keyed table.

@@ -81,7 +81,7 @@ class BestTripsStore:
         starts, needed = self._months(mine)
         seen = self.spark.read.schema(_LEG_SCHEMA).parquet(self._legs)
         best = trips.best_of_best(seen.filter(F.col("month").isin(needed)).drop("month"))
-        rebuilt = trips.trips_of_best(best).filter(_month("date").isin(starts))
+        rebuilt = trips.trips_of(best).filter(_month("date").isin(starts))
         self._write(rebuilt.select(*TRIPS.fields), "date", self._trips)
 
     def _months(self, legs: str) -> tuple[list[int], list[int]]:
