@@ -19,7 +19,8 @@ NOON = 1200
 STOPOVER_DAYS = 2
 FIRST, SECOND = 1, 2
 
-LEG_KEY = ("origin", "dest", "flight_date")
+# The date comes first: it sorts by a number and tells more rows apart than an airport does.
+LEG_KEY = ("flight_date", "origin", "dest")
 LEG_FLIGHT = ("delay", "flight", "dep_time", "arr_time")
 
 
@@ -140,7 +141,7 @@ def join_legs(
         *([F.col("n").alias("yzcopies")] if copies else []),
         *(["meeting"] if meeting_time else []),
     )
-    on = ["stopby", "yzdate"]
+    on = ["yzdate", "stopby"]
     if meeting_time:
         on.append("meeting")
     if salts > 1:

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 HDFS_BACKED = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+STATE_CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 _LOCAL_ROOTS: dict[str, str] = {}
 
@@ -22,6 +23,7 @@ def build_session(app: str = "skyledger", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config(STATE_STORE, ROCKSDB)
+        .config(STATE_CHANGELOG, "true")
     )
     if master:
         builder = builder.master(master)
@@ -54,6 +56,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 
 def use_rocksdb_state(spark: SparkSession) -> None:
-    """Keep stream state off the heap unless the session already chose its own provider."""
+    """Keep stream state off the heap and write only its changes to the checkpoint.
+
+    A session that already chose its own provider keeps it.
+    """
     if spark.conf.get(STATE_STORE, HDFS_BACKED) == HDFS_BACKED:
         spark.conf.set(STATE_STORE, ROCKSDB)
+        spark.conf.set(STATE_CHANGELOG, "true")

@@ -1,0 +1,205 @@
+"""Streams give the batch answer, across several files, restarts and replays."""
+
+import pytest
+
+from skyledger.operators import filters, metrics, ranking, trips
+from skyledger.schema import CARRIER_PERFORMANCE
+from skyledger.sources import messages
+from skyledger.sources.driver_tables import flights as driver_flights
+from skyledger.sources.tables import as_table
+from skyledger.streaming import running
+from skyledger.streaming.sinks import SnapshotTable
+from skyledger.streaming.trips import (
+    BestTripsStore, all_trips_stream, keep_all_trips, keep_best_trips, read_all_trips,
+)
+from tests.conftest import SMALL
+
+ONE_FILE = {"maxFilesPerTrigger": "1"}
+
+
+@pytest.fixture(scope="module")
+def parts(spark, tmp_path_factory):
+    """The flights of the small tables in four disjoint parts, kept as a table."""
+    path = str(tmp_path_factory.mktemp("flights"))
+    filters.clean(driver_flights(spark, SMALL)).withColumn(
+        "part", filters.F.pmod(filters.F.xxhash64("flight_num", "dep_time"), filters.F.lit(4))
+    ).write.mode("overwrite").parquet(path)
+    flights = spark.read.parquet(path)
+    return flights, [flights.filter(f"part = {i}").drop("part") for i in range(4)]
+
+
+@pytest.fixture
+def topic(spark, tmp_path):
+    path = str(tmp_path / "topic")
+
+    def publish(*flights):
+        for rows in flights:
+            messages.publish(messages.to_messages(rows).coalesce(1), "text", path=path)
+        return messages.parse(messages.read_messages(spark, "text", path=path, **ONE_FILE))
+
+    return publish
+
+
+def _rows(frame):
+    return sorted(map(str, frame.select(*sorted(frame.columns)).collect()))
+
+
+@pytest.mark.parametrize("job", sorted(running.TABLE_JOBS))
+def test_table_equals_batch_before_and_after_restart(spark, tmp_path, parts, topic, job):
+    flights, some = parts
+    table, metric = running.TABLE_JOBS[job]
+    target = SnapshotTable(spark, table, str(tmp_path / "table"))
+
+    def drain(stream):
+        running.keep_table(
+            job, stream, target, str(tmp_path / "checkpoint"), running.AVAILABLE_NOW
+        ).awaitTermination()
+
+    drain(topic(some[0], some[1]))
+    first_half = some[0].unionByName(some[1])
+    assert _rows(target.read()) == _rows(metric(first_half).select(*table.fields))
+    drain(topic(some[2], some[3]))
+    assert _rows(target.read()) == _rows(metric(flights).select(*table.fields))
+
+
+def test_same_message_twice_counts_twice(spark, tmp_path, topic, flight_rows):
+    stream = topic(flight_rows({}), flight_rows({}))
+    table = SnapshotTable(spark, running.TABLE_JOBS["carriers"][0], str(tmp_path / "table"))
+    running.keep_table(
+        "carriers", stream, table, str(tmp_path / "cp"), running.AVAILABLE_NOW
+    ).awaitTermination()
+    assert table.read().first().flights == 2
+
+
+def test_ranking_in_memory_and_as_report(spark, tmp_path, parts, topic):
+    flights, some = parts
+    stream = topic(*some)
+    running.show_top(
+        "top-airports", stream, str(tmp_path / "cp1"), trigger=running.AVAILABLE_NOW,
+        sink="memory", name="top_airports_now",
+    ).awaitTermination()
+    counts = metrics.airport_counts(flights)
+    expected = ranking.largest(counts, "flights", "airport").collect()
+    assert spark.table("top_airports_now").collect() == expected
+    report = str(tmp_path / "report")
+    running.keep_report(
+        "top-airports", stream, report, str(tmp_path / "cp2"), running.AVAILABLE_NOW
+    ).awaitTermination()
+    lines = sorted(r.value for r in spark.read.text(report).collect())
+    assert lines == sorted(f"{r.airport}\t{r.flights}" for r in counts.collect())
+
+
+@pytest.mark.parametrize("max_disorder", [None, "4000 days"])
+def test_all_trips_equal_batch_after_restart(spark, tmp_path, parts, topic, max_disorder):
+    flights, some = parts
+    path = str(tmp_path / "trips")
+
+    def drain(stream):
+        keep_all_trips(
+            stream, path, str(tmp_path / "cp"), running.AVAILABLE_NOW, salts=2,
+            max_disorder=max_disorder,
+        ).awaitTermination()
+
+    drain(topic(some[0], some[1]))
+    drain(topic(some[2], some[3]))
+    assert _rows(read_all_trips(spark, path)) == _rows(trips.all_trips(flights))
+
+
+def test_bounded_disorder_drops_old_legs_from_state(spark, tmp_path, flight_rows, topic):
+    import datetime as dt
+
+    def first(day):
+        return flight_rows({"origin": "X", "dest": "Y", "flight_date": day, "dep_time": 900})
+
+    def second(day):
+        return flight_rows({"origin": "Y", "dest": "Z", "flight_date": day, "dep_time": 1500})
+
+    old, new = dt.date(2007, 1, 1), dt.date(2008, 1, 1)
+    two = dt.timedelta(days=2)
+    steps = [first(old), second(old + two), first(new), second(new + two), second(new + two)]
+    query = (
+        all_trips_stream(topic(*steps), salts=1, max_disorder="33 days")
+        .writeStream.format("parquet").option("path", str(tmp_path / "trips"))
+        .option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert read_all_trips(spark, str(tmp_path / "trips")).selectExpr("sum(copies)").first()[0] == 3
+    removed = sum(
+        state["numRowsRemoved"] for p in query.recentProgress for state in p["stateOperators"]
+    )
+    assert removed >= 2
+
+
+def test_best_trips_equal_batch_and_survive_a_replay(spark, tmp_path, parts, topic):
+    flights, some = parts
+    store = BestTripsStore(spark, str(tmp_path / "best"))
+
+    def drain(stream):
+        keep_best_trips(
+            stream, store, str(tmp_path / "cp"), running.AVAILABLE_NOW
+        ).awaitTermination()
+
+    drain(topic(some[0].unionByName(some[1])))
+    drain(topic(some[2].unionByName(some[3])))
+    expected = _rows(trips.best_trips(flights))
+    assert _rows(store.read()) == expected
+    store.update(some[2].unionByName(some[3]), 1)
+    assert _rows(store.read()) == expected
+
+
+def _performance(spark, *rows):
+    return spark.createDataFrame(list(rows), CARRIER_PERFORMANCE.columns)
+
+
+def test_snapshot_table_upserts_and_ignores_replays(spark, tmp_path):
+    table = SnapshotTable(spark, CARRIER_PERFORMANCE, str(tmp_path / "t"), slots=2)
+    with pytest.raises(LookupError):
+        table.read()
+    table.create()
+    assert table.read().count() == 0
+    table.upsert(_performance(spark, ("A", "x", 1.0), ("B", "x", 2.0)), 0)
+    table.upsert(_performance(spark, ("B", "x", 3.0), ("C", "x", 4.0)), 1)
+    now = [("A", "x", 1.0), ("B", "x", 3.0), ("C", "x", 4.0)]
+    assert sorted(map(tuple, table.read().collect())) == now
+    table.upsert(_performance(spark, ("Z", "z", 9.0)), 1)
+    assert sorted(map(tuple, table.read().collect())) == now
+    for batch in range(2, 6):
+        table.upsert(_performance(spark, ("A", "x", float(batch))), batch)
+    assert table.read().filter("airport = 'A'").first().departureperf == 5.0
+    assert table.read().count() == 3
+    table.replace(_performance(spark, ("Q", "q", 1.0)), 6)
+    assert [tuple(r) for r in table.read().collect()] == [("Q", "q", 1.0)]
+    table.create()
+    assert table.read().count() == 0
+    table.upsert(_performance(spark, ("A", "x", 1.0)), 0)
+    assert table.read().count() == 1
+
+
+def test_batch_that_failed_half_way_is_not_seen(spark, tmp_path):
+    table = SnapshotTable(spark, CARRIER_PERFORMANCE, str(tmp_path / "t"))
+    table.upsert(_performance(spark, ("A", "x", 1.0)), 0)
+    broken = _performance(spark, ("A", "x", 2.0)).selectExpr(
+        "airport", "carrier", "raise_error('lost') AS departureperf"
+    )
+    with pytest.raises(Exception, match="lost"):
+        table.upsert(broken, 1)
+    assert table.read().first().departureperf == 1.0
+    table.upsert(_performance(spark, ("A", "x", 2.0)), 1)
+    assert table.read().first().departureperf == 2.0
+
+
+def test_published_stream_is_read_back(spark, tmp_path, flight_rows):
+    source = str(tmp_path / "lines")
+    messages.publish(messages.to_messages(flight_rows({}, {})), "text", path=source)
+    relayed = str(tmp_path / "relayed")
+    messages.publish_stream(
+        messages.read_messages(spark, "text", path=source), str(tmp_path / "cp"), "text",
+        path=relayed,
+    ).awaitTermination()
+    assert spark.read.text(relayed).count() == 2
+
+
+def test_table_metric_has_the_result_columns(flight_rows):
+    metric = metrics.airport_carrier_ontime(flight_rows({}))
+    assert as_table(metric, CARRIER_PERFORMANCE).columns == CARRIER_PERFORMANCE.fields
