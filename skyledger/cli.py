@@ -72,7 +72,9 @@ def flown(flights: DataFrame, keep_diverted: bool) -> DataFrame:
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
-    written = yearly.write_years(flown(read_input(spark, args), args.keep_diverted), args.out)
+    flights = flown(read_input(spark, args), args.keep_diverted)
+    # Raw and extract files hold one month each.
+    written = yearly.write_years(flights, args.out, clustered=args.layout != "table")
     print(f"{written['rows']} flights written")
 
 

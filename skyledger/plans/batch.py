@@ -127,7 +127,11 @@ QUERIES: dict[str, Query] = {
     # The same reports with diverted flights kept.
     **{
         f"{name}_not_cancelled": _on_not_cancelled(REPORTS[name])
-        for name in ("top_airports", "airport_popularity", "airport_dest_total_delay")
+        for name in (
+            "top_airports", "airport_popularity", "carrier_total_delay",
+            "top_carriers_total_delay", "airport_dest_total_delay",
+            "top_dests_by_airport_total_delay", "route_mean_signed_delay",
+        )
     },
     "best_trips_on_date": _on_clean(partial(trips.best_trips_on, dates=TRIP_DATES)),
     "publish_messages": _on_clean(filters.message_value),

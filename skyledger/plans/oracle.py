@@ -63,8 +63,13 @@ def _ontime(keys: str, flag: str) -> str:
       FROM clean GROUP BY {keys}"""
 
 
-def _group(function: str, measure: str, keys: str, alias: str, source: str = "clean") -> str:
-    return f"SELECT {keys}, {function}({measure}) AS {alias} FROM {source} GROUP BY {keys}"
+def _group(function: str, measure: str, keys: str, alias: str) -> str:
+    return f"SELECT {keys}, {function}({measure}) AS {alias} FROM clean GROUP BY {keys}"
+
+
+def _flown(metric: str) -> str:
+    """The same metric with diverted flights kept."""
+    return metric.replace("FROM clean", "FROM flown")
 
 
 def _top(metric: str, value: str, code: str, direction: str) -> str:
@@ -182,9 +187,15 @@ _FLIGHT_QUERIES = {
     "airport_dest_mean_delay": _AIRPORT_DEST_MEAN,
     "airport_carrier_total_delay": _AIRPORT_CARRIER_TOTAL,
     "airport_dest_total_delay": _AIRPORT_DEST_TOTAL,
-    "airport_dest_total_delay_not_cancelled": _group(
-        "sum", "dep_delay", "origin, dest", "total_delay", "flown"
+    "carrier_total_delay_not_cancelled": _flown(_CARRIER_TOTAL),
+    "top_carriers_total_delay_not_cancelled": _top(
+        _flown(_CARRIER_TOTAL), "total_delay", "carrier", "ASC"
+    ),
+    "airport_dest_total_delay_not_cancelled": _flown(_AIRPORT_DEST_TOTAL),
+    "top_dests_by_airport_total_delay_not_cancelled": _top_per_group(
+        _flown(_AIRPORT_DEST_TOTAL), "origin", "total_delay", "dest", "ASC"
     ),
+    "route_mean_signed_delay_not_cancelled": _flown(_ROUTE_SIGNED),
     "top_carriers_by_airport_delay": _top_per_group(
         _AIRPORT_CARRIER_MEAN, "origin", "mean_delay", "carrier", "ASC"
     ),

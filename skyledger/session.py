@@ -11,6 +11,8 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 HDFS_BACKED = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 STATE_CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+HASH_JOIN_LIMIT = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+HASH_JOIN_SIZE = "64MB"
 
 _LOCAL_ROOTS: dict[str, str] = {}
 
@@ -22,6 +24,7 @@ def build_session(app: str = "skyledger", master: str | None = None, **conf: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config(HASH_JOIN_LIMIT, HASH_JOIN_SIZE)
         .config(STATE_STORE, ROCKSDB)
         .config(STATE_CHANGELOG, "true")
     )
@@ -32,6 +35,17 @@ def build_session(app: str = "skyledger", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def allow_hash_joins(spark: SparkSession) -> None:
+    """Let AQE replace a sort-merge join where every shuffled partition of one side is small.
+
+    The large side is then not sorted.  AQE checks the measured partition sizes, so a side
+    that does not fit stays with the sort-merge join.  A session that set its own limit keeps
+    it.
+    """
+    if spark.conf.get(HASH_JOIN_LIMIT, "0") in ("0", "0b"):
+        spark.conf.set(HASH_JOIN_LIMIT, HASH_JOIN_SIZE)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``.
 

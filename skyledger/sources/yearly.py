@@ -16,19 +16,22 @@ LAST_YEARS = range(1999, 2009)
 ALL_YEARS = range(1988, 2009)
 
 
-def write_years(flights: DataFrame, path: str) -> dict[str, int]:
+def write_years(flights: DataFrame, path: str, clustered: bool = False) -> dict[str, int]:
     """Write flights into one directory per year and return how many rows were written.
 
-    The count is observed while writing, so it needs no second scan.  The rebalance step
-    yields well-sized files per year and lets AQE split a year larger than the rest.
+    The count is observed while writing, so it needs no second scan.  Rows in any order are
+    rebalanced first: that yields well-sized files per year and lets AQE split a year larger
+    than the rest.  ``clustered`` input, such as monthly files, already has one year per split
+    and is written as it comes, without a shuffle.
     """
     written = Observation("written")
     rows = flights.withColumn("year", F.year("flight_date")).observe(
         written, F.count(F.lit(1)).alias("rows")
     )
+    if not clustered:
+        rows = rows.hint("rebalance", F.col("year"))
     (
-        rows.hint("rebalance", F.col("year"))
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year")
         .parquet(path)
@@ -47,7 +50,7 @@ def read_years(
 def load_years(spark: SparkSession, raw_root: str, years: Iterable[int], path: str) -> dict:
     """Monthly raw files of the given years into the table; other years stay as they are."""
     flights = read_flights(spark, raw_paths(raw_root, years))
-    return write_years(clean(flights), path)
+    return write_years(clean(flights), path, clustered=True)
 
 
 def extract_years(flights: DataFrame, path: str) -> dict[str, int]:
