@@ -112,7 +112,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     source = options(args.option)
     lines = messages.read_messages(spark, args.transport, **source)
-    trigger = running.AVAILABLE_NOW if args.once else None
+    trigger = {"processingTime": args.every} if args.every else None
+    if args.once:
+        trigger = running.AVAILABLE_NOW
     query = _start(spark, args, lines, trigger)
     query.awaitTermination()
 
@@ -196,6 +198,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--out")
     sub.add_argument("--n", type=int, default=ranking.DEFAULT_N)
     sub.add_argument("--once", action="store_true", help="stop when everything is read")
+    sub.add_argument("--every", help="time between micro-batches, e.g. '2 seconds'")
     sub.add_argument("--max-disorder", help="drop older legs from state, e.g. '33 days'")
 
     sub = command("lookup", look_up)

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import arrival_minutes_or_zero, flight_label, hhmm_text
 from skyledger.operators.filters import on_dates, with_values
-from skyledger.schema import TRIPS
 
 NOON = 1200
 STOPOVER_DAYS = 2
@@ -118,37 +117,42 @@ def join_legs(
     the second legs repeated.  It is meant for streams, where AQE cannot split a heavy key.
     ``meeting_time`` adds the watermarked ``meeting`` column of both sides to the key.
     """
+    copied = ["n"] if copies else []
+    timed = ["meeting"] if meeting_time else []
     xy = first.select(
-        F.col("origin"),
-        F.col("dest").alias("stopby"),
-        F.col("flight_date").alias("date"),
         F.date_add("flight_date", STOPOVER_DAYS).alias("yzdate"),
-        hhmm_text(F.col("dep_time")).alias("xydeptime"),
-        hhmm_text(F.col("arr_time")).alias("xyarrtime"),
-        F.col("flight").alias("xyflight"),
-        F.col("delay").alias("xydelay"),
-        *([F.col("n").alias("xycopies")] if copies else []),
-        *(["meeting"] if meeting_time else []),
+        F.col("dest").alias("stopby"),
+        F.col("origin"),
+        *[F.col(name).alias(f"xy_{name}") for name in (*LEG_FLIGHT, *copied)],
+        *timed,
     )
     yz = second.select(
+        F.col("flight_date").alias("yzdate"),
         F.col("origin").alias("stopby"),
         F.col("dest").alias("destination"),
-        F.col("flight_date").alias("yzdate"),
-        hhmm_text(F.col("dep_time")).alias("yzdeptime"),
-        hhmm_text(F.col("arr_time")).alias("yzarrtime"),
-        F.col("flight").alias("yzflight"),
-        F.col("delay").alias("yzdelay"),
-        *([F.col("n").alias("yzcopies")] if copies else []),
-        *(["meeting"] if meeting_time else []),
+        *[F.col(name).alias(f"yz_{name}") for name in (*LEG_FLIGHT, *copied)],
+        *timed,
     )
-    on = ["yzdate", "stopby"]
-    if meeting_time:
-        on.append("meeting")
+    on = ["yzdate", "stopby", *timed]
     if salts > 1:
-        dealt = F.pmod(F.xxhash64("origin", "date", "xyflight", "xydeptime"), F.lit(salts))
+        dealt = F.pmod(F.xxhash64("origin", "yzdate", "xy_flight", "xy_dep_time"), F.lit(salts))
         xy = xy.withColumn("salt", dealt.cast("int"))
         yz = yz.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         on.append("salt")
-    joined = xy.join(yz, on)
-    extra = [(F.col("xycopies") * F.col("yzcopies")).alias("copies")] if copies else []
-    return joined.select(*TRIPS.fields, *extra)
+    # Times are made text only here, so the shuffle and the stream state hold integers.
+    return xy.join(yz, on).select(
+        "origin",
+        "destination",
+        "stopby",
+        F.date_sub("yzdate", STOPOVER_DAYS).alias("date"),
+        hhmm_text(F.col("xy_dep_time")).alias("xydeptime"),
+        hhmm_text(F.col("xy_arr_time")).alias("xyarrtime"),
+        F.col("xy_flight").alias("xyflight"),
+        F.col("xy_delay").alias("xydelay"),
+        "yzdate",
+        hhmm_text(F.col("yz_dep_time")).alias("yzdeptime"),
+        hhmm_text(F.col("yz_arr_time")).alias("yzarrtime"),
+        F.col("yz_flight").alias("yzflight"),
+        F.col("yz_delay").alias("yzdelay"),
+        *([(F.col("xy_n") * F.col("yz_n")).alias("copies")] if copies else []),
+    )

@@ -51,7 +51,6 @@ def _table(job: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         result, _ = running.TABLE_JOBS[job]
         target = SnapshotTable(spark, result, scratch_dir(spark, result.name))
-        target.create()
         running.keep_table(
             job, _flight_stream(spark, sf_dir), target, scratch_dir(spark, "checkpoint"),
             trigger=running.AVAILABLE_NOW,

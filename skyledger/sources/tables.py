@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from skyledger.schema import ResultTable
 
 
-def create_table(spark: SparkSession, table: ResultTable, path: str) -> None:
-    """Create the table empty, dropping what it held before."""
-    empty = spark.createDataFrame([], table.columns)
-    _writer(empty, table).parquet(path)
+def create_table(
+    spark: SparkSession, table: ResultTable, path: str, mode: str = "overwrite"
+) -> None:
+    """Create the table empty, dropping what it held before (or not, with mode ``ignore``)."""
+    _writer(spark.createDataFrame([], table.columns), table, mode).parquet(path)
 
 
 def write_table(rows: DataFrame, table: ResultTable, path: str) -> None:
@@ -31,8 +32,8 @@ def read_table(spark: SparkSession, table: ResultTable, path: str) -> DataFrame:
     return spark.read.schema(table.columns).parquet(path).select(*table.fields)
 
 
-def _writer(rows: DataFrame, table: ResultTable):
-    writer = rows.select(*table.fields).write.mode("overwrite")
+def _writer(rows: DataFrame, table: ResultTable, mode: str = "overwrite"):
+    writer = rows.select(*table.fields).write.mode(mode)
     return writer.partitionBy(*table.partition_by) if table.partition_by else writer
 
 

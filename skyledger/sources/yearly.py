@@ -25,13 +25,13 @@ def write_years(flights: DataFrame, path: str, clustered: bool = False) -> dict[
     and is written as it comes, without a shuffle.
     """
     written = Observation("written")
-    rows = flights.withColumn("year", F.year("flight_date")).observe(
-        written, F.count(F.lit(1)).alias("rows")
-    )
+    rows = flights.withColumn("year", F.year("flight_date"))
     if not clustered:
         rows = rows.hint("rebalance", F.col("year"))
+    # Observed in the writing stage: an earlier stage may run again and count twice.
     (
-        rows.write.mode("overwrite")
+        rows.observe(written, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year")
         .parquet(path)

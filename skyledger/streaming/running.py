@@ -7,6 +7,7 @@ Spark; the metric itself is the one the batch jobs use.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -64,7 +65,7 @@ def keep_table(
     return (
         metric(flights)
         .writeStream.outputMode("update")
-        .foreachBatch(target.upsert)
+        .foreachBatch(partial(target.upsert, writer=checkpoint))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or TABLE_TRIGGER))
         .start()

@@ -4,21 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.schema import ResultTable
 from skyledger.sources.tables import create_table, read_table, write_table, write_text
 
 
+_COMMIT = "version BIGINT, writer STRING, batch_id BIGINT, slot INT"
+
+
 class SnapshotTable:
     """A keyed Parquet table that micro-batches replace as a whole.
 
     Each batch writes the next of a few rotating slots and then, as a separate last step, a
-    one-row commit naming the batch.  Readers use the slot of the newest commit, so they never
-    see half a write, and a batch replayed after a failure finds its own commit and does
-    nothing.
+    one-row commit naming the batch and the stream that wrote it.  Readers use the slot of the
+    newest commit, so they never see half a write.  A batch replayed after a failure finds its
+    own commit and does nothing; a stream that starts anew is not taken for a replay.
     """
 
     def __init__(self, spark: SparkSession, table: ResultTable, path: str, slots: int = 4):
@@ -28,67 +30,66 @@ class SnapshotTable:
         self.table = table
         self.path = path
         self.slots = slots
+        self._exists = False
 
-    def create(self) -> None:
-        """Create the table empty; commits of earlier content are dropped with it."""
-        create_table(self.spark, self.table, self._slot(0))
-        rows = self.spark.range(-1, 0, 1, 1).select(F.col("id").alias("batch_id"))
-        rows.withColumn("slot", F.lit(0)).write.mode("overwrite").partitionBy("slot").parquet(
-            self._commits
-        )
+    def create(self, replace: bool = True) -> None:
+        """Create the table empty, replacing earlier content or keeping it as it is."""
+        mode = "overwrite" if replace else "ignore"
+        create_table(self.spark, self.table, self._slot(0), mode)
+        self._commit(0, "", -1).withColumn("slot", F.lit(0)).write.mode(mode).partitionBy(
+            "slot"
+        ).parquet(self._commits)
+        self._exists = True
 
     def read(self) -> DataFrame:
         """The content as of the newest commit."""
-        commit = self._newest()
-        if commit is None:
-            raise LookupError(f"table {self.table.name} was never written")
-        return read_table(self.spark, self.table, self._slot(commit[1]))
+        return read_table(self.spark, self.table, self._slot(self._newest().slot))
 
-    def replace(self, rows: DataFrame, batch_id: int) -> None:
+    def replace(self, rows: DataFrame, batch_id: int, writer: str = "") -> None:
         """Make the rows the table's content (for complete-mode streams)."""
-        self._store(batch_id, lambda _: rows)
+        self._store(batch_id, writer, lambda _: rows)
 
-    def upsert(self, rows: DataFrame, batch_id: int) -> None:
+    def upsert(self, rows: DataFrame, batch_id: int, writer: str = "") -> None:
         """Put rows with new keys in, and let rows with known keys replace the old ones."""
 
-        def merged(current: DataFrame | None) -> DataFrame:
+        def merged(current: DataFrame) -> DataFrame:
             fresh = rows.select(*self.table.fields)
-            if current is None:
-                return fresh
             kept = current.join(fresh, list(self.table.key), "left_anti")
             return fresh.unionByName(kept.select(*self.table.fields))
 
         # The batch is read twice, for the anti-join and for the union.
         rows.persist()
         try:
-            self._store(batch_id, merged)
+            self._store(batch_id, writer, merged)
         finally:
             rows.unpersist()
 
     def _store(
-        self, batch_id: int, content: Callable[[DataFrame | None], DataFrame]
+        self, batch_id: int, writer: str, content: Callable[[DataFrame], DataFrame]
     ) -> None:
-        commit = self._newest()
-        if commit is not None and commit[0] >= batch_id:
+        if not self._exists:
+            self.create(replace=False)
+        newest = self._newest()
+        if newest.writer == writer and newest.batch_id >= batch_id:
             return
-        current = None if commit is None else read_table(
-            self.spark, self.table, self._slot(commit[1])
-        )
-        slot = 0 if commit is None else (commit[1] + 1) % self.slots
+        current = read_table(self.spark, self.table, self._slot(newest.slot))
+        slot = (newest.slot + 1) % self.slots
         write_table(content(current), self.table, self._slot(slot))
-        mark = self.spark.range(batch_id, batch_id + 1, 1, 1)
-        mark.select(F.col("id").alias("batch_id")).write.mode("overwrite").parquet(
-            f"{self._commits}/slot={slot}"
+        commit = self._commit(newest.version + 1, writer, batch_id)
+        commit.write.mode("overwrite").parquet(f"{self._commits}/slot={slot}")
+
+    def _commit(self, version: int, writer: str, batch_id: int) -> DataFrame:
+        return self.spark.range(version, version + 1, 1, 1).select(
+            F.col("id").alias("version"),
+            F.lit(writer).alias("writer"),
+            F.lit(batch_id).cast("bigint").alias("batch_id"),
         )
 
-    def _newest(self) -> tuple[int, int] | None:
-        """(batch, slot) of the newest commit; there is at most one row per slot."""
-        try:
-            commits = self.spark.read.schema("batch_id BIGINT, slot INT").parquet(self._commits)
-        except AnalysisException:
-            return None
-        row = commits.agg(F.max(F.struct("batch_id", "slot")).alias("newest")).first()
-        return None if row.newest is None else (row.newest.batch_id, row.newest.slot)
+    def _newest(self) -> Row:
+        """The newest commit; the log holds one row per slot at most."""
+        commits = self.spark.read.schema(_COMMIT).parquet(self._commits)
+        newest = F.max(F.struct("version", "writer", "batch_id", "slot")).alias("newest")
+        return commits.agg(newest).first().newest
 
     def _slot(self, slot: int) -> str:
         return f"{self.path}/data/slot{slot}"

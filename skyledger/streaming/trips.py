@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -75,8 +78,10 @@ class BestTripsStore:
         self.spark = spark
         self.path = path
 
-    def update(self, flights: DataFrame, batch_id: int) -> None:
-        mine = f"{self._legs}/batch={batch_id}"
+    def update(self, flights: DataFrame, batch_id: int, writer: str = "") -> None:
+        """Take in one micro-batch of the stream that ``writer`` names by its checkpoint."""
+        stream = hashlib.md5(writer.encode()).hexdigest()
+        mine = f"{self._legs}/stream={stream}/batch={batch_id}"
         self._write(trips.best_leg_flights(flights), "flight_date", mine)
         starts, needed = self._months(mine)
         seen = self.spark.read.schema(_LEG_SCHEMA).parquet(self._legs)
@@ -130,7 +135,7 @@ def _month(date: str) -> Column:
 
 _LEG_SCHEMA = (
     "origin STRING, dest STRING, flight_date DATE, delay DOUBLE, flight STRING, dep_time INT, "
-    "arr_time INT, half INT, batch BIGINT, month INT"
+    "arr_time INT, half INT, stream STRING, batch BIGINT, month INT"
 )
 
 
@@ -138,7 +143,7 @@ def keep_best_trips(
     flights: DataFrame, store: BestTripsStore, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
     return (
-        flights.writeStream.foreachBatch(store.update)
+        flights.writeStream.foreachBatch(partial(store.update, writer=checkpoint))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or TABLE_TRIGGER))
         .start()

@@ -144,7 +144,8 @@ def test_best_trips_equal_batch_and_survive_a_replay(spark, tmp_path, parts, top
     drain(topic(some[2].unionByName(some[3])))
     expected = _rows(trips.best_trips(flights))
     assert _rows(store.read()) == expected
-    store.update(some[2].unionByName(some[3]), 1)
+    store.update(some[2].unionByName(some[3]), 1, writer=str(tmp_path / "cp"))
+    assert len(list((tmp_path / "best" / "legs").glob("stream=*/batch=*"))) == 2
     assert _rows(store.read()) == expected
 
 
@@ -154,8 +155,6 @@ def _performance(spark, *rows):
 
 def test_snapshot_table_upserts_and_ignores_replays(spark, tmp_path):
     table = SnapshotTable(spark, CARRIER_PERFORMANCE, str(tmp_path / "t"), slots=2)
-    with pytest.raises(LookupError):
-        table.read()
     table.create()
     assert table.read().count() == 0
     table.upsert(_performance(spark, ("A", "x", 1.0), ("B", "x", 2.0)), 0)
@@ -170,6 +169,8 @@ def test_snapshot_table_upserts_and_ignores_replays(spark, tmp_path):
     assert table.read().count() == 3
     table.replace(_performance(spark, ("Q", "q", 1.0)), 6)
     assert [tuple(r) for r in table.read().collect()] == [("Q", "q", 1.0)]
+    table.upsert(_performance(spark, ("R", "r", 1.0)), 0, writer="another stream")
+    assert table.read().count() == 2
     table.create()
     assert table.read().count() == 0
     table.upsert(_performance(spark, ("A", "x", 1.0)), 0)
@@ -200,6 +201,18 @@ def test_published_stream_is_read_back(spark, tmp_path, flight_rows):
     assert spark.read.text(relayed).count() == 2
 
 
+def test_feed_limit_splits_the_backlog_into_batches(spark, tmp_path, flight_rows):
+    path = str(tmp_path / "topic")
+    for _ in range(3):
+        messages.publish(messages.to_messages(flight_rows({})).coalesce(1), "text", path=path)
+    limit = messages.feed_limit("text", interval_seconds=2, per_second=1)
+    lines = messages.read_messages(spark, "text", path=path, **limit)
+    running.count_words_per_batch(
+        lines, str(tmp_path / "words"), str(tmp_path / "cp"), running.AVAILABLE_NOW
+    ).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "words")).select("batch").distinct().count() == 3
+
+
 def test_table_metric_has_the_result_columns(flight_rows):
     metric = metrics.airport_carrier_ontime(flight_rows({}))
     assert as_table(metric, CARRIER_PERFORMANCE).columns == CARRIER_PERFORMANCE.fields
