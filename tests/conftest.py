@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "skyledger-tests",
         master="local[4]",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="2",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),

@@ -134,4 +134,4 @@ def test_skewed_key_is_split(spark, no_broadcast, tmp_path):
     finally:
         for key in settings:
             spark.conf.unset(key)
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
