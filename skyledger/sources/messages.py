@@ -13,9 +13,7 @@ from skyledger.operators.filters import clean, message_value
 from skyledger.schema import FLIGHT14
 from skyledger.sources.extract import times_as_numbers
 
-# The rate-limit option of each streaming source.
-ROWS_PER_TRIGGER = {"kafka": "maxOffsetsPerTrigger"}
-FILES_PER_TRIGGER = {"text": "maxFilesPerTrigger"}
+# Fixed value: the rate at which the feed is capped.
 FEED_BYTES_PER_SECOND = 15 * 1024 * 1024
 
 
@@ -58,7 +56,7 @@ def feed_limit(transport: str, interval_seconds: int, per_second: int | None = N
     if transport == "kafka":
         if per_second is None:
             raise ValueError("a broker source is limited in messages per second")
-        return {ROWS_PER_TRIGGER["kafka"]: str(per_second * interval_seconds)}
+        return {"maxOffsetsPerTrigger": str(per_second * interval_seconds)}
     rate = FEED_BYTES_PER_SECOND if per_second is None else per_second
     return {"maxBytesPerTrigger": str(rate * interval_seconds)}
 
