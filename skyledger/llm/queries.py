@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import substring_dedup
+from skyledger.llm import ngram_join, quality_rules, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,9 +16,18 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.join_components(_documents(spark, sf_dir), n=4, percent=85, fold=True)
+    return found.select("doc_id", F.col("size").alias("n_shingles"), "component_id")
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.remove_repeats(_documents(spark, sf_dir), width=50)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_substring_dedup,)}
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_documents(spark, sf_dir)).drop("n_covered", "longest_repeat")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_substring_dedup, op7_quality_rules)}

@@ -25,9 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import NO_ID, binaries, bitmap, ids_of, ids_to_arrow, in_bitmap, joined, partitions, rowwise, runs, saved
-from skyledger.llm.words import buffers, inside_windows, pieces, window_hashes, word_hashes, words_of
+from skyledger.llm.words import buffers, inside_windows, mixed, pieces, window_hashes, word_hashes, words_of
 
 PACKED = "bucket int, ids binary, marks binary, counts binary, hashes binary, steps binary, jumps binary, lost binary"
+LOST = "home int, ids binary, marks binary, counts binary, places binary"
 PLACES = "doc_id bigint, mark int, places binary"
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, text string"
 
@@ -83,13 +84,24 @@ def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return ids, marks, np.frombuffer(row["hashes"], np.uint64), (total - np.repeat(total[first] - step[first], counts)).astype(np.uint32)
 
 
-def _losers(table: pa.Table) -> pa.Table:
-    """Of one bucket, the places of windows that also start in a document with a smaller id."""
+def _settled(ids: np.ndarray, marks: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places sorted by document, and where each document begins."""
+    order = np.lexsort((places, marks, ids))
+    ids, marks, places = ids[order], marks[order], places[order]
+    new = np.ones(len(ids), dtype=bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])
+    return ids, marks, places, np.flatnonzero(new)
+
+
+def _losers(table: pa.Table, homes: int) -> pa.Table:
+    """Of one bucket, the places of windows that also start in a document with a smaller id.
+
+    They leave in packs, one for each ``home`` that gathers the places of its documents.
+    """
     rows = [{name: table.column(name)[i].as_buffer() for name in table.column_names if name != "bucket"} for i in range(table.num_rows)]
     settled = [np.frombuffer(r["lost"], np.uint8)[0] == 1 for r in rows]
     open_ = [_unpack(r) for r, s in zip(rows, settled, strict=True) if not s]
-    done = [_unpack(r) for r, s in zip(rows, settled, strict=True) if s]
-    parts = [(i, m, p) for i, m, _, p in done]
+    parts = [(i, m, p) for i, m, _, p in (_unpack(r) for r, s in zip(rows, settled, strict=True) if s)]
     if open_:
         h = np.concatenate([x[2] for x in open_])
         order = np.argsort(h)
@@ -106,16 +118,26 @@ def _losers(table: pa.Table) -> pa.Table:
             late = ids > least
             order, ids = order[late], ids[late]
             parts.append((ids, np.concatenate([x[1] for x in open_])[order], np.concatenate([x[3] for x in open_])[order]))
-    if not parts:
-        return pa.table({"doc_id": pa.array([], pa.int64()), "mark": pa.array([], pa.int32()), "places": pa.array([], pa.binary())})
-    ids, marks, places = (np.concatenate([p[k] for p in parts]) for k in range(3))
-    order = np.lexsort((places, marks, ids))
-    ids, marks, places = ids[order], marks[order], places[order]
-    new = np.ones(len(ids), dtype=bool)
-    new[1:] = (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])
-    cut = np.flatnonzero(new)
+    ids, marks, places = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(3))
+    ids, marks, places, first = _settled(ids, marks, places)
+    home = (mixed(ids[first].view(np.uint64)) % np.uint64(homes)).astype(np.int64)
+    chunks = np.split(places, first[1:]) if len(first) else []
+    packs = []
+    for k in np.unique(home):
+        own = np.flatnonzero(home == k)
+        counts = np.array([len(chunks[x]) for x in own], dtype=np.uint32)
+        packs.append((k, ids[first[own]], marks[first[own]].astype(np.int32), counts, np.concatenate([chunks[x] for x in own]).astype(np.uint32)))
+    return pa.table([pa.array([x[0] for x in packs], pa.int32()), *(binaries([x[k] for x in packs]) for k in range(1, 5))], names=["home", "ids", "marks", "counts", "places"])
+
+
+def _by_document(table: pa.Table) -> pa.Table:
+    """The packs of one home as one row for each document."""
+    counts = joined(table.column("counts"), "u4")
+    ids = np.repeat(joined(table.column("ids"), "i8"), counts)
+    marks = np.repeat(joined(table.column("marks"), "i4"), counts)
+    ids, marks, places, first = _settled(ids, marks, joined(table.column("places"), "u4"))
     return pa.table({
-        "doc_id": ids_to_arrow(ids[cut]), "mark": pa.array(marks[cut], pa.int32()), "places": binaries(np.split(places, cut[1:]) if len(cut) else []),
+        "doc_id": ids_to_arrow(ids[first]), "mark": pa.array(marks[first], pa.int32()), "places": binaries(np.split(places, first[1:]) if len(first) else []),
     })
 
 
@@ -155,7 +177,8 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
                 if rows:
                     yield pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), *(binaries([r[k] for r in rows]) for k in range(1, 8))], names=PACKED_NAMES)
 
-    places = saved(source.mapInArrow(packed, PACKED).groupBy("bucket").applyInArrow(_losers, PLACES), "places")
+    lost = source.mapInArrow(packed, PACKED).groupBy("bucket").applyInArrow(lambda table: _losers(table, buckets), LOST)
+    places = saved(lost.groupBy("home").applyInArrow(_by_document, PLACES), "places")
     bits = spark.sparkContext.broadcast(bitmap(places.select("doc_id")))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,16 +201,15 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
                 words = words_of(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 spans, texts = [], []
                 for k in range(j - i):
-                    at = np.frombuffer(b"".join(lists[i + k] or []), np.uint32).astype(np.int64)
+                    at = np.frombuffer(lists[i + k] or b"", np.uint32).astype(np.int64)
                     s, t = _cut(words, k, at, width)
                     spans.append(s)
                     texts.append(t)
                 gone = [sum(x["end"] - x["start"] for x in s) for s in spans]
                 yield pa.record_batch([b.column("doc_id").slice(i, j - i), pa.array(words.counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, SPANS), pa.array(texts, pa.string())], names=RESULT_NAMES)
 
-    lists = places.groupBy("doc_id", "mark").agg(F.collect_list("places").alias("places"))
     hit = source.mapInArrow(marked, source.schema).alias("d").join(
-        lists.alias("p"), F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d.mark") == F.col("p.mark")), "left"
+        places.alias("p"), F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d.mark") == F.col("p.mark")), "left"
     ).select("d.doc_id", "d.text", "p.places")
     return source.mapInArrow(whole, RESULT).unionByName(hit.mapInArrow(cut, RESULT))
 
