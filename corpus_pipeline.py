@@ -6,11 +6,44 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyledger.llm import decontaminate, mixing, ngram_join, packing, quality_rules
 from skyledger.llm.common import saved
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and do not repeat themselves."""
+    return quality_rules.keep_good(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones: five words, similarity 0.8."""
+    return ngram_join.keep_one(docs, n=5, percent=80)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's target weight asks for, at most twice."""
+    return mixing.repeated(docs, weights=(3, 1, 2), share=1.5, cap=2)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows of 2,048 token ids."""
+    return packing.pack(docs, room=2048)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontaminated),
+    ("source mixing", mixed),
+    ("token packing", packed),
+]
 
 #: Suffix arrays, entropy balancing and bin packing have no SQL form.
 ORACLE_SQL: str | None = None
@@ -20,5 +53,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; each stage reads what its predecessor wrote."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = saved(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
     return docs

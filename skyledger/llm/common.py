@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,11 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def fresh(name: str) -> str:
+    """A column name that no table has."""
+    return f"_{name}_{uuid.uuid4().hex}"
+
+
 def ids_of(column: pa.Array) -> np.ndarray:
     """Ids as int64; null becomes ``NO_ID``."""
     return np.asarray(column.cast(pa.int64()).fill_null(int(NO_ID)), dtype=np.int64)
@@ -97,6 +103,21 @@ def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
+def split_by(docs: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``docs`` whose bigint ``key`` cannot be among ``keys``, and the rest, by a bitmap."""
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(keys))
+    at = docs.columns.index(key)
+
+    def part(inside: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield b.filter(pa.array(in_bitmap(bits.value, ids_of(b.column(at))) == inside))
+
+        return docs.mapInArrow(run, docs.schema)
+
+    return part(False), part(True)
+
+
 # Connected components.
 
 

@@ -174,5 +174,5 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     copies = mix(docs, id_col=id_col, text_col=text_col, **how).where("copies > 0").groupBy("doc_id", "mark").agg(F.max("copies").alias("copies"))
     c, d = copies.alias("c"), docs.alias("d")
     same = F.col(f"d.{id_col}").cast("bigint").eqNullSafe(F.col("c.doc_id")) & (F.xxhash64(F.col(f"d.{text_col}")) == F.col("c.mark"))
-    both = d.join(c, same).select("d.*", F.explode(F.sequence(F.lit(1), F.col("c.copies"))).alias("_copy"))
-    return both.drop("_copy")
+    both = d.join(c, same).select(F.struct("d.*").alias("row"), F.explode(F.sequence(F.lit(1), F.col("c.copies"))))
+    return both.select("row.*")

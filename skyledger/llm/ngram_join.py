@@ -4,24 +4,27 @@ Every text is the set of its word n-grams.  Two texts link when their sets reach
 the result is the connected component of every text.
 
 1. Sets.  Each text gives its set's size and a fingerprint; equal sets are one class from here on.
-   The same pass counts n-grams into a table of fixed size.  Its counts give the global order:
-   rare n-grams first, equal counts by hash.  Any order is right; this one keeps n-grams that
-   very many texts share out of the prefixes.
-2. Coarse components.  Two sets of similarity t share one of their first n - ceil(t n) + 1 n-grams.
-   Classes that share such an n-gram are tied together.  A task ties what it holds itself and sends
-   each n-gram once, so an n-gram of a third of all texts costs one entry a piece.
-3. Tree.  The sets of one coarse component are stored in a compressed prefix tree, in which
+2. Who can link at all.  All n-grams meet by hash, four bytes each, and every class learns how many
+   of its own also occur in another class.  Two sets of similarity t share one of their first
+   n - ceil(t n) + 1 n-grams in any global order; with the rarest first, a class with that many
+   n-grams of its own has no partner.  Its set goes no further.
+3. Coarse components.  The n-grams of the classes that are left are counted exactly.  The global
+   order is by the bits of that count, then by hash.  N-grams so frequent that they stand out in
+   a table of fixed size come last and are not sent.  Classes that share an n-gram of their
+   prefixes are tied together; a task ties what it holds itself and sends each n-gram once.
+4. Tree.  The sets of one coarse component are stored in a compressed prefix tree, in which
    the n-grams that most of them share stand near the root.  Each set walks it: a node adds
    its overlap once for all sets below it, and a subtree is left when the n-grams that remain there
    and in the probe cannot reach the overlap that its smallest fitting set would need, or when
    all its sets are already connected with the probe.
-4. Components too large for one task are cut into blocks of ``block`` n-grams.  The first round
+5. Components too large for one task are cut into blocks of ``block`` n-grams.  The first round
    joins each block with the same few anchors, which connects copies of one text.  The second
    compares whoever is still apart with every block, so no link is lost.
 
 Null and empty texts have no n-grams and stay alone; a text of fewer than ``n`` words is one n-gram.
 Repeated rows and ids are in one class; a null id counts only if its class has no other.  Other
-columns are ignored.  Sets are told apart by 64-bit hashes.
+columns are ignored.  Sets and n-grams are told apart by 64-bit hashes.  The four bytes of step 2 are short enough to let two
+n-grams look shared now and then, which only keeps a class that step 3 drops.
 """
 
 from __future__ import annotations
@@ -35,8 +38,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import binaries, bitmap, components, ids_of, ids_to_arrow, in_bitmap, joined, partitions, rowwise, runs, saved
-from skyledger.llm.words import buffers, pieces, window_hashes, word_hashes, words_of
+from skyledger.llm.common import binaries, bitmap, components, fresh, in_bitmap, joined, partitions, rowwise, runs, saved, split_by
+from skyledger.llm.grouped_links import LINKS, connected
+from skyledger.llm.words import buffers, mixed, pieces, window_hashes, word_hashes, words_of
 
 #: The table of counts, whatever the input: 4 MB.
 SKETCH_BITS = 20
@@ -84,81 +88,226 @@ def _slots(grams: np.ndarray) -> np.ndarray:
     return grams >> np.uint64(64 - SKETCH_BITS)
 
 
-SETS = "kind int, doc_id bigint, size bigint, class bigint, counts binary"
+SETS = "doc_id bigint, mark bigint, size bigint, class bigint"
 
 
 def _set_rows(source: DataFrame, n: int, fold: bool) -> DataFrame:
-    """Kind 0: a text's set size and class. Kind 1: a slice of a task's counts."""
+    """A text's set size and class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
         for b in batches:
-            ids = ids_to_arrow(ids_of(b.column("doc_id")))
-            size, classes = [], []
-            waiting: list[np.ndarray] = []
-            for s in sets_of(rowwise(b, "text"), n, fold):
-                size.append(len(s))
-                classes.append(class_of(s) if len(s) else None)
-                waiting.append(s)
-                if len(waiting) == 512:
-                    counts += np.bincount(_slots(np.concatenate(waiting)).astype(np.int64), minlength=len(counts)).astype(np.uint32)
-                    waiting = []
-            if waiting:
-                counts += np.bincount(_slots(np.concatenate(waiting)).astype(np.int64), minlength=len(counts)).astype(np.uint32)
-            m = b.num_rows
-            yield pa.record_batch([pa.array(np.zeros(m, np.int32)), ids, pa.array(size, pa.int64()), pa.array(classes, pa.int64()), pa.nulls(m, pa.binary())], names=SET_NAMES)
-        if counts.any():
-            none = pa.nulls(SLICES, pa.int64())
-            yield pa.record_batch([pa.array(np.ones(SLICES, np.int32)), pa.array(range(SLICES), pa.int64()), none, none, binaries(np.split(counts, SLICES))], names=SET_NAMES)
+            found = [(len(s), class_of(s) if len(s) else None) for s in sets_of(rowwise(b, "text"), n, fold)]
+            yield pa.record_batch([b.column("doc_id"), b.column("mark"), pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["doc_id", "mark", "size", "class"])
 
     return source.mapInArrow(run, SETS)
 
 
-def _total(table: pa.Table) -> pa.Table:
-    total = np.sum([np.frombuffer(x, np.uint32).astype(np.uint64) for x in table.column("counts").to_pylist()], axis=0)
-    return pa.table({"doc_id": table.column("doc_id")[:1], "counts": binaries([np.minimum(total, 2**32 - 1).astype(np.uint32)])})
+def _ranges(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each hash by range, so that sorted hashes have sorted buckets."""
+    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _home(classes: np.ndarray, homes: int) -> np.ndarray:
+    return (mixed(classes.view(np.uint64)) % np.uint64(homes)).astype(np.int64)
+
+
+def _packed(key: np.ndarray, of: np.ndarray, *values: np.ndarray) -> Iterator[tuple]:
+    """Values by key, and within a key by owner: (key, owners, lengths, values...)."""
+    order = np.lexsort((of, key))
+    key, of = key[order], of[order]
+    values = [v[order] for v in values]
+    cut = np.append(runs(key), len(key))
+    for a, b in zip(cut[:-1], cut[1:], strict=True):
+        first = runs(of[a:b])
+        yield (int(key[a]), of[a:b][first], np.diff(np.append(first, b - a)).astype(np.uint32), *(v[a:b] for v in values))
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    names = [x.split()[0] for x in schema.split(", ")]
+    return pa.table([pa.array([r[0] for r in rows], pa.int32()), *(binaries([r[k] for r in rows]) for k in range(1, len(names)))], names=names)
+
+
+def _as_batches(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    yield from table.to_batches()
+
+
+#: Grams held together by one step, eight bytes each.
+HELD = 1 << 20
+
+# Step 2. Shares of all classes, by piece: a class that several pieces hold has the same count in each.
+
+SEEN = "bucket int, classes binary, lengths binary, grams binary, piece binary, here binary"
+SHARES = "home int, classes binary, pieces binary, counts binary"
+
+
+def _seen(classes: list[int], sets: list[np.ndarray], buckets: int, piece: int) -> pa.Table:
+    """N-grams of one piece, each once.  Those of two of its classes are counted here, and sent without owner."""
+    of = np.repeat(np.array(classes, dtype=np.int64), [len(s) for s in sets])
+    grams = np.concatenate(sets)
+    order = np.argsort(grams, kind="stable")
+    grams, of = grams[order], of[order]
+    start = runs(grams)
+    times = np.diff(np.append(start, len(grams)))
+    owner, times_here = np.unique(of[np.repeat(times > 1, times)], return_counts=True)
+    own = of[start].copy()
+    grams = grams[start]
+    short = (grams & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    bucket = _ranges(grams, buckets)
+    # Owner 0 of what is shared already: nobody waits for an answer.
+    own[times > 1] = 0
+    rows = [(*r, np.array([piece], np.int64), np.zeros(0, np.int64)) for r in _packed(bucket, own, short)]
+    rows.append((int(bucket[0]), np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.uint32), np.array([piece], np.int64), np.stack([owner, times_here])))
+    return _table(rows, SEEN)
+
+
+def _shares(table: pa.Table, homes: int) -> pa.Table:
+    """Of one bucket: how many n-grams of each class, piece by piece, also occur elsewhere."""
+    owners, grams, pieces_, found = [], [], [], []
+    for k in range(table.num_rows):
+        row = {x: table.column(x)[k].as_buffer() for x in table.column_names if x != "bucket"}
+        piece = np.frombuffer(row["piece"], np.int64)
+        lengths = np.frombuffer(row["lengths"], np.uint32)
+        owners.append(np.repeat(np.frombuffer(row["classes"], np.int64), lengths))
+        grams.append(np.frombuffer(row["grams"], np.uint32))
+        pieces_.append(np.repeat(piece, len(grams[-1])))
+        here = np.frombuffer(row["here"], np.int64).reshape(2, -1)
+        found.append((here[0], np.repeat(piece, here.shape[1]), here[1]))
+    of, g, piece = np.concatenate(owners), np.concatenate(grams), np.concatenate(pieces_)
+    order = np.argsort(g, kind="stable")
+    g, of, piece = g[order], of[order], piece[order]
+    start = runs(g)
+    size = np.diff(np.append(start, len(g)))
+    if len(g):
+        # Shared: another class has it, or a piece already found two classes that do.
+        least, most = np.minimum.reduceat(of, start), np.maximum.reduceat(of, start)
+        lone = np.minimum.reduceat(np.where(of == 0, 0, 1), start)
+        shared = np.repeat((least != most) | (lone == 0), size) & (of != 0)
+        of, piece = of[shared], piece[shared]
+        order = np.lexsort((piece, of))
+        of, piece = of[order], piece[order]
+        new = np.ones(len(of), dtype=bool)
+        new[1:] = (of[1:] != of[:-1]) | (piece[1:] != piece[:-1])
+        cut = np.flatnonzero(new)
+        found.append((of[cut], piece[cut], np.diff(np.append(cut, len(of)))))
+    of, piece, counts = (np.concatenate([x[k] for x in found]).astype(np.int64) for k in range(3))
+    home = _home(of, homes)
+    rows = []
+    for k in np.unique(home):
+        own = home == k
+        rows.append((int(k), of[own], piece[own], counts[own]))
+    return _table(rows, SHARES)
+
+
+def _shared_of(table: pa.Table) -> pa.Table:
+    """Of one home: the number of shared n-grams of each class."""
+    of, piece, counts = (joined(table.column(x), "i8") for x in ("classes", "pieces", "counts"))
+    order = np.lexsort((piece, of))
+    of, piece, counts = of[order], piece[order], counts[order]
+    new = np.ones(len(of), dtype=bool)
+    new[1:] = (of[1:] != of[:-1]) | (piece[1:] != piece[:-1])
+    cut = np.flatnonzero(new)
+    if not len(cut):
+        return pa.table({"class": pa.array([], pa.int64()), "shared": pa.array([], pa.int64())})
+    total, of = np.add.reduceat(counts, cut), of[cut]
+    start = runs(of)
+    return pa.table({"class": of[start], "shared": np.maximum.reduceat(total, start)})
+
+
+# Step 3. Exact counts among the classes that are left, then prefixes.
+
+SENT = "bucket int, classes binary, lengths binary, grams binary"
+LEVELS = "home int, classes binary, lengths binary, grams binary, levels binary"
+TIED = "bucket int, classes binary, lengths binary, grams binary, ties binary"
+
+
+def _held_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """Classes and sets of a table (class, grams), some at a time."""
+    names, sets, held = [], [], 0
+    for b in batches:
+        for name, grams in zip(b.column("class").to_pylist(), b.column("grams"), strict=True):
+            names.append(name)
+            sets.append(np.frombuffer(grams.as_buffer(), dtype=np.uint64))
+            held += len(sets[-1])
+            if held >= HELD:
+                yield np.array(names, dtype=np.int64), sets
+                names, sets, held = [], [], 0
+    if names:
+        yield np.array(names, dtype=np.int64), sets
+
+
+def _hot_slots(own: DataFrame) -> np.ndarray:
+    """Counts of n-grams in a table of fixed size, with 0 where a count does not stand out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
+        for _, sets in _held_sets(batches):
+            counts += np.bincount(_slots(np.concatenate(sets)).astype(np.int64), minlength=len(counts)).astype(np.uint32)
+        used = [(k, part) for k, part in enumerate(np.split(counts, SLICES)) if part.any()]
+        yield pa.record_batch({"slice": pa.array([k for k, _ in used], pa.int32()), "counts": binaries([p for _, p in used])})
 
+    def total(table: pa.Table) -> pa.Table:
+        sums = np.sum([np.frombuffer(x, np.uint32).astype(np.uint64) for x in table.column("counts").to_pylist()], axis=0)
+        return pa.table({"slice": table.column("slice")[:1], "counts": binaries([np.minimum(sums, 2**32 - 1).astype(np.uint32)])})
 
-def _counts(rows: DataFrame) -> np.ndarray:
-    slices = rows.where("kind = 1").select("doc_id", "counts").groupBy("doc_id").applyInArrow(_total, "doc_id bigint, counts binary").collect()
+    schema = "slice int, counts binary"
     out = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
     step = len(out) // SLICES
-    for k, counts in slices:
+    for k, counts in own.mapInArrow(run, schema).groupBy("slice").applyInArrow(total, schema).collect():
         out[k * step : (k + 1) * step] = np.frombuffer(counts, np.uint32)
+    usual = out.mean()
+    out[out < max(256, 16 * usual)] = 0
     return out
 
 
-POSTINGS = "bucket int, classes binary, lengths binary, grams binary, ties binary"
+def _levels(table: pa.Table, homes: int) -> pa.Table:
+    """Of one bucket: the bits of each n-gram's count, sent home to its classes."""
+    of = np.repeat(joined(table.column("classes"), "i8"), joined(table.column("lengths"), "u4"))
+    grams = joined(table.column("grams"), "u8")
+    order = np.argsort(grams)
+    grams, of = grams[order], of[order]
+    start = runs(grams)
+    size = np.diff(np.append(start, len(grams)))
+    level = np.repeat(np.ceil(np.log2(size + 1)).astype(np.uint8), size)
+    shared = np.repeat(size > 1, size)
+    of, grams, level = of[shared], grams[shared], level[shared]
+    return _table(list(_packed(_home(of, homes), of, grams, level)), LEVELS)
 
 
-def _posting_rows(sets: list[np.ndarray], counts: np.ndarray, alike: Similarity, buckets: int) -> pa.RecordBatch | None:
-    """Prefixes of some sets, each n-gram once; sets that share one are tied to the smallest class."""
-    prefixes: dict[int, np.ndarray] = {}
-    for s in sets:
-        if len(s) and (c := class_of(s)) not in prefixes:
-            prefixes[c] = s[np.argsort(counts[_slots(s)], kind="stable")[: alike.prefix(len(s))]]
-    if not prefixes:
-        return None
-    classes = np.array(sorted(prefixes), dtype=np.int64)
-    of = np.repeat(classes, [len(prefixes[c]) for c in classes.tolist()])
-    grams = np.concatenate([prefixes[c] for c in classes.tolist()])
-    order = np.argsort(grams, kind="stable")  # within an n-gram by class
-    grams, of = grams[order], of[order]
+def _tied(classes: np.ndarray, grams: np.ndarray, buckets: int) -> pa.Table:
+    """Prefix n-grams of one home, each once; classes that share one are tied to the smallest."""
+    order = np.lexsort((classes, grams))
+    grams, of = grams[order], classes[order]
     start = runs(grams)
     least = np.repeat(of[start], np.diff(np.append(start, len(grams))))
     other = of != least
     ties = np.unique(np.stack([of[other], least[other]], axis=1), axis=0)
     grams, of = grams[start], of[start]
-    bucket = ((grams >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-    order = np.lexsort((of, bucket))
-    grams, of, bucket = grams[order], of[order], bucket[order]
-    rows = []
-    cut = np.append(runs(bucket), len(bucket))
-    for k, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
-        first = runs(of[a:b])
-        own = ties if k == 0 else ties[:0]
-        rows.append((int(bucket[a]), of[a:b][first], np.diff(np.append(first, b - a)).astype(np.uint32), grams[a:b], own))
-    return pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), *(binaries([r[k] for r in rows]) for k in range(1, 5))], names=[x.split()[0] for x in POSTINGS.split(", ")])
+    rows = [(*r, ties if k == 0 else ties[:0]) for k, r in enumerate(_packed(_ranges(grams, buckets), of, grams))]
+    return _table(rows, TIED)
+
+
+def _prefixes(table: pa.Table, alike: Similarity, hot: np.ndarray, buckets: int) -> pa.Table:
+    """Of one home: the prefixes of its classes, without n-grams that no other class has.
+
+    A row with level 255 tells a class's size; its n-grams are those in hot slots.
+    """
+    of = np.repeat(joined(table.column("classes"), "i8"), joined(table.column("lengths"), "u4"))
+    grams, level = joined(table.column("grams"), "u8"), joined(table.column("levels"), "u1")
+    told = level == 255
+    sizes = dict(zip(of[told].tolist(), grams[told].astype(np.int64).tolist(), strict=True))
+    of, grams, level = of[~told], grams[~told], level[~told]
+    rank = level.astype(np.int64)
+    in_hot = level == 254
+    rank[in_hot] = hot[_slots(grams[in_hot]).astype(np.int64)].astype(np.int64) + 64
+    order = np.lexsort((grams, rank, of))
+    of, grams = of[order], grams[order]
+    start = runs(of)
+    count = np.diff(np.append(start, len(of)))
+    keep = np.zeros(len(of), dtype=bool)
+    for a, m in zip(start.tolist(), count.tolist(), strict=True):
+        size = sizes[int(of[a])]
+        keep[a : a + max(0, alike.prefix(size) - (size - m))] = True
+    return _tied(of[keep], grams[keep], buckets)
 
 
 def _ties(table: pa.Table) -> pa.Table:
@@ -167,20 +316,41 @@ def _ties(table: pa.Table) -> pa.Table:
     grams = joined(table.column("grams"), "u8")
     pairs = [joined(table.column("ties"), "i8").reshape(-1, 2)]
     order = np.argsort(grams)
-    g = grams[order]
-    same = g[1:] == g[:-1]
-    twice = np.zeros(len(g), dtype=bool)
-    twice[1:] |= same
-    twice[:-1] |= same
-    g, of = g[twice], of[order][twice]
-    if len(g):
-        start = runs(g)
-        least = np.repeat(np.minimum.reduceat(of, start), np.diff(np.append(start, len(g))))
+    grams, of = grams[order], of[order]
+    start = runs(grams)
+    if len(grams):
+        least = np.repeat(np.minimum.reduceat(of, start), np.diff(np.append(start, len(grams))))
         pairs.append(np.stack([of, least], axis=1)[of != least])
     both = np.unique(np.concatenate(pairs), axis=0)
     return pa.table({"a": both[:, 0], "b": both[:, 1]})
 
 
+def _coarse(own: DataFrame, alike: Similarity, buckets: int) -> DataFrame:
+    """Ties between classes that share an n-gram of their prefixes."""
+    hot = own.sparkSession.sparkContext.broadcast(_hot_slots(own))
+
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for names, sets in _held_sets(batches):
+            of, grams = np.repeat(names, [len(s) for s in sets]), np.concatenate(sets)
+            cold = hot.value[_slots(grams).astype(np.int64)] == 0
+            yield from _as_batches(_table(list(_packed(_ranges(grams[cold], buckets), of[cold], grams[cold])), SENT))
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Straight home: sizes, and n-grams in hot slots."""
+        for names, sets in _held_sets(batches):
+            of, grams = np.repeat(names, [len(s) for s in sets]), np.concatenate(sets)
+            warm = hot.value[_slots(grams).astype(np.int64)] > 0
+            of = np.concatenate([names, of[warm]])
+            values = np.concatenate([np.array([len(s) for s in sets], dtype=np.uint64), grams[warm]])
+            level = np.repeat(np.array([255, 254], dtype=np.uint8), [len(names), len(of) - len(names)])
+            yield from _as_batches(_table(list(_packed(_home(of, buckets), of, values, level)), LEVELS))
+
+    levels = own.mapInArrow(sent, SENT).groupBy("bucket").applyInArrow(lambda t: _levels(t, buckets), LEVELS)
+    homes = levels.union(own.mapInArrow(told, LEVELS)).groupBy("home")
+    prefixes = homes.applyInArrow(lambda t: _prefixes(t, alike, hot.value, buckets), TIED)
+    return prefixes.groupBy("bucket").applyInArrow(_ties, LINKS)
+
+
 @dataclass
 class Node:
     """A path of ``order[low][start:stop]`` that the sets low..high (in tree order) share."""
@@ -273,8 +443,9 @@ class PrefixTree:
             held[probe] = False
 
 
-def tree_links(classes: np.ndarray, sets: list[np.ndarray], groups: np.ndarray, alike: Similarity) -> list[tuple[int, int]]:
+def tree_links(classes: np.ndarray, payloads: list[bytes], groups: np.ndarray, alike: Similarity) -> list[tuple[int, int]]:
     """Links that connect what similarity connects, given that equal ``groups`` are connected already."""
+    sets = [np.frombuffer(x, dtype=np.uint64) for x in payloads]
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     grams = np.concatenate(sets)
     _, flat, times = np.unique(grams, return_inverse=True, return_counts=True)
@@ -297,124 +468,70 @@ def tree_links(classes: np.ndarray, sets: list[np.ndarray], groups: np.ndarray,
     return [(int(named[k]), int(named[label[k]])) for k in range(len(order)) if label[k] != before[k]]
 
 
-LINKS = "a bigint, b bigint"
+def _joined(source: DataFrame, n: int, percent: int, fold: bool, block: int, buckets: int | None) -> tuple[DataFrame, DataFrame]:
+    """Texts (doc_id, mark, size, class), and the component of every class that links to another."""
+    spark = source.sparkSession
+    alike = Similarity(percent)
+    buckets = buckets or partitions(spark)
+    texts = saved(_set_rows(source, n, fold), "sets")
 
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-def _joined_groups(rows: DataFrame, alike: Similarity) -> DataFrame:
-    """Links within each (component, block, part): rows come sorted, so one group at a time is held."""
+        piece = TaskContext.get().partitionId() << 32
+        waiting: dict[int, np.ndarray] = {}
+        held = 0
+        for b in batches:
+            for s in sets_of(rowwise(b, "text"), n, fold):
+                if len(s) and (c := class_of(s)) not in waiting:
+                    waiting[c] = s
+                    held += len(s)
+                if held >= HELD:
+                    yield from _as_batches(_seen(list(waiting), list(waiting.values()), buckets, piece))
+                    waiting, held, piece = {}, 0, piece + 1
+        if waiting:
+            yield from _as_batches(_seen(list(waiting), list(waiting.values()), buckets, piece))
+
+    shares = source.mapInArrow(seen, SEEN).groupBy("bucket").applyInArrow(lambda t: _shares(t, buckets), SHARES)
+    shared = shares.groupBy("home").applyInArrow(_shared_of, "class bigint, shared bigint")
+    classes = texts.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"), F.first("size").alias("size"))
+    prefix = F.col("size") - F.ceil(F.lit(percent) * F.col("size") / 100) + 1
+    left = saved(shared.join(classes, "class").where(F.col("size") - F.col("shared") < prefix).select("class"), "left")
+    bits = spark.sparkContext.broadcast(bitmap(left))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[np.ndarray, int]] = {}
-        key = None
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sets of classes that may have a partner, each once a batch."""
+        for b in batches:
+            found: dict[int, np.ndarray] = {}
+            for s in sets_of(rowwise(b, "text"), n, fold):
+                if len(s) and (c := class_of(s)) not in found and in_bitmap(bits.value, np.array([c]))[0]:
+                    found[c] = s
+            names = list(found)
+            for k in range(0, len(names), 1000):
+                part = names[k : k + 1000]
+                yield pa.record_batch({"class": pa.array(part, pa.int64()), "grams": binaries([found[c] for c in part])})
 
-        def links() -> pa.RecordBatch:
-            found = []
-            if len(held) > 1:
-                names = np.array(list(held), dtype=np.int64)
-                found = tree_links(names, [s for s, _ in held.values()], np.array([g for _, g in held.values()]), alike)
-            return pa.record_batch({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+    sets = source.mapInArrow(wanted, "class bigint, grams binary").join(left, "class", "left_semi")
+    sets = saved(sets.groupBy("class").agg(F.first("grams").alias("grams")), "grams")
+    coarse = components(_coarse(sets, alike, buckets))
+    own = saved(sets.join(coarse, sets["class"] == coarse["node"]).select("component", "class", F.col("grams").alias("payload")), "tied")
+    return texts, connected(own, lambda c, p, g: tree_links(c, p, g, alike), 8 * block)
 
-        for b in batches:
-            for component, block, part, name, group, grams in zip(*(b.column(k).to_pylist() for k in range(5)), b.column(5), strict=True):
-                if key != (component, block, part):
-                    if key is not None:
-                        yield links()
-                    held, key = {}, (component, block, part)
-                held[name] = (np.frombuffer(grams.as_buffer(), dtype=np.uint64).copy(), group)
-        if key is not None:
-            yield links()
-
-    order = ["component", "block", "part"]
-    return rows.select(*order, "class", "label", "grams").repartition(*order).sortWithinPartitions(*order).mapInArrow(run, LINKS)
-
-
-def _large_links(sets: DataFrame, large: DataFrame, alike: Similarity, block: int) -> DataFrame:
-    """Links within components that are larger than a block."""
-    own = sets.join(large, "component")
-    blocks = F.ceil(F.col("total") / block).cast("int")
-    own = saved(own.withColumn("blocks", blocks).withColumn("block", F.pmod(F.hash("class"), F.col("blocks"))).withColumn("dice", F.xxhash64("class")), "large")
-    # Round 1: every block with the same anchors, about 64 of each component.
-    rate = F.col("dice").cast("double") / (2.0**63)
-    anchors = own.where(F.abs(rate) < F.lit(64.0) / F.col("members")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    first = own.unionByName(anchors).dropDuplicates(["component", "block", "class"])
-    found = saved(_joined_groups(first.withColumn("part", F.lit(0)).withColumn("label", F.col("class")), alike), "links-1")
-    names = components(found)
-    now = own.join(names, own["class"] == names["node"], "left").select(own["*"], F.coalesce(names["component"], own["class"]).alias("label"))
-    now = saved(now, "labels-1")
-    # Round 2: who is not with the largest group of the component meets every block.
-    groups = now.groupBy("component", "label").agg(F.count("*").alias("n"))
-    main = groups.groupBy("component").agg(F.max(F.struct("n", "label")).getField("label").alias("main"))
-    apart = now.join(main, "component").where("label <> main").drop("main")
-    parts = apart.groupBy("component").agg(F.greatest(F.lit(1), F.ceil(F.sum(F.length("grams") / 8) / (block / 4)).cast("int")).alias("parts"))
-    probes = (
-        apart.join(parts, "component").withColumn("part", F.pmod(F.hash("class", F.lit(1)), F.col("parts")))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("parts")
-    )
-    members = now.join(parts, "component").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-    second = members.unionByName(probes).dropDuplicates(["component", "block", "part", "class"])
-    return found.union(saved(_joined_groups(second, alike), "links-2"))
+
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("mark"), F.col(text_col).alias("text"))
 
 
 def join_components(
     docs: DataFrame, n: int = 4, percent: int = 85, fold: bool = True, id_col: str = "doc_id", text_col: str = "text",
     block: int = 1 << 22, buckets: int | None = None,
 ) -> DataFrame:
-    """One row for each row of ``docs``: id, set size, class of equal sets, and component.
+    """One row for each row of ``docs``: doc_id, size (of its set), class (of equal sets), component_id.
 
     ``component_id`` is the smallest id that links reach, the row's own included.  ``block`` is the
     number of n-grams that one task may hold for one component.
     """
-    spark = docs.sparkSession
-    alike = Similarity(percent)
-    buckets = buckets or partitions(spark)
-    source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = saved(_set_rows(source, n, fold), "sets")
-    texts = rows.where("kind = 0").select("doc_id", "size", "class")
-    counts = spark.sparkContext.broadcast(_counts(rows))
-
-    def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            waiting, held = [], 0
-            for s in sets_of(rowwise(b, "text"), n, fold):
-                waiting.append(s)
-                held += len(s)
-                if held >= 2 << 20:
-                    if (out := _posting_rows(waiting, counts.value, alike, buckets)) is not None:
-                        yield out
-                    waiting, held = [], 0
-            if waiting and (out := _posting_rows(waiting, counts.value, alike, buckets)) is not None:
-                yield out
-
-    ties = source.mapInArrow(postings, POSTINGS).groupBy("bucket").applyInArrow(_ties, LINKS)
-    coarse = saved(components(ties), "coarse")
-    bits = spark.sparkContext.broadcast(bitmap(coarse.select("node")))
-
-    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sets of classes that may have a partner, each once a batch."""
-        for b in batches:
-            seen: dict[int, np.ndarray] = {}
-            for s in sets_of(rowwise(b, "text"), n, fold):
-                if len(s) and (c := class_of(s)) not in seen and in_bitmap(bits.value, np.array([c]))[0]:
-                    seen[c] = s
-            names = list(seen)
-            for k in range(0, len(names), 1000):
-                part = names[k : k + 1000]
-                yield pa.record_batch({"class": pa.array(part, pa.int64()), "grams": binaries([seen[c] for c in part])})
-
-    found = source.mapInArrow(wanted, "class bigint, grams binary")
-    own = found.join(coarse, found["class"] == coarse["node"]).select("component", "class", "grams").dropDuplicates(["class"])
-    own = saved(own, "grams")
-    sizes = own.groupBy("component").agg(F.sum(F.length("grams") / 8).alias("total"), F.count("*").alias("members"))
-    large = saved(sizes.where(F.col("total") > block), "large-components")
-    if large.isEmpty():
-        small, links = own, None
-    else:
-        small = own.join(large, "component", "left_anti")
-        links = _large_links(own, large, alike, block)
-    whole = small.withColumns({"block": F.lit(0), "part": F.lit(0), "label": F.col("class")})
-    near = _joined_groups(whole, alike)
-    fine = components(near if links is None else near.union(links))
-
+    texts, fine = _joined(_source(docs, id_col, text_col), n, percent, fold, block, buckets)
     classes = texts.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"))
     named = classes.join(fine, classes["class"] == fine["node"], "left").select("class", "least", F.coalesce("component", "class").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -422,4 +539,25 @@ def join_components(
     return texts.join(ids, "class", "left").select("doc_id", "size", "class", F.coalesce("component_id", F.when(F.col("class").isNull(), F.col("doc_id"))).alias("component_id"))
 
 
-SET_NAMES = [x.split()[0] for x in SETS.split(", ")]
+def keep_one(
+    docs: DataFrame, n: int = 5, percent: int = 80, fold: bool = True, id_col: str = "doc_id", text_col: str = "text",
+    block: int = 1 << 22, buckets: int | None = None,
+) -> DataFrame:
+    """The rows of ``docs`` with one document of each component: the one with the smallest id, nulls last.
+
+    Of rows that repeat an id and a text one stays.  Texts without words all stay.
+    """
+    texts, fine = _joined(_source(docs, id_col, text_col), n, percent, fold, block, buckets)
+    keys = texts.where("class is not null").groupBy("class", "doc_id", "mark").agg(F.count("*").alias("rows"))
+    named = keys.join(fine, keys["class"] == fine["node"], "left").select("doc_id", "mark", "rows", F.coalesce("component", "class").alias("component"))
+    named = saved(named.withColumn("rank", F.struct(F.col("doc_id").isNull(), "doc_id", "mark")), "members")
+    first = named.groupBy("component").agg(F.min("rank").alias("first"))
+    stays = named.join(first, "component").select(F.xxhash64("doc_id", "mark").alias("key"), (F.col("rank") == F.col("first")).alias("stays"), "rows")
+    decided = saved(stays.where("not stays or rows > 1").select("key", "stays"), "decided")
+
+    key = fresh("key")
+    columns = docs.columns
+    keyed = docs.withColumn(key, F.xxhash64(F.col(id_col).cast("bigint"), F.xxhash64(F.col(text_col))))
+    clear, rest = split_by(keyed, key, decided.select("key"))
+    kept = rest.join(decided.where("not stays").select(F.col("key").alias(key)), key, "left_anti")
+    return clear.select(*columns).unionByName(kept.dropDuplicates([key]).select(*columns))

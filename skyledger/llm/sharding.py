@@ -120,8 +120,13 @@ def shard(docs: DataFrame, shards: int = 40, overhead: int = 16, id_col: str = "
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write the rows of ``docs`` under ``path``, a folder ``shard=k`` each; large shards get several files."""
-    of = shard(docs, shards, id_col=id_col, text_col=text_col).select(F.col("text_key").alias("_key"), "shard").distinct()
+    """Write the rows of ``docs`` under ``path``, a folder ``shard=k`` each; large shards get several files.
+
+    A column ``shard`` that ``docs`` has already gives way to the new one.
+    """
+    of = shard(docs, shards, id_col=id_col, text_col=text_col).select("text_key", F.col("shard").alias("to")).distinct()
     text = F.col(text_col).cast("string")
-    keyed = docs.withColumn("_key", F.coalesce(F.unhex(F.sha2(text.cast("binary"), 256)), F.lit(b"\x00")))
-    keyed.join(of, "_key").drop("_key").hint("rebalance", "shard").write.partitionBy("shard").parquet(path)
+    key = F.coalesce(F.unhex(F.sha2(text.cast("binary"), 256)), F.lit(b"\x00"))
+    placed = docs.select(F.struct("*").alias("row"), key.alias("text_key")).join(of, "text_key").hint("rebalance", "to")
+    rest = [c for c in docs.columns if c.lower() != "shard"]
+    placed.select(*(F.col("row").getField(c).alias(c) for c in rest), F.col("to").alias("shard")).write.partitionBy("shard").parquet(path)

@@ -17,7 +17,7 @@ import pyarrow as pa
 U64 = np.uint64
 BLOCK = 1 << 20
 #: Texts are taken in pieces of so many bytes; a longer text is a piece of its own.
-PIECE = 8 << 20
+PIECE = 4 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
