@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.llm.words import mixed
 from skyledger.session import scratch_dir
 
 #: Stands for a null id inside NumPy arrays; it sorts after every id.
@@ -62,6 +63,38 @@ def runs(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
 
 
+# Packs: many small values travel as arrays, one row for each key.
+
+
+def ranges(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each hash by range, so that sorted hashes have sorted buckets."""
+    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def home_of(classes: np.ndarray, homes: int) -> np.ndarray:
+    return (mixed(classes.view(np.uint64)) % np.uint64(homes)).astype(np.int64)
+
+
+def by_owner(key: np.ndarray, of: np.ndarray, *values: np.ndarray) -> Iterator[tuple]:
+    """Values by key, and within a key by owner: (key, owners, lengths, values...)."""
+    order = np.lexsort((of, key))
+    key, of = key[order], of[order]
+    values = [v[order] for v in values]
+    cut = np.append(runs(key), len(key))
+    for a, b in zip(cut[:-1], cut[1:], strict=True):
+        first = runs(of[a:b])
+        yield (int(key[a]), of[a:b][first], np.diff(np.append(first, b - a)).astype(np.uint32), *(v[a:b] for v in values))
+
+
+def binary_table(rows: list[tuple], schema: str) -> pa.Table:
+    names = [x.split()[0] for x in schema.split(", ")]
+    return pa.table([pa.array([r[0] for r in rows], pa.int32()), *(binaries([r[k] for r in rows]) for k in range(1, len(names)))], names=names)
+
+
+def as_batches(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    yield from table.to_batches()
+
+
 # Fixed-size set of 64-bit keys, to keep rows that no join needs out of a shuffle.
 
 BITMAP_BITS = 1 << 23

@@ -38,9 +38,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import binaries, bitmap, components, fresh, in_bitmap, joined, partitions, rowwise, runs, saved, split_by
+from skyledger.llm.common import as_batches, binaries, binary_table, bitmap, by_owner, components, fresh, home_of, in_bitmap, joined, partitions, ranges, rowwise, runs, saved, split_by
 from skyledger.llm.grouped_links import LINKS, connected
-from skyledger.llm.words import buffers, mixed, pieces, window_hashes, word_hashes, words_of
+from skyledger.llm.words import buffers, pieces, window_hashes, word_hashes, words_of
 
 #: The table of counts, whatever the input: 4 MB.
 SKETCH_BITS = 20
@@ -102,35 +102,6 @@ def _set_rows(source: DataFrame, n: int, fold: bool) -> DataFrame:
     return source.mapInArrow(run, SETS)
 
 
-def _ranges(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Bucket of each hash by range, so that sorted hashes have sorted buckets."""
-    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-
-
-def _home(classes: np.ndarray, homes: int) -> np.ndarray:
-    return (mixed(classes.view(np.uint64)) % np.uint64(homes)).astype(np.int64)
-
-
-def _packed(key: np.ndarray, of: np.ndarray, *values: np.ndarray) -> Iterator[tuple]:
-    """Values by key, and within a key by owner: (key, owners, lengths, values...)."""
-    order = np.lexsort((of, key))
-    key, of = key[order], of[order]
-    values = [v[order] for v in values]
-    cut = np.append(runs(key), len(key))
-    for a, b in zip(cut[:-1], cut[1:], strict=True):
-        first = runs(of[a:b])
-        yield (int(key[a]), of[a:b][first], np.diff(np.append(first, b - a)).astype(np.uint32), *(v[a:b] for v in values))
-
-
-def _table(rows: list[tuple], schema: str) -> pa.Table:
-    names = [x.split()[0] for x in schema.split(", ")]
-    return pa.table([pa.array([r[0] for r in rows], pa.int32()), *(binaries([r[k] for r in rows]) for k in range(1, len(names)))], names=names)
-
-
-def _as_batches(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    yield from table.to_batches()
-
-
 #: Grams held together by one step, eight bytes each.
 HELD = 1 << 20
 
@@ -152,12 +123,12 @@ def _seen(classes: list[int], sets: list[np.ndarray], buckets: int, piece: int)
     own = of[start].copy()
     grams = grams[start]
     short = (grams & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    bucket = _ranges(grams, buckets)
+    bucket = ranges(grams, buckets)
     # Owner 0 of what is shared already: nobody waits for an answer.
     own[times > 1] = 0
-    rows = [(*r, np.array([piece], np.int64), np.zeros(0, np.int64)) for r in _packed(bucket, own, short)]
+    rows = [(*r, np.array([piece], np.int64), np.zeros(0, np.int64)) for r in by_owner(bucket, own, short)]
     rows.append((int(bucket[0]), np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.uint32), np.array([piece], np.int64), np.stack([owner, times_here])))
-    return _table(rows, SEEN)
+    return binary_table(rows, SEEN)
 
 
 def _shares(table: pa.Table, homes: int) -> pa.Table:
@@ -190,12 +161,12 @@ def _shares(table: pa.Table, homes: int) -> pa.Table:
         cut = np.flatnonzero(new)
         found.append((of[cut], piece[cut], np.diff(np.append(cut, len(of)))))
     of, piece, counts = (np.concatenate([x[k] for x in found]).astype(np.int64) for k in range(3))
-    home = _home(of, homes)
+    home = home_of(of, homes)
     rows = []
     for k in np.unique(home):
         own = home == k
         rows.append((int(k), of[own], piece[own], counts[own]))
-    return _table(rows, SHARES)
+    return binary_table(rows, SHARES)
 
 
 def _shared_of(table: pa.Table) -> pa.Table:
@@ -270,7 +241,7 @@ def _levels(table: pa.Table, homes: int) -> pa.Table:
     level = np.repeat(np.ceil(np.log2(size + 1)).astype(np.uint8), size)
     shared = np.repeat(size > 1, size)
     of, grams, level = of[shared], grams[shared], level[shared]
-    return _table(list(_packed(_home(of, homes), of, grams, level)), LEVELS)
+    return binary_table(list(by_owner(home_of(of, homes), of, grams, level)), LEVELS)
 
 
 def _tied(classes: np.ndarray, grams: np.ndarray, buckets: int) -> pa.Table:
@@ -282,8 +253,8 @@ def _tied(classes: np.ndarray, grams: np.ndarray, buckets: int) -> pa.Table:
     other = of != least
     ties = np.unique(np.stack([of[other], least[other]], axis=1), axis=0)
     grams, of = grams[start], of[start]
-    rows = [(*r, ties if k == 0 else ties[:0]) for k, r in enumerate(_packed(_ranges(grams, buckets), of, grams))]
-    return _table(rows, TIED)
+    rows = [(*r, ties if k == 0 else ties[:0]) for k, r in enumerate(by_owner(ranges(grams, buckets), of, grams))]
+    return binary_table(rows, TIED)
 
 
 def _prefixes(table: pa.Table, alike: Similarity, hot: np.ndarray, buckets: int) -> pa.Table:
@@ -333,7 +304,7 @@ def _coarse(own: DataFrame, alike: Similarity, buckets: int) -> DataFrame:
         for names, sets in _held_sets(batches):
             of, grams = np.repeat(names, [len(s) for s in sets]), np.concatenate(sets)
             cold = hot.value[_slots(grams).astype(np.int64)] == 0
-            yield from _as_batches(_table(list(_packed(_ranges(grams[cold], buckets), of[cold], grams[cold])), SENT))
+            yield from as_batches(binary_table(list(by_owner(ranges(grams[cold], buckets), of[cold], grams[cold])), SENT))
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Straight home: sizes, and n-grams in hot slots."""
@@ -343,7 +314,7 @@ def _coarse(own: DataFrame, alike: Similarity, buckets: int) -> DataFrame:
             of = np.concatenate([names, of[warm]])
             values = np.concatenate([np.array([len(s) for s in sets], dtype=np.uint64), grams[warm]])
             level = np.repeat(np.array([255, 254], dtype=np.uint8), [len(names), len(of) - len(names)])
-            yield from _as_batches(_table(list(_packed(_home(of, buckets), of, values, level)), LEVELS))
+            yield from as_batches(binary_table(list(by_owner(home_of(of, buckets), of, values, level)), LEVELS))
 
     levels = own.mapInArrow(sent, SENT).groupBy("bucket").applyInArrow(lambda t: _levels(t, buckets), LEVELS)
     homes = levels.union(own.mapInArrow(told, LEVELS)).groupBy("home")
@@ -487,10 +458,10 @@ def _joined(source: DataFrame, n: int, percent: int, fold: bool, block: int, buc
                     waiting[c] = s
                     held += len(s)
                 if held >= HELD:
-                    yield from _as_batches(_seen(list(waiting), list(waiting.values()), buckets, piece))
+                    yield from as_batches(_seen(list(waiting), list(waiting.values()), buckets, piece))
                     waiting, held, piece = {}, 0, piece + 1
         if waiting:
-            yield from _as_batches(_seen(list(waiting), list(waiting.values()), buckets, piece))
+            yield from as_batches(_seen(list(waiting), list(waiting.values()), buckets, piece))
 
     shares = source.mapInArrow(seen, SEEN).groupBy("bucket").applyInArrow(lambda t: _shares(t, buckets), SHARES)
     shared = shares.groupBy("home").applyInArrow(_shared_of, "class bigint, shared bigint")

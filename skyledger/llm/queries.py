@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import classifier, decontaminate, mixing, ngram_join, packing, quality_rules, sharding, substring_dedup, url_filter
+from skyledger.llm import classifier, decontaminate, line_dedup, mixing, ngram_join, packing, quality_rules, sharding, substring_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,10 +63,15 @@ def op9_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_dedup.remove_lines(_documents(spark, sf_dir))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_benchmark_decontamination, op3_substring_dedup, op4_url_filters, op5_quality_classifier,
-        op6_source_mixing, op7_quality_rules, op8_sharding, op9_token_packing,
+        op6_source_mixing, op7_quality_rules, op8_sharding, op9_token_packing, op10_line_dedup,
     )
 }
