@@ -80,6 +80,11 @@ def _rate(x: Column, size: Column, cap: float) -> Column:
     return F.lit(cap) / (1 + (cap - 1) * F.exp(power))
 
 
+def exact(value: Column) -> Column:
+    """A sum that does not depend on the order of rows."""
+    return F.sum(value.cast("decimal(38,6)")).cast("double")
+
+
 def multipliers(cells: DataFrame, wanted: DataFrame, cap: float = 2.0, close: float = 1e-6, rounds: int = 60) -> DataFrame:
     """The dual solution: (k, x).  Cells are (k, size, n), wanted (k, source_size, target)."""
     mean = cells.where("size > 0").groupBy("k").agg((F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("mean"))
@@ -91,7 +96,7 @@ def multipliers(cells: DataFrame, wanted: DataFrame, cap: float = 2.0, close: fl
         rate = _rate(F.col("y") / F.col("mean"), F.col("size"), cap)
         words = F.col("size") * F.col("n")
         sums = cells.join(state.where("not done").select("k", "y", "mean"), "k").groupBy("k").agg(
-            F.sum(words * rate).alias("got"), F.sum(words * F.col("size") / F.col("mean") * rate * (1 - rate / cap)).alias("slope")
+            exact(words * rate).alias("got"), exact(words * F.col("size") / F.col("mean") * rate * (1 - rate / cap)).alias("slope")
         )
         if not state.where("not done").limit(1).count():
             break
