@@ -34,4 +34,93 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_re
 FROM d LEFT JOIN cut ON cut.doc_id = d.doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_substring_dedup": OP3}
+
+OP1 = rf"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, {_words("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents
+),
+shingle AS (
+    SELECT DISTINCT doc_id, seq FROM (
+        SELECT doc_id, list_slice(w, pos, pos + 3) AS seq
+        FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 3, 1))) AS pos FROM d WHERE len(w) > 0)
+    )
+),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+    FROM shingle a JOIN shingle b ON a.seq = b.seq AND a.doc_id < b.doc_id GROUP BY ALL
+),
+link AS (
+    SELECT x, y FROM common JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y
+    WHERE 100 * common.n >= 85 * (p.n + q.n - common.n)
+),
+both_ways AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM d
+    UNION
+    SELECT reach.doc_id, both_ways.y FROM reach JOIN both_ways ON both_ways.x = reach.other
+)
+SELECT d.doc_id, coalesce(size.n, 0) AS n_shingles, c.component_id
+FROM d LEFT JOIN size ON size.doc_id = d.doc_id
+JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = d.doc_id
+"""
+
+OP4 = """
+WITH parts AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+),
+cut AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+    FROM parts
+),
+rules(action, rule_host, rule_path) AS (
+    VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+),
+hit AS (
+    SELECT page_id, rule_host || rule_path AS rule, action,
+        row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC) AS place
+    FROM cut JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+)
+SELECT cut.page_id, host, path, rule, coalesce(action, 'allow') AS verdict
+FROM cut LEFT JOIN hit ON hit.page_id = cut.page_id AND place = 1
+"""
+
+# Every maximal repeat of ten words or more is a chain of windows of ten words that occur twice,
+# so their union covers the same words; one of more than 100 words holds a repeated window of 101.
+_TWICE = """
+    SELECT doc_id, pos FROM (
+        SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, hash(list_slice(w, pos, pos + {width} - 1))) AS times
+        FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - {width} + 1)) AS pos FROM {table} WHERE len(w) >= {width})
+    ) WHERE times > 1
+"""
+_COVERED = "SELECT doc_id, count(DISTINCT pos + k) AS n FROM {table}, range({width}) AS r(k) GROUP BY doc_id"
+
+OP7 = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_words("text")} AS w FROM documents),
+three AS ({_TWICE.format(width=3, table="d")}),
+ten AS ({_TWICE.format(width=10, table="d")}),
+looped AS (SELECT * FROM d WHERE doc_id IN (SELECT doc_id FROM ten GROUP BY doc_id HAVING count(*) >= 92)),
+long AS (SELECT DISTINCT doc_id FROM ({_TWICE.format(width=101, table="looped")})),
+repeat_words AS ({_COVERED.format(table="three", width=3)}),
+covered AS ({_COVERED.format(table="ten", width=10)}),
+line AS (
+    SELECT doc_id, count(*) - count(DISTINCT line) AS n
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+),
+base AS (
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+        CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+        CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        coalesce(line.n, 0) AS n_dup_lines, coalesce(repeat_words.n, 0) AS n_repeat_words,
+        coalesce(covered.n, 0) AS n_covered, long.doc_id IS NOT NULL AS too_long
+    FROM d LEFT JOIN line USING (doc_id) LEFT JOIN repeat_words USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN long USING (doc_id)
+),
+failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND 10 * n_covered <= 3 * n_words AND NOT too_long AS kept
+FROM failed
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_ngram_jaccard_join": OP1, "op3_substring_dedup": OP3, "op4_url_filters": OP4, "op7_quality_rules": OP7}
