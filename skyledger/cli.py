@@ -4,6 +4,7 @@
     extract  flights -> headerless 13- or 14-field text
     audit    good and total line counts of the input
     publish  flights -> messages on a topic
+    relay    messages of one topic -> another
     run      a batch report on flights -> text or Parquet
     stream   a running report on a topic -> keyed table, text report or console
     lookup   keys of a result table -> printed lines
@@ -13,19 +14,21 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from fnmatch import fnmatch
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.operators import filters, lookup, ranking
+from skyledger.operators import filters, lookup, ranking, trips
 from skyledger.plans.batch import METRICS, RANKINGS, REPORTS
-from skyledger.schema import TABLES
-from skyledger.session import build_session
+from skyledger.schema import RAW_COLUMNS, TABLES
+from skyledger.session import build_session, folders
 from skyledger.sources import extract, messages, raw, tables, yearly
 from skyledger.streaming import running
 from skyledger.streaming import trips as trip_streams
-from skyledger.streaming.sinks import SnapshotTable
+from skyledger.streaming.sinks import FAIL, RESET, SnapshotTable
 
 LAYOUTS = ("table", "raw", "raw-headerless", "extract13", "extract14")
+TRIP_REPORTS = ("best_trips", "all_trips")
 STREAM_JOBS = (
     *running.TABLE_JOBS, *running.RANKING_JOBS, "all-trips", "best-trips", "word-count",
 )
@@ -50,20 +53,44 @@ def options(pairs: Sequence[str]) -> dict[str, str]:
     return dict(pair.split("=", 1) for pair in pairs)
 
 
-def read_input(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    """The input flights in whichever layout they are kept."""
+def read_flights(spark: SparkSession, args: argparse.Namespace, years: list[int] | None):
+    """The flights of whichever layout, of whole files or directories of the years."""
     if args.layout == "table":
-        flights = yearly.read_years(spark, args.input, args.years)
-    elif args.layout.startswith("raw"):
-        paths = raw.raw_paths(args.input, args.years) if args.years else args.input
-        flights = raw.read_flights(spark, paths, header=args.layout == "raw")
-    else:
-        flights = extract.read_extract(spark, args.input, int(args.layout[-2:]))
+        return yearly.read_years(spark, args.input, years)
+    if args.layout.startswith("raw"):
+        paths = raw.raw_paths(args.input, years) if years else args.input
+        columns = args.columns.split(",") if args.columns else RAW_COLUMNS
+        return raw.read_flights(spark, paths, args.layout == "raw", columns)
+    return extract.read_extract(spark, args.input, int(args.layout[-2:]))
+
+
+def read_input(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    """The input flights, of the given years and dates."""
+    flights = read_flights(spark, args, args.years)
     if args.dates:
         flights = filters.on_dates(flights, args.dates.split(","))
     return flights
 
 
+def trips_report(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    """Trips that start in the given years and on the given dates.
+
+    Second legs are two days later, so the year after is read, too, where there is one.
+    """
+    years = args.years
+    if years:
+        after = sorted({y + 1 for y in years} - set(years))
+        if args.layout.startswith("raw"):
+            held = folders(spark, args.input)
+            after = [y for y in after if any(fnmatch(x, raw.FILE_PATTERN.format(year=y)) for x in held)]
+        years = [*years, *after]
+    flights = flown(read_flights(spark, args, years), args.keep_diverted)
+    report = REPORTS[args.report]
+    if args.dates:
+        return trips.starting_on(report, flights, args.dates.split(","))
+    return trips.starting_in(report, flights, args.years) if args.years else report(flights)
+
+
 def flown(flights: DataFrame, keep_diverted: bool) -> DataFrame:
     """Flights that count; tables and extracts without flags hold only such flights."""
     if "cancelled" not in flights.columns:
@@ -72,9 +99,10 @@ def flown(flights: DataFrame, keep_diverted: bool) -> DataFrame:
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.dates:
+        raise SystemExit("load replaces whole months; --dates would leave parts of them")
     flights = flown(read_input(spark, args), args.keep_diverted)
-    # Raw and extract files hold one month each.
-    written = yearly.write_years(flights, args.out, clustered=args.layout != "table")
+    written = yearly.write_years(flights, args.out)
     print(f"{written['rows']} flights written")
 
 
@@ -84,54 +112,79 @@ def write_extract(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def audit(spark: SparkSession, args: argparse.Namespace) -> None:
-    row = filters.audit(read_input(spark, args)).first()
+    row = filters.audit(read_input(spark, args), filters.bad_times()).first()
     print(
-        f"good lines {row.good_lines} for {row.all_lines} lines "
-        f"({row.unknown_lines} without readable flags)"
+        f"{row.all_lines} lines, {row.good_lines} of them good, "
+        f"{row.unknown_lines} without readable flags, {row.bad_times} without a readable departure"
     )
 
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
     flights = flown(read_input(spark, args), keep_diverted=False)
-    lines = filters.message_value(flights)
-    messages.publish(lines, args.transport, **options(args.option))
+    sent = messages.publish(filters.message_value(flights), args.transport, **options(args.option))
+    print(f"{sent} messages published")
+
+
+def relay(spark: SparkSession, args: argparse.Namespace) -> None:
+    lines = messages.read_messages(spark, args.transport, **options(args.option))
+    messages.publish_stream(
+        lines, args.checkpoint, args.transport, **options(args.to)
+    ).awaitTermination()
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
-    flights = flown(read_input(spark, args), args.keep_diverted)
-    report = REPORTS[args.report]
-    rows = report(flights, n=args.n) if args.report in RANKINGS else report(flights)
+    if args.report in TRIP_REPORTS:
+        rows = trips_report(spark, args)
+    else:
+        flights = flown(read_input(spark, args), args.keep_diverted)
+        report = REPORTS[args.report]
+        rows = report(flights, n=args.n) if args.report in RANKINGS else report(flights)
     if args.table:
         tables.write_table(tables.as_table(rows, TABLES[args.table]), TABLES[args.table], args.out)
     elif args.out:
         tables.write_text(rows, args.out)
     else:
-        rows.show(args.n, truncate=False)
+        if args.report not in RANKINGS:
+            rows = rows.orderBy(*rows.columns)
+        shown = rows.limit(args.n + 1).collect()
+        for row in shown[: args.n]:
+            print("\t".join(map(str, row)))
+        if len(shown) > args.n:
+            print(f"... the first {args.n} rows; --out writes all, --n shows more")
 
 
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     source = options(args.option)
+    if args.limit:
+        seconds = float(args.every.split()[0]) if args.every else running.BATCH_SECONDS
+        source |= messages.feed_limit(args.transport, seconds, args.limit)
     lines = messages.read_messages(spark, args.transport, **source)
     trigger = {"processingTime": args.every} if args.every else None
     if args.once:
         trigger = running.AVAILABLE_NOW
     query = _start(spark, args, lines, trigger)
     query.awaitTermination()
+    if args.max_disorder and (late := trip_streams.late_rows(query)):
+        print(f"{late} legs came later than {args.max_disorder} and were left out")
 
 
 def _start(spark: SparkSession, args: argparse.Namespace, lines: DataFrame, trigger):
     if args.job == "word-count":
-        return running.count_words_per_batch(lines, args.out, args.checkpoint, trigger)
+        return running.count_words_per_batch(
+            lines, args.out, args.checkpoint, trigger, args.existing
+        )
     flights = messages.parse(lines)
     if args.job == "all-trips":
         return trip_streams.keep_all_trips(
-            flights, args.out, args.checkpoint, trigger, max_disorder=args.max_disorder
+            flights, args.out, args.checkpoint, trigger, args.salts, args.max_disorder,
+            args.existing,
         )
     if args.job == "best-trips":
-        store = trip_streams.BestTripsStore(spark, args.out)
+        store = trip_streams.BestTripsStore(spark, args.out, args.existing)
         return trip_streams.keep_best_trips(flights, store, args.checkpoint, trigger)
     if args.job in running.TABLE_JOBS:
-        target = SnapshotTable(spark, running.TABLE_JOBS[args.job][0], args.out)
+        table = running.TABLE_JOBS[args.job][0]
+        target = SnapshotTable(spark, table, args.out, existing=args.existing)
         return running.keep_table(args.job, flights, target, args.checkpoint, trigger)
     if args.out:
         return running.keep_report(args.job, flights, args.out, args.checkpoint, trigger)
@@ -145,15 +198,12 @@ def look_up(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         rows = tables.read_table(spark, table, args.input)
     keys = args.keys.split(",")
-    if args.table == "carrier_performance":
-        found = lookup.carriers_of(rows, keys, args.n)
-    elif args.table == "destination_performance":
-        found = lookup.destinations_of(rows, keys, args.n)
-    else:
+    if args.table == "route_delay":
         found = lookup.routes(rows, [tuple(key.split(":")) for key in keys])
+    else:
+        found = lookup.best_of(rows, table, keys, args.n)
     # At most n lines per asked key, so the driver can print them.
-    ordered = found.orderBy("rank") if "rank" in found.columns else found
-    for row in lookup.report_lines(ordered, *table.fields).collect():
+    for row in lookup.report_lines(found, table).collect():
         print(row.line)
 
 
@@ -168,7 +218,8 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument("--input", required=True)
             sub.add_argument("--layout", choices=LAYOUTS, default="table")
             sub.add_argument("--years", type=years)
-            sub.add_argument("--dates")
+            sub.add_argument("--dates", help="of trips, the dates of the first leg")
+            sub.add_argument("--columns", help="names by position, for raw-headerless")
             sub.add_argument("--keep-diverted", action="store_true")
         return sub
 
@@ -184,6 +235,12 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--transport", default="kafka")
     sub.add_argument("--option", action="append", default=[], metavar="NAME=VALUE")
 
+    sub = command("relay", relay)
+    sub.add_argument("--transport", default="kafka")
+    sub.add_argument("--option", action="append", default=[], metavar="NAME=VALUE")
+    sub.add_argument("--to", action="append", default=[], metavar="NAME=VALUE")
+    sub.add_argument("--checkpoint", required=True)
+
     sub = command("run", run, flights=True)
     sub.add_argument("report", choices=sorted((*METRICS, *RANKINGS)))
     sub.add_argument("--n", type=int, default=ranking.DEFAULT_N)
@@ -199,11 +256,21 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--n", type=int, default=ranking.DEFAULT_N)
     sub.add_argument("--once", action="store_true", help="stop when everything is read")
     sub.add_argument("--every", help="time between micro-batches, e.g. '2 seconds'")
+    sub.add_argument("--limit", type=int, help="bytes of files or broker messages a second")
+    sub.add_argument(
+        "--existing", choices=(RESET, FAIL), default=RESET,
+        help="when a new stream finds what another one wrote",
+    )
+    sub.add_argument("--salts", type=int, default=trip_streams.DEFAULT_SALTS)
     sub.add_argument("--max-disorder", help="drop older legs from state, e.g. '33 days'")
 
     sub = command("lookup", look_up)
     sub.add_argument(
-        "table", choices=("carrier_performance", "destination_performance", "route_delay")
+        "table",
+        choices=(
+            "carrier_performance", "carrier_delay", "destination_performance",
+            "destination_delay", "route_delay",
+        ),
     )
     sub.add_argument("--input", required=True)
     sub.add_argument("--keys", required=True, help="SRQ,CMH or LGA:BOS,BOS:LGA")

@@ -16,14 +16,21 @@ def to_number(column: Column, kind: str) -> Column:
     return none_if_empty(column).try_cast(kind)
 
 
+def to_time(column: Column) -> Column:
+    """Parse an ``HHMM`` time; what is no time from 0000 to 2400 becomes null."""
+    time = to_number(column, "double").cast("int")
+    return F.when(time.between(0, 2400) & (time % 100 < 60), time)
+
+
 def is_zero(flag: Column) -> Column:
     """True for a numeric 0 flag; null stays null, so a filter drops it."""
     return flag == F.lit(0)
 
 
 def hhmm_text(column: Column) -> Column:
-    """An ``HHMM`` integer as four-digit text."""
-    return F.lpad(column.cast("string"), 4, "0")
+    """An ``HHMM`` integer as text of four digits, or more if it has more."""
+    text = column.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(4)), F.lit("0"))
 
 
 def fixed2(column: Column) -> Column:

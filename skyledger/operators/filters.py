@@ -88,15 +88,21 @@ def message_value(flights: DataFrame) -> DataFrame:
     return flights.select(delimited(*fields).alias("value"))
 
 
-def audit(flights: DataFrame) -> DataFrame:
-    """One row: clean rows, rows whose flags could not be read, and all rows."""
+def audit(flights: DataFrame, *more: Column) -> DataFrame:
+    """One row: clean rows, rows whose flags could not be read, all rows, and what ``more`` counts."""
     unknown = F.col("cancelled").isNull() | F.col("diverted").isNull()
     return flights.agg(
         F.count_if(_is_clean()).alias("good_lines"),
         F.count_if(unknown).alias("unknown_lines"),
         F.count(F.lit(1)).alias("all_lines"),
+        *more,
     )
 
 
+def bad_times() -> Column:
+    """For the audit: clean rows whose departure time is missing or is no time of day."""
+    return F.count_if(_is_clean() & F.col("dep_time").isNull()).alias("bad_times")
+
+
 def _as_date(value: dt.date | str) -> dt.date:
     return value if isinstance(value, dt.date) else dt.date.fromisoformat(value)

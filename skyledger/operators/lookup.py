@@ -8,19 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions import result_line
-from skyledger.operators.ranking import DEFAULT_N, largest_per_group
+from skyledger.operators.ranking import DEFAULT_N, largest_per_group, smallest_per_group
+from skyledger.schema import ResultTable
 
 
-def carriers_of(table: DataFrame, airports: Iterable[str], n: int = DEFAULT_N) -> DataFrame:
-    """Best carriers of each listed airport; reads only those airports' directories."""
-    found = table.filter(F.col("airport").isin(list(airports)))
-    return largest_per_group(found, "airport", "departureperf", "carrier", n)
+def best_of(
+    rows: DataFrame, table: ResultTable, keys: Iterable[str], n: int = DEFAULT_N
+) -> DataFrame:
+    """The ``n`` best rows of each listed key, best first by the table's own direction.
 
-
-def destinations_of(table: DataFrame, origins: Iterable[str], n: int = DEFAULT_N) -> DataFrame:
-    """Best destinations of each listed origin; reads only those origins' directories."""
-    found = table.filter(F.col("origin").isin(list(origins)))
-    return largest_per_group(found, "origin", "departureperf", "destination", n)
+    ``keys`` are values of the table's first key column; row group statistics skip the others.
+    """
+    group, code = table.key
+    found = rows.filter(F.col(group).isin(list(keys)))
+    per_group = largest_per_group if table.largest else smallest_per_group
+    return per_group(found, group, table.value, code, n)
 
 
 def routes(table: DataFrame, pairs: Iterable[tuple[str, str]]) -> DataFrame:
@@ -29,10 +31,10 @@ def routes(table: DataFrame, pairs: Iterable[tuple[str, str]]) -> DataFrame:
     wanted = F.lit(False)
     for origin, destination in pairs:
         wanted |= (F.col("origin") == origin) & (F.col("destination") == destination)
-    in_directories = F.col("origin").isin([origin for origin, _ in pairs])
-    return table.filter(in_directories).filter(wanted)
+    return table.filter(F.col("origin").isin([origin for origin, _ in pairs])).filter(wanted)
 
 
-def report_lines(rows: DataFrame, *columns: str) -> DataFrame:
-    """Lookup rows as printable lines: two codes and a number."""
-    return rows.select(result_line("%s - %s - %f", *columns).alias("line"))
+def report_lines(rows: DataFrame, table: ResultTable) -> DataFrame:
+    """Lookup rows as printable lines, two codes and a number: one block for each key, in rank order."""
+    order = [table.key[0], "rank" if "rank" in rows.columns else table.key[1]]
+    return rows.orderBy(*order).select(result_line("%s - %s - %f", *table.fields).alias("line"))

@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyledger.session import scratch_dir
+
 DEFAULT_N = 10
-_BLOCKS_PER_DOUBLING = 16
 
 
 def largest(metric: DataFrame, value: str, code: str, n: int = DEFAULT_N) -> DataFrame:
@@ -49,26 +50,26 @@ def ranked(metric: DataFrame, value: str, code: str) -> DataFrame:
 
 
 def full_rank(counts: DataFrame, value: str, code: str) -> DataFrame:
-    """All rows with their position, largest first, for positive counts.
+    """All rows with their position, largest first, equal values by the larger code; nulls last.
 
-    A plain global window would move every row into one task.  Positions are counted inside
-    blocks of similar magnitude instead, then shifted by the size of all larger blocks; a
-    64-bit count has at most 64 x 16 blocks, so the shift table has a fixed size bound.
+    A plain global window would move every row into one task.  Here a range sort by value and code
+    deals the rows to tasks, equal values included, and the sorted rows are kept in the shared folder.
+    A position is then the row's place in its partition plus the rows of all partitions before, a
+    table of one row per partition.
     """
-    block = F.floor(F.log2(F.col(value)) * F.lit(_BLOCKS_PER_DOUBLING))
-    blocked = counts.withColumn("block", block)
-    larger = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (
-        blocked.groupBy("block")
-        .agg(F.count(F.lit(1)).alias("size"))
-        .select("block", F.coalesce(F.sum("size").over(larger), F.lit(0)).alias("shift"))
-    )
-    inside = F.row_number().over(
-        Window.partitionBy("block").orderBy(F.desc(value), F.desc(code))
+    spark = counts.sparkSession
+    path = scratch_dir(spark, "ranking")
+    in_order = counts.orderBy(F.desc(value), F.desc(code))
+    in_order.withColumn("place", F.monotonically_increasing_id()).write.parquet(path)
+    # The id holds the partition above 33 bits and the place in it below.
+    part = F.shiftrightunsigned("place", 33)
+    rows = spark.read.parquet(path).withColumn("part", part)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("part").agg(F.count(F.lit(1)).alias("size")).select(
+        "part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start")
     )
-    return (
-        blocked.join(F.broadcast(shifts), "block")
-        .withColumn("rank", F.col("shift") + inside)
-        .drop("block", "shift")
-        .orderBy("rank")
+    inside = F.col("place") - F.shiftleft("part", 33)
+    ranked_rows = rows.join(F.broadcast(starts), "part").withColumn(
+        "rank", F.col("start") + inside + 1
     )
+    return ranked_rows.select(*counts.columns, "rank").orderBy("rank")

@@ -6,7 +6,7 @@ The first leg departs before noon and the second after noon; a 12:00 departure i
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,12 +80,29 @@ def best_trips_on(flights: DataFrame, dates: Iterable[dt.date | str]) -> DataFra
 
     Flights of other days are dropped before the trips are built.
     """
+    trips = starting_on(best_trips, flights, dates)
+    return trips.orderBy("xydelay", "yzdelay", "origin", "stopby", "destination", "date")
+
+
+def starting_on(
+    trips_of_flights: Callable[[DataFrame], DataFrame], flights: DataFrame,
+    dates: Iterable[dt.date | str],
+) -> DataFrame:
+    """Trips whose first leg is on one of the dates; flights of other days are not joined."""
     starts = [d if isinstance(d, dt.date) else dt.date.fromisoformat(d) for d in dates]
     needed = {d + dt.timedelta(days=k) for d in starts for k in (0, STOPOVER_DAYS)}
-    trips = best_trips(on_dates(flights, sorted(needed)))
-    return trips.filter(F.col("date").isin(starts)).orderBy(
-        "xydelay", "yzdelay", "origin", "stopby", "destination", "date"
-    )
+    return trips_of_flights(on_dates(flights, sorted(needed))).filter(F.col("date").isin(starts))
+
+
+def starting_in(
+    trips_of_flights: Callable[[DataFrame], DataFrame], flights: DataFrame, years: Iterable[int]
+) -> DataFrame:
+    """Trips whose first leg is in one of the years; the second may be in the next year."""
+    years = list(years)
+    first = F.year("flight_date").isin(years)
+    second = F.year(F.date_sub("flight_date", STOPOVER_DAYS)).isin(years)
+    trips = trips_of_flights(flights.filter(first | second))
+    return trips.filter(F.year("date").isin(years))
 
 
 def all_trips(flights: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators import filters, metrics, ranking, trips
-from skyledger.plans.parameters import DATES, TRIP_DATES
+from skyledger.plans.parameters import DATES, TRIP_DATES, YEARS
 from skyledger.sources.driver_tables import flights, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,6 +134,9 @@ QUERIES: dict[str, Query] = {
         )
     },
     "best_trips_on_date": _on_clean(partial(trips.best_trips_on, dates=TRIP_DATES)),
+    "best_trips_in_years": _on_clean(
+        lambda rows: trips.starting_in(trips.best_trips, rows, YEARS)
+    ),
     "publish_messages": _on_clean(filters.message_value),
     "word_count": _word_count,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from skyledger.plans.gaps import GAPS
 from skyledger.plans.parameters import (
     DATES, LOOKUP_AIRPORTS, LOOKUP_ROUTES, TRIP_DATES, YEARS,
 )
@@ -142,13 +143,18 @@ _AIRPORT_DEST_TOTAL = _group("sum", "dep_delay", "origin, dest", "total_delay")
 _ROUTE_MEAN = _group("avg", "arr_delay_minutes", "origin, dest", "mean_delay")
 _ROUTE_SIGNED = _group("avg", "arr_delay", "origin, dest", "mean_delay")
 
-_CARRIER_TABLE = f"""SELECT origin AS airport, carrier, ontime_pct AS departureperf
+_CARRIER_TABLE = f"""SELECT origin AS airport, carrier, ontime_pct
   FROM ({_AIRPORT_CARRIER_ONTIME}) AS m"""
-_DEST_TABLE = f"""SELECT origin, dest AS destination, ontime_pct AS departureperf
+_DEST_TABLE = f"""SELECT origin, dest AS destination, ontime_pct
   FROM ({_AIRPORT_DEST_ONTIME}) AS m"""
-_ROUTE_TABLE = f"""SELECT origin, dest AS destination, mean_delay AS meandelay
+_ROUTE_TABLE = f"""SELECT origin, dest AS destination, mean_delay
   FROM ({_ROUTE_MEAN}) AS m"""
 
+_CARRIER_DELAY_TABLE = f"""SELECT origin AS airport, carrier, mean_delay AS delay
+  FROM ({_AIRPORT_CARRIER_MEAN}) AS m"""
+_DEST_DELAY_TABLE = f"""SELECT origin, dest AS destination, mean_delay AS delay
+  FROM ({_AIRPORT_DEST_MEAN}) AS m"""
+
 _ROUTE_PAIRS = " OR ".join(
     f"(origin = '{o}' AND destination = '{d}')" for o, d in LOOKUP_ROUTES
 )
@@ -225,13 +231,25 @@ _FLIGHT_QUERIES = {
     "all_trips": _trips(_COUNTED_LEGS, ", a.n * b.n AS copies"),
     "best_trips_on_date": f"""SELECT * FROM ({_trips(_BEST)}) AS t
         WHERE date IN ({", ".join(f"DATE '{d}'" for d in TRIP_DATES)})""",
+    "best_trips_in_years": f"""SELECT * FROM ({_trips(_BEST)}) AS t
+        WHERE year(date) IN ({", ".join(map(str, YEARS))})""",
+    "raw_round_trip": f"SELECT {_COLUMNS14} FROM clean",
+    "headerless_round_trip": f"SELECT {_COLUMNS14} FROM clean",
     "lookup_carriers": _top_per_group(
         f"SELECT * FROM ({_CARRIER_TABLE}) AS t WHERE airport IN ({_in(LOOKUP_AIRPORTS)})",
-        "airport", "departureperf", "carrier", "DESC",
+        "airport", "ontime_pct", "carrier", "DESC",
     ),
     "lookup_destinations": _top_per_group(
         f"SELECT * FROM ({_DEST_TABLE}) AS t WHERE origin IN ({_in(LOOKUP_AIRPORTS)})",
-        "origin", "departureperf", "destination", "DESC",
+        "origin", "ontime_pct", "destination", "DESC",
+    ),
+    "lookup_carriers_by_delay": _top_per_group(
+        f"SELECT * FROM ({_CARRIER_DELAY_TABLE}) AS t WHERE airport IN ({_in(LOOKUP_AIRPORTS)})",
+        "airport", "delay", "carrier", "ASC",
+    ),
+    "lookup_destinations_by_delay": _top_per_group(
+        f"SELECT * FROM ({_DEST_DELAY_TABLE}) AS t WHERE origin IN ({_in(LOOKUP_AIRPORTS)})",
+        "origin", "delay", "destination", "ASC",
     ),
     "lookup_route": f"SELECT * FROM ({_ROUTE_TABLE}) AS t WHERE {_ROUTE_PAIRS}",
     "publish_messages": _MESSAGE,
@@ -245,8 +263,54 @@ _FLIGHT_QUERIES = {
 }
 
 
+def _gap_view() -> str:
+    """The view with columns blanked by times of day."""
+    kept = [
+        f"CASE WHEN {time} % {divisor} <> {remainder} THEN {name} END AS {name}"
+        for name, (time, divisor, remainder) in GAPS.items()
+    ]
+    return _VIEW.replace("WITH flights AS (", "WITH whole AS (").replace(
+        "clean AS (",
+        f"flights AS (SELECT * EXCLUDE ({', '.join(GAPS)}), {', '.join(kept)} FROM whole),\nclean AS (",
+    )
+
+
+# Departure minutes of airport rankings: 0 if neither delay is known, else unknown without them.
+_MINUTES = """CASE WHEN dep_delay_minutes IS NULL AND arr_delay_minutes IS NULL THEN 0
+  ELSE dep_delay_minutes END"""
+
+
+def _known_mean(measure: str, keys: str) -> str:
+    present = " AND ".join(f"{k.strip()} IS NOT NULL" for k in keys.split(","))
+    return f"""SELECT {keys}, avg(m) AS mean_delay FROM (SELECT *, {measure} AS m FROM clean) AS c
+      WHERE m IS NOT NULL AND {present} GROUP BY {keys}"""
+
+
+def _known_ontime(keys: str, flag: str) -> str:
+    present = " AND ".join(f"{k.strip()} IS NOT NULL" for k in keys.split(","))
+    return _ontime(keys, flag).replace("FROM clean", f"FROM clean WHERE {present}")
+
+
+_KNOWN_LEGS = """origin IS NOT NULL AND dest IS NOT NULL AND flight_date IS NOT NULL"""
+_GAP_QUERIES = {
+    "gaps_audit": _FLIGHT_QUERIES["extract_audit"],
+    "gaps_airport_counts": f"SELECT * FROM ({_counts('clean')}) AS c WHERE airport IS NOT NULL",
+    "gaps_carrier_ontime_pct": _known_ontime("carrier", "arr_del15"),
+    "gaps_airport_dest_ontime_pct": _known_ontime("origin, dest", "dep_del15"),
+    "gaps_carrier_total_delay": """SELECT carrier, sum(arr_delay) AS total_delay FROM clean
+        WHERE carrier IS NOT NULL AND arr_delay IS NOT NULL GROUP BY carrier""",
+    "gaps_airport_carrier_mean_delay": _known_mean(_MINUTES, "origin, carrier"),
+    "gaps_airport_dest_mean_delay": _known_mean(_MINUTES, "origin, dest"),
+    "gaps_route_mean_delay": _known_mean("arr_delay_minutes", "origin, dest"),
+    "gaps_best_trips": _trips(_BEST.replace("dep_time <> 1200", f"dep_time <> 1200 AND {_KNOWN_LEGS}")
+        .replace("concat(carrier, ' ', flight_num)", "concat_ws(' ', carrier, flight_num)")),
+    "extract_round_trip": f"SELECT {_COLUMNS13} FROM clean",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     queries = {name: f"{_VIEW} {body}" for name, body in _FLIGHT_QUERIES.items()}
+    queries |= {name: f"{_gap_view()} {body}" for name, body in _GAP_QUERIES.items()}
     queries["word_count"] = _WORDS
     queries["stream_word_count"] = _WORDS
     return queries

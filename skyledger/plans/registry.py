@@ -2,22 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
-from skyledger.plans import batch, serving, streams
+from skyledger.plans import batch, gaps, serving, streams
 from skyledger.plans.batch import Query
-from skyledger.session import allow_hash_joins
-
-
-def _tuned(query: Query) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        allow_hash_joins(spark)
-        return query(spark, sf_dir)
-
-    return run
-
 
 QUERIES: dict[str, Query] = {
-    name: _tuned(query)
-    for name, query in {**batch.QUERIES, **serving.QUERIES, **streams.QUERIES}.items()
+    **batch.QUERIES, **gaps.QUERIES, **serving.QUERIES, **streams.QUERIES,
 }

@@ -2,33 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators import filters, lookup, metrics
 from skyledger.plans.parameters import LOOKUP_AIRPORTS, LOOKUP_ROUTES, YEARS
-from skyledger.schema import CARRIER_PERFORMANCE, DESTINATION_PERFORMANCE, ROUTE_DELAY, ResultTable
+from skyledger.schema import (
+    CARRIER_DELAY, CARRIER_PERFORMANCE, DESTINATION_DELAY, DESTINATION_PERFORMANCE, ROUTE_DELAY,
+    ResultTable,
+)
 from skyledger.session import scratch_dir
 from skyledger.sources import tables, yearly
 from skyledger.sources.driver_tables import flights
 
-_WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
-def written_once(spark: SparkSession, sf_dir: str, label: str, write) -> str:
-    """Path of a table derived from the input, written on its first use in an application."""
-    key = (spark.sparkContext.applicationId, sf_dir, label)
-    if key not in _WRITTEN:
-        path = scratch_dir(spark, label)
-        write(path)
-        _WRITTEN[key] = path
-    return _WRITTEN[key]
+def _written(spark: SparkSession, label: str, write: Callable[[str], object]) -> str:
+    """Path of a table that this call writes."""
+    path = scratch_dir(spark, label)
+    write(path)
+    return path
 
 
 def _yearly_table(spark: SparkSession, sf_dir: str) -> str:
-    return written_once(
-        spark, sf_dir, "flights-by-year",
-        lambda path: yearly.extract_years(flights(spark, sf_dir), path),
+    return _written(
+        spark, "flights-by-year", lambda path: yearly.extract_years(flights(spark, sf_dir), path)
     )
 
 
@@ -41,43 +41,39 @@ def flights_year_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return yearly.read_years(spark, _yearly_table(spark, sf_dir), YEARS)
 
 
+# Lookup query: the result table, and the metric that it is written from.
+_LOOKUPS = {
+    "lookup_carriers": (CARRIER_PERFORMANCE, metrics.airport_carrier_ontime),
+    "lookup_destinations": (DESTINATION_PERFORMANCE, metrics.airport_dest_ontime),
+    "lookup_carriers_by_delay": (CARRIER_DELAY, metrics.airport_carrier_mean_delay),
+    "lookup_destinations_by_delay": (DESTINATION_DELAY, metrics.airport_dest_mean_delay),
+}
+
+
 def _result_table(
-    spark: SparkSession, sf_dir: str, table: ResultTable, rows: DataFrame
+    spark: SparkSession, sf_dir: str, table: ResultTable, metric: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
-    path = written_once(
-        spark, sf_dir, table.name, lambda path: tables.write_table(rows, table, path)
-    )
+    rows = tables.as_table(metric(filters.clean(flights(spark, sf_dir))), table)
+    path = _written(spark, table.name, lambda path: tables.write_table(rows, table, path))
     return tables.read_table(spark, table, path)
 
 
-def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filters.clean(flights(spark, sf_dir))
-
-
-def lookup_carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    metric = metrics.airport_carrier_ontime(_clean(spark, sf_dir))
-    rows = tables.as_table(metric, CARRIER_PERFORMANCE)
-    table = _result_table(spark, sf_dir, CARRIER_PERFORMANCE, rows)
-    return lookup.carriers_of(table, LOOKUP_AIRPORTS)
-
+def _lookup(table: ResultTable, metric: Callable[[DataFrame], DataFrame]):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = _result_table(spark, sf_dir, table, metric)
+        return lookup.best_of(rows, table, LOOKUP_AIRPORTS)
 
-def lookup_destinations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    metric = metrics.airport_dest_ontime(_clean(spark, sf_dir))
-    rows = tables.as_table(metric, DESTINATION_PERFORMANCE)
-    table = _result_table(spark, sf_dir, DESTINATION_PERFORMANCE, rows)
-    return lookup.destinations_of(table, LOOKUP_AIRPORTS)
+    return query
 
 
 def lookup_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = tables.as_table(metrics.route_mean_delay(_clean(spark, sf_dir)), ROUTE_DELAY)
-    table = _result_table(spark, sf_dir, ROUTE_DELAY, rows)
-    return lookup.routes(table, LOOKUP_ROUTES)
+    rows = _result_table(spark, sf_dir, ROUTE_DELAY, metrics.route_mean_delay)
+    return lookup.routes(rows, LOOKUP_ROUTES)
 
 
 QUERIES = {
     "flights_by_year": flights_by_year,
     "flights_year_range": flights_year_range,
-    "lookup_carriers": lookup_carriers,
-    "lookup_destinations": lookup_destinations,
+    **{name: _lookup(table, metric) for name, (table, metric) in _LOOKUPS.items()},
     "lookup_route": lookup_route,
 }

@@ -10,7 +10,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.plans.serving import written_once
 from skyledger.session import scratch_dir
 from skyledger.sources import messages
 from skyledger.sources.driver_tables import flights, table
@@ -22,13 +21,10 @@ from skyledger.streaming.trips import (
 
 
 def _topic(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of published messages, shared by the stream queries of an application."""
-
-    def write(path: str) -> None:
-        lines = messages.to_messages(flights(spark, sf_dir))
-        messages.publish(lines, "text", path=path)
-
-    return written_once(spark, sf_dir, "topic", write)
+    """Folder of the messages that this call publishes."""
+    path = scratch_dir(spark, "topic")
+    messages.publish(messages.to_messages(flights(spark, sf_dir)), "text", path=path)
+    return path
 
 
 def _flight_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,12 +75,18 @@ FLIGHT14 = _struct(
 
 @dataclass(frozen=True)
 class ResultTable:
-    """A keyed result table: its columns, its unique key, and its directory layout."""
+    """A keyed result table: its columns and unique key, and what is best in it.
+
+    ``value`` is the ranked column, and the best rows are the ones with the ``largest`` value or with
+    the smallest.
+    """
 
     name: str
     columns: T.StructType
     key: tuple[str, ...]
-    partition_by: tuple[str, ...]
+    partition_by: tuple[str, ...] = ()
+    value: str | None = None
+    largest: bool = True
 
     @property
     def fields(self) -> list[str]:
@@ -89,25 +95,43 @@ class ResultTable:
 
 CARRIER_PERFORMANCE = ResultTable(
     "carrier_performance",
-    _struct("airport STRING, carrier STRING, departureperf DOUBLE"),
+    _struct("airport STRING, carrier STRING, ontime_pct DOUBLE"),
+    key=("airport", "carrier"),
+    value="ontime_pct",
+)
+
+CARRIER_DELAY = ResultTable(
+    "carrier_delay",
+    _struct("airport STRING, carrier STRING, delay DOUBLE"),
     key=("airport", "carrier"),
-    partition_by=("airport",),
+    value="delay",
+    largest=False,
 )
 
 DESTINATION_PERFORMANCE = ResultTable(
     "destination_performance",
-    _struct("origin STRING, destination STRING, departureperf DOUBLE"),
+    _struct("origin STRING, destination STRING, ontime_pct DOUBLE"),
+    key=("origin", "destination"),
+    value="ontime_pct",
+)
+
+DESTINATION_DELAY = ResultTable(
+    "destination_delay",
+    _struct("origin STRING, destination STRING, delay DOUBLE"),
     key=("origin", "destination"),
-    partition_by=("origin",),
+    value="delay",
+    largest=False,
 )
 
 ROUTE_DELAY = ResultTable(
     "route_delay",
-    _struct("origin STRING, destination STRING, meandelay DOUBLE"),
+    _struct("origin STRING, destination STRING, mean_delay DOUBLE"),
     key=("origin", "destination"),
-    partition_by=("origin",),
+    value="mean_delay",
+    largest=False,
 )
 
+# The columns of a trip.
 TRIPS = ResultTable(
     "trips",
     _struct(
@@ -123,20 +147,21 @@ AIRPORT_COUNTS = ResultTable(
     "airport_counts",
     _struct("airport STRING, flights BIGINT"),
     key=("airport",),
-    partition_by=(),
+    value="flights",
 )
 
 CARRIER_ONTIME = ResultTable(
     "carrier_ontime",
     _struct("carrier STRING, ontime_pct DOUBLE, flights BIGINT, unknown BIGINT"),
     key=("carrier",),
-    partition_by=(),
+    value="ontime_pct",
 )
 
 TABLES = {
     table.name: table
     for table in (
-        CARRIER_PERFORMANCE, DESTINATION_PERFORMANCE, ROUTE_DELAY, TRIPS,
+        CARRIER_PERFORMANCE, CARRIER_DELAY, DESTINATION_PERFORMANCE, DESTINATION_DELAY,
+        ROUTE_DELAY, TRIPS,
         AIRPORT_COUNTS, CARRIER_ONTIME,
     )
 }

@@ -8,9 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-HDFS_BACKED = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 STATE_CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+# AQE may turn a sort-merge join into a hash join where every partition of one side is this small.
 HASH_JOIN_LIMIT = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
 HASH_JOIN_SIZE = "64MB"
 
@@ -35,17 +35,6 @@ def build_session(app: str = "skyledger", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def allow_hash_joins(spark: SparkSession) -> None:
-    """Let AQE replace a sort-merge join where every shuffled partition of one side is small.
-
-    The large side is then not sorted.  AQE checks the measured partition sizes, so a side
-    that does not fit stays with the sort-merge join.  A session that set its own limit keeps
-    it.
-    """
-    if spark.conf.get(HASH_JOIN_LIMIT, "0") in ("0", "0b"):
-        spark.conf.set(HASH_JOIN_LIMIT, HASH_JOIN_SIZE)
-
-
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``.
 
@@ -69,11 +58,23 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/skyledger/{app}/{label}-{uuid.uuid4().hex}"
 
 
-def use_rocksdb_state(spark: SparkSession) -> None:
-    """Keep stream state off the heap and write only its changes to the checkpoint.
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
-    A session that already chose its own provider keeps it.
-    """
-    if spark.conf.get(STATE_STORE, HDFS_BACKED) == HDFS_BACKED:
-        spark.conf.set(STATE_STORE, ROCKSDB)
-        spark.conf.set(STATE_CHANGELOG, "true")
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of whichever file system the path names, if it is there."""
+    target, files = _file_system(spark, path)
+    files.delete(target, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none if there is no such folder."""
+    target, files = _file_system(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(target)] if files.exists(target) else []
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote under the shared folder; call it when all is read."""
+    delete(spark, f"{shared_root(spark)}/skyledger/{spark.sparkContext.applicationId}")

@@ -6,7 +6,7 @@ against a broker in production and against a folder in tests.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators.filters import clean, message_value
@@ -22,10 +22,16 @@ def to_messages(flights: DataFrame) -> DataFrame:
     return message_value(clean(flights))
 
 
-def publish(messages: DataFrame, transport: str = "kafka", **options: str) -> None:
-    """Append messages to a topic.  No key is set: one constant key would send every
-    message to the same topic partition, and readers drop the key anyway."""
-    messages.write.format(transport).options(**options).mode("append").save()
+def publish(messages: DataFrame, transport: str = "kafka", **options: str) -> int:
+    """Append messages to a topic and return how many.
+
+    No key is set: one constant key would send every message to the same topic partition, and
+    readers drop the key anyway.  The count is observed while writing.
+    """
+    sent = Observation("sent")
+    counted = messages.observe(sent, F.count(F.lit(1)).alias("rows"))
+    counted.write.format(transport).options(**options).mode("append").save()
+    return sent.get["rows"]
 
 
 def publish_stream(
@@ -48,7 +54,7 @@ def read_messages(spark: SparkSession, transport: str = "kafka", **options: str)
     return stream.select(F.col("value").cast("string").alias("value"))
 
 
-def feed_limit(transport: str, interval_seconds: int, per_second: int | None = None) -> dict:
+def feed_limit(transport: str, interval_seconds: float, per_second: int | None = None) -> dict:
     """Source options that cap how much one trigger reads.
 
     Files are capped in bytes (15 MB per second unless given), a broker in messages.
@@ -56,9 +62,9 @@ def feed_limit(transport: str, interval_seconds: int, per_second: int | None = N
     if transport == "kafka":
         if per_second is None:
             raise ValueError("a broker source is limited in messages per second")
-        return {"maxOffsetsPerTrigger": str(per_second * interval_seconds)}
+        return {"maxOffsetsPerTrigger": str(int(per_second * interval_seconds))}
     rate = FEED_BYTES_PER_SECOND if per_second is None else per_second
-    return {"maxBytesPerTrigger": str(rate * interval_seconds)}
+    return {"maxBytesPerTrigger": str(int(rate * interval_seconds))}
 
 
 def parse(messages: DataFrame) -> DataFrame:
@@ -67,16 +73,5 @@ def parse(messages: DataFrame) -> DataFrame:
     return times_as_numbers(messages.select(record).select("flight.*"))
 
 
-def parse_audit(messages: DataFrame) -> DataFrame:
-    """One row: lines in all and lines whose key fields could not be read."""
-    keys = ("flight_date", "carrier", "origin", "dest")
-    unreadable = F.lit(False)
-    for key in keys:
-        unreadable |= F.col(key).isNull()
-    return parse(messages).agg(
-        F.count(F.lit(1)).alias("all_lines"), F.count_if(unreadable).alias("bad_lines")
-    )
-
-
 def _ddl() -> str:
     return ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in FLIGHT14)

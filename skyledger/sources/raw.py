@@ -2,44 +2,69 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyledger.functions import none_if_empty, to_number
+from skyledger.functions import none_if_empty, to_number, to_time
 from skyledger.schema import RAW_COLUMNS, RAW_TO_FLIGHT
 
+# Fixed value: the public name of a monthly file.
 FILE_PATTERN = "On_Time_On_Time_Performance_{year}_*.csv"
 
 
+FLAGS = ("Cancelled", "Diverted")
+#: Lines that are looked at to tell a wrong layout.
+LAYOUT_SAMPLE = 1000
+
+
 def raw_paths(root: str, years: Iterable[int]) -> list[str]:
     """One glob per year; each covers the year's monthly files."""
     return [f"{root}/{FILE_PATTERN.format(year=year)}" for year in years]
 
 
-def read_raw(spark: SparkSession, paths: str | list[str], header: bool = True) -> DataFrame:
+def read_raw(
+    spark: SparkSession, paths: str | list[str], header: bool = True,
+    columns: Sequence[str] = RAW_COLUMNS,
+) -> DataFrame:
     """Raw text columns by name; the reader handles quotes and the commas inside them.
 
     With a header, the names come from the first file and every other file is checked against
-    them, so a file with another column order fails instead of being misread.
+    them, so a file with another column order fails instead of being misread.  Without one,
+    ``columns`` are the names by position, and files whose flag columns hold no flag in any of the
+    first lines are refused.
     """
     if not header:
-        return _without_header(spark, paths)
-    names = spark.read.option("header", True).csv(paths).columns
+        return _without_header(spark, paths, columns)
+    names = spark.read.option("header", True).option("escape", '"').csv(paths).columns
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     return (
         spark.read.schema(schema)
         .option("header", True)
+        .option("escape", '"')  # a quote inside quotes is doubled
         .option("enforceSchema", False)
         .csv(paths)
     )
 
 
-def _without_header(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in RAW_COLUMNS])
-    return spark.read.schema(schema).csv(paths)
+def _without_header(
+    spark: SparkSession, paths: str | list[str], columns: Sequence[str]
+) -> DataFrame:
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
+    rows = spark.read.schema(schema).option("escape", '"').csv(paths)
+    sample = rows.select(*FLAGS).limit(LAYOUT_SAMPLE)
+    seen, flagged = sample.agg(
+        F.count(F.lit(1)), F.count_if(_is_flag("Cancelled") & _is_flag("Diverted"))
+    ).first()
+    if seen and not flagged:
+        raise ValueError(f"no flags where {' and '.join(FLAGS)} should be: another column layout?")
+    return rows
+
+
+def _is_flag(name: str) -> Column:
+    return F.coalesce(to_number(F.col(name), "double").isin(0.0, 1.0), F.lit(False))
 
 
 def to_flights(raw: DataFrame) -> DataFrame:
@@ -52,6 +77,8 @@ def to_flights(raw: DataFrame) -> DataFrame:
 
 def _typed(name: str, kind: str):
     column = F.col(name)
+    if name in ("DepTime", "ArrTime"):
+        return to_time(column)
     if kind == "string":
         return none_if_empty(column)
     if kind == "int":
@@ -60,5 +87,8 @@ def _typed(name: str, kind: str):
     return to_number(column, kind)
 
 
-def read_flights(spark: SparkSession, paths: str | list[str], header: bool = True) -> DataFrame:
-    return to_flights(read_raw(spark, paths, header))
+def read_flights(
+    spark: SparkSession, paths: str | list[str], header: bool = True,
+    columns: Sequence[str] = RAW_COLUMNS,
+) -> DataFrame:
+    return to_flights(read_raw(spark, paths, header, columns))

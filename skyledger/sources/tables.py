@@ -8,23 +8,15 @@ from pyspark.sql import functions as F
 from skyledger.schema import ResultTable
 
 
-def create_table(
-    spark: SparkSession, table: ResultTable, path: str, mode: str = "overwrite"
-) -> None:
-    """Create the table empty, dropping what it held before (or not, with mode ``ignore``)."""
-    _writer(spark.createDataFrame([], table.columns), table, mode).parquet(path)
-
-
 def write_table(rows: DataFrame, table: ResultTable, path: str) -> None:
-    """Replace the table's content.
+    """Replace the table's content, sorted by key in few files.
 
-    The rebalance step gathers each partition directory into few files and lets AQE split a
-    directory that is much larger than the others.
+    The rebalance step lets AQE merge small pieces and split large ones.  Row group statistics
+    then serve lookups by key, so no key needs a directory of its own.
     """
-    shaped = rows.select(*table.fields)
-    if table.partition_by:
-        shaped = shaped.hint("rebalance", *[F.col(c) for c in table.partition_by])
-    _writer(shaped, table).parquet(path)
+    by = [F.col(c) for c in table.partition_by or table.key[:1]]
+    shaped = rows.select(*table.fields).hint("rebalance", *by)
+    _writer(shaped.sortWithinPartitions(*table.partition_by, *table.key), table).parquet(path)
 
 
 def read_table(spark: SparkSession, table: ResultTable, path: str) -> DataFrame:
@@ -32,8 +24,8 @@ def read_table(spark: SparkSession, table: ResultTable, path: str) -> DataFrame:
     return spark.read.schema(table.columns).parquet(path).select(*table.fields)
 
 
-def _writer(rows: DataFrame, table: ResultTable, mode: str = "overwrite"):
-    writer = rows.select(*table.fields).write.mode(mode)
+def _writer(rows: DataFrame, table: ResultTable):
+    writer = rows.select(*table.fields).write.mode("overwrite")
     return writer.partitionBy(*table.partition_by) if table.partition_by else writer
 
 
@@ -42,21 +34,20 @@ def write_text(rows: DataFrame, path: str, sep: str = "\t") -> None:
     rows.write.mode("overwrite").csv(path, sep=sep)
 
 
-# Metric columns and the result columns they become.
+# Metric columns, and the columns of each result table that they become.
 _RENAMED = {
-    "carrier_performance": {
-        "origin": "airport", "ontime_pct": "departureperf", "mean_delay": "departureperf",
-        "total_delay": "departureperf",
-    },
-    "destination_performance": {
-        "dest": "destination", "ontime_pct": "departureperf", "mean_delay": "departureperf",
-        "total_delay": "departureperf",
-    },
-    "route_delay": {"dest": "destination", "mean_delay": "meandelay"},
+    "carrier_performance": {"origin": "airport"},
+    "carrier_delay": {"origin": "airport", "mean_delay": "delay", "total_delay": "delay"},
+    "destination_performance": {"dest": "destination"},
+    "destination_delay": {"dest": "destination", "mean_delay": "delay", "total_delay": "delay"},
+    "route_delay": {"dest": "destination"},
 }
 
 
 def as_table(metric: DataFrame, table: ResultTable) -> DataFrame:
-    """A metric under the column names of its result table."""
+    """A metric under the column names of its result table; a metric of another kind is refused."""
     renamed = metric.withColumnsRenamed(_RENAMED.get(table.name, {}))
+    missing = [name for name in table.fields if name not in renamed.columns]
+    if missing:
+        raise ValueError(f"{table.name} has {', '.join(missing)}, which this metric does not give")
     return renamed.select(*table.fields)

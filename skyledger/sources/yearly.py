@@ -1,4 +1,4 @@
-"""The clean flight table, partitioned by year."""
+"""The clean flight table, partitioned by year and month."""
 
 from __future__ import annotations
 
@@ -16,24 +16,22 @@ LAST_YEARS = range(1999, 2009)
 ALL_YEARS = range(1988, 2009)
 
 
-def write_years(flights: DataFrame, path: str, clustered: bool = False) -> dict[str, int]:
-    """Write flights into one directory per year and return how many rows were written.
+def write_years(flights: DataFrame, path: str) -> dict[str, int]:
+    """Write flights into one directory per year and month; return how many rows were written.
 
-    The count is observed while writing, so it needs no second scan.  Rows in any order are
-    rebalanced first: that yields well-sized files per year and lets AQE split a year larger
-    than the rest.  ``clustered`` input, such as monthly files, already has one year per split
-    and is written as it comes, without a shuffle.
+    Only the months among the flights are replaced, so a year can be loaded month by month.  The
+    count is observed while writing and needs no second scan.  The rebalance step yields
+    well-sized files per month and lets AQE split a month larger than the rest.
     """
     written = Observation("written")
-    rows = flights.withColumn("year", F.year("flight_date"))
-    if not clustered:
-        rows = rows.hint("rebalance", F.col("year"))
+    rows = flights.withColumns({"year": F.year("flight_date"), "month": F.month("flight_date")})
     # Observed in the writing stage: an earlier stage may run again and count twice.
     (
-        rows.observe(written, F.count(F.lit(1)).alias("rows"))
+        rows.hint("rebalance", F.col("year"), F.col("month"))
+        .observe(written, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year")
+        .partitionBy("year", "month")
         .parquet(path)
     )
     return written.get
@@ -44,13 +42,13 @@ def read_years(
 ) -> DataFrame:
     """The table, restricted to the directories of the given years."""
     table = spark.read.parquet(path)
-    return table if years is None else in_years(table, years)
+    return (table if years is None else in_years(table, years)).drop("month")
 
 
 def load_years(spark: SparkSession, raw_root: str, years: Iterable[int], path: str) -> dict:
-    """Monthly raw files of the given years into the table; other years stay as they are."""
+    """Monthly raw files of the given years into the table; other months stay as they are."""
     flights = read_flights(spark, raw_paths(raw_root, years))
-    return write_years(clean(flights), path, clustered=True)
+    return write_years(clean(flights), path)
 
 
 def extract_years(flights: DataFrame, path: str) -> dict[str, int]:

@@ -7,7 +7,6 @@ Spark; the metric itself is the one the batch jobs use.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -17,13 +16,13 @@ from skyledger.schema import (
     AIRPORT_COUNTS, CARRIER_ONTIME, CARRIER_PERFORMANCE, DESTINATION_PERFORMANCE, ROUTE_DELAY,
     ResultTable,
 )
-from skyledger.session import use_rocksdb_state
 from skyledger.sources.tables import as_table
-from skyledger.streaming.sinks import SnapshotTable, batch_counts, ranked_report
+from skyledger.streaming.sinks import RESET, BatchFolders, SnapshotTable, ranked_report
 
 # How often the rankings and the keyed tables are brought up to date.
 RANKING_TRIGGER = {"processingTime": "2 seconds"}
-TABLE_TRIGGER = {"processingTime": "10 seconds"}
+BATCH_SECONDS = 10
+TABLE_TRIGGER = {"processingTime": f"{BATCH_SECONDS} seconds"}
 AVAILABLE_NOW = {"availableNow": True}
 
 
@@ -61,11 +60,10 @@ def keep_table(
 ) -> StreamingQuery:
     """Upsert the keys whose metric changed in each micro-batch."""
     _, metric = TABLE_JOBS[job]
-    use_rocksdb_state(flights.sparkSession)
     return (
         metric(flights)
         .writeStream.outputMode("update")
-        .foreachBatch(partial(target.upsert, writer=checkpoint))
+        .foreachBatch(target.upsert)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or TABLE_TRIGGER))
         .start()
@@ -77,7 +75,6 @@ def keep_report(
 ) -> StreamingQuery:
     """Rewrite a text report with the full ranking after each micro-batch."""
     metric, value, code = RANKING_JOBS[job]
-    use_rocksdb_state(flights.sparkSession)
     return (
         metric(flights)
         .writeStream.outputMode("complete")
@@ -97,7 +94,6 @@ def show_top(
     Only those ``n`` rows reach the driver.
     """
     metric, value, code = RANKING_JOBS[job]
-    use_rocksdb_state(flights.sparkSession)
     writer = (
         ranking.largest(metric(flights), value, code, n)
         .writeStream.outputMode("complete")
@@ -109,13 +105,13 @@ def show_top(
 
 
 def count_words_per_batch(
-    messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+    messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+    existing: str = RESET,
 ) -> StreamingQuery:
     """Word counts of every micro-batch by itself; no state is kept."""
+    target = BatchFolders(path, lambda rows: metrics.word_counts(rows, "value"), existing)
     return (
-        messages.writeStream.foreachBatch(
-            batch_counts(path, lambda rows: metrics.word_counts(rows, "value"))
-        )
+        messages.writeStream.foreachBatch(target.write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or RANKING_TRIGGER))
         .start()

@@ -8,48 +8,67 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.schema import ResultTable
-from skyledger.sources.tables import create_table, read_table, write_table, write_text
+from skyledger.session import delete, folders
+from skyledger.sources.tables import read_table, write_table, write_text
 
 
-_COMMIT = "version BIGINT, writer STRING, batch_id BIGINT, slot INT"
+_COMMIT = "batch_id BIGINT, writer STRING, at TIMESTAMP, version BIGINT"
+#: What a stream does at its first batch when another stream wrote the target before.
+RESET, FAIL = "reset", "fail"
+
+
+def stream_id(rows: DataFrame) -> str:
+    """The id of the stream whose micro-batch is being handled.
+
+    Spark keeps it in the checkpoint: it survives restarts, and an emptied checkpoint gets a new one.
+    """
+    return rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
+
+class OtherStream(RuntimeError):
+    """The target holds what another stream wrote."""
 
 
 class SnapshotTable:
     """A keyed Parquet table that micro-batches replace as a whole.
 
-    Each batch writes the next of a few rotating slots and then, as a separate last step, a
-    one-row commit naming the batch and the stream that wrote it.  Readers use the slot of the
-    newest commit, so they never see half a write.  A batch replayed after a failure finds its
-    own commit and does nothing; a stream that starts anew is not taken for a replay.
+    Each batch writes a new version in few files sorted by key and then, as a separate last step, a
+    one-row commit naming the batch and the stream that wrote it.  Readers use the newest commit,
+    so they never see half a write.  A batch replayed after a failure finds its own commit and does
+    nothing.  A stream that starts anew empties the table, or fails with ``existing="fail"``; one whose
+    earlier batches the table does not hold fails.  Old versions go when they are older than
+    ``keep_seconds``, so a reader has that long to finish.
     """
 
-    def __init__(self, spark: SparkSession, table: ResultTable, path: str, slots: int = 4):
-        if slots < 2:
-            raise ValueError("a table needs a slot to read and a slot to write")
+    def __init__(
+        self, spark: SparkSession, table: ResultTable, path: str, keep_seconds: int = 3600,
+        existing: str = RESET,
+    ):
+        if existing not in (RESET, FAIL):
+            raise ValueError(f"existing is {RESET} or {FAIL}")
         self.spark = spark
         self.table = table
         self.path = path
-        self.slots = slots
-        self._exists = False
-
-    def create(self, replace: bool = True) -> None:
-        """Create the table empty, replacing earlier content or keeping it as it is."""
-        mode = "overwrite" if replace else "ignore"
-        create_table(self.spark, self.table, self._slot(0), mode)
-        self._commit(0, "", -1).withColumn("slot", F.lit(0)).write.mode(mode).partitionBy(
-            "slot"
-        ).parquet(self._commits)
-        self._exists = True
+        self.keep_seconds = keep_seconds
+        self.existing = existing
+
+    def create(self) -> None:
+        """Create the table empty, dropping what it held before."""
+        newest = self._newest()
+        self._commit(newest.version + 1 if newest else 0, "", -1, self._empty())
 
     def read(self) -> DataFrame:
         """The content as of the newest commit."""
-        return read_table(self.spark, self.table, self._slot(self._newest().slot))
+        newest = self._newest()
+        if newest is None:
+            raise FileNotFoundError(f"no table at {self.path}")
+        return read_table(self.spark, self.table, self._data(newest.version))
 
-    def replace(self, rows: DataFrame, batch_id: int, writer: str = "") -> None:
+    def replace(self, rows: DataFrame, batch_id: int) -> None:
         """Make the rows the table's content (for complete-mode streams)."""
-        self._store(batch_id, writer, lambda _: rows)
+        self._store(rows, batch_id, lambda _: rows)
 
-    def upsert(self, rows: DataFrame, batch_id: int, writer: str = "") -> None:
+    def upsert(self, rows: DataFrame, batch_id: int) -> None:
         """Put rows with new keys in, and let rows with known keys replace the old ones."""
 
         def merged(current: DataFrame) -> DataFrame:
@@ -60,62 +79,93 @@ class SnapshotTable:
         # The batch is read twice, for the anti-join and for the union.
         rows.persist()
         try:
-            self._store(batch_id, writer, merged)
+            self._store(rows, batch_id, merged)
         finally:
             rows.unpersist()
 
     def _store(
-        self, batch_id: int, writer: str, content: Callable[[DataFrame], DataFrame]
+        self, rows: DataFrame, batch_id: int, content: Callable[[DataFrame], DataFrame]
     ) -> None:
-        if not self._exists:
-            self.create(replace=False)
+        writer = stream_id(rows)
         newest = self._newest()
-        if newest.writer == writer and newest.batch_id >= batch_id:
+        own = newest is not None and newest.writer == writer and newest.batch_id >= 0
+        if own and newest.batch_id >= batch_id:
             return
-        current = read_table(self.spark, self.table, self._slot(newest.slot))
-        slot = (newest.slot + 1) % self.slots
-        write_table(content(current), self.table, self._slot(slot))
-        commit = self._commit(newest.version + 1, writer, batch_id)
-        commit.write.mode("overwrite").parquet(f"{self._commits}/slot={slot}")
-
-    def _commit(self, version: int, writer: str, batch_id: int) -> DataFrame:
-        return self.spark.range(version, version + 1, 1, 1).select(
-            F.col("id").alias("version"),
-            F.lit(writer).alias("writer"),
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
+        if not own and batch_id > 0:
+            raise OtherStream(f"{self.path} does not hold this stream's batches before {batch_id}")
+        if not own and newest is not None and newest.batch_id >= 0 and self.existing == FAIL:
+            raise OtherStream(f"{self.path} holds what another stream wrote")
+        current = self.read() if own else self._empty()
+        self._commit(newest.version + 1 if newest else 0, writer, batch_id, content(current))
+
+    def _empty(self) -> DataFrame:
+        return self.spark.createDataFrame([], self.table.columns)
+
+    def _commit(self, version: int, writer: str, batch_id: int, rows: DataFrame) -> None:
+        write_table(rows, self.table, self._data(version))
+        row = self.spark.range(1).select(
+            F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(writer).alias("writer"),
+            F.current_timestamp().alias("at"),
         )
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self._commits}/version={version}")
+        self._drop_old(version)
 
-    def _newest(self) -> Row:
-        """The newest commit; the log holds one row per slot at most."""
-        commits = self.spark.read.schema(_COMMIT).parquet(self._commits)
-        newest = F.max(F.struct("version", "writer", "batch_id", "slot")).alias("newest")
-        return commits.agg(newest).first().newest
+    def _drop_old(self, newest: int) -> None:
+        age = F.current_timestamp().cast("double") - F.col("at").cast("double")
+        old = self._log().filter((F.col("version") < newest) & (age >= self.keep_seconds))
+        for row in old.select("version").collect():  # at most those of ``keep_seconds``
+            # The commit goes first: what it names is then no longer looked for.
+            delete(self.spark, f"{self._commits}/version={row.version}")
+            delete(self.spark, self._data(row.version))
 
-    def _slot(self, slot: int) -> str:
-        return f"{self.path}/data/slot{slot}"
+    def _log(self) -> DataFrame:
+        return self.spark.read.schema(_COMMIT).parquet(self._commits)
+
+    def _newest(self) -> Row | None:
+        if not folders(self.spark, self._commits):
+            return None
+        newest = F.max(F.struct("version", "writer", "batch_id")).alias("newest")
+        return self._log().agg(newest).first().newest
+
+    def _data(self, version: int) -> str:
+        return f"{self.path}/data/version{version}"
 
     @property
     def _commits(self) -> str:
         return f"{self.path}/commits"
 
 
-def ranked_report(
-    path: str, rank: Callable[[DataFrame], DataFrame]
-) -> Callable[[DataFrame, int], None]:
-    """A micro-batch writer that replaces a text report with the ranked rows."""
+class BatchFolders:
+    """Rows appended by micro-batches, one folder per stream and batch.
 
-    def write(rows: DataFrame, batch_id: int) -> None:
-        write_text(rank(rows), path)
+    A replayed batch overwrites its own folder.  At its first batch a stream removes what another one
+    wrote, or fails with ``existing="fail"``: its own batches hold all of the topic again.
+    """
 
-    return write
+    def __init__(self, path: str, shape: Callable[[DataFrame], DataFrame], existing: str = RESET):
+        self.path = path
+        self.shape = shape
+        self.existing = existing
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        spark, mine = rows.sparkSession, f"stream={stream_id(rows) or 'none'}"
+        others = [x for x in folders(spark, self.path) if x.startswith("stream=") and x != mine]
+        if others and batch_id == 0:
+            if self.existing == FAIL:
+                raise OtherStream(f"{self.path} holds what another stream wrote")
+            for name in others:
+                delete(spark, f"{self.path}/{name}")
+        elif others:
+            raise OtherStream(f"another stream has written to {self.path}")
+        self.shape(rows).write.mode("overwrite").parquet(f"{self.path}/{mine}/batch={batch_id}")
 
 
-def batch_counts(
-    path: str, count: Callable[[DataFrame], DataFrame]
+def ranked_report(
+    path: str, rank: Callable[[DataFrame], DataFrame]
 ) -> Callable[[DataFrame, int], None]:
-    """A micro-batch writer that counts every batch by itself, one directory per batch."""
+    """A micro-batch writer that replaces a text report with the ranked rows."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        count(rows).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        write_text(rank(rows), path)
 
     return write

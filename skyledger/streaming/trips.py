@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import hashlib
-from functools import partial
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skyledger.operators import trips
 from skyledger.schema import TRIPS
-from skyledger.session import use_rocksdb_state
+from skyledger.session import delete, folders
 from skyledger.streaming.running import TABLE_TRIGGER
+from skyledger.streaming.sinks import FAIL, RESET, BatchFolders, OtherStream, stream_id
 
 DEFAULT_SALTS = 4
 
@@ -45,105 +43,167 @@ def _meeting(legs: DataFrame, days: int, max_disorder: str) -> DataFrame:
 
 def keep_all_trips(
     flights: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-    salts: int = DEFAULT_SALTS, max_disorder: str | None = None,
+    salts: int = DEFAULT_SALTS, max_disorder: str | None = None, existing: str = RESET,
 ) -> StreamingQuery:
-    """Append every trip as soon as both of its legs have been seen."""
-    use_rocksdb_state(flights.sparkSession)
+    """Append every trip as soon as both of its legs have been seen.
+
+    The number of salts is part of the state's key, so a checkpoint keeps the one it began with.
+    """
+    target = BatchFolders(path, lambda rows: rows.select(*TRIPS.fields), existing)
     return (
         all_trips_stream(flights, salts, max_disorder)
         .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
+        .foreachBatch(target.write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or TABLE_TRIGGER))
         .start()
     )
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Legs that came later than ``max_disorder`` allows and were dropped, in recent batches."""
+    return sum(
+        state["numRowsDroppedByWatermark"] for p in query.recentProgress for state in p["stateOperators"]
+    )
+
+
 def read_all_trips(spark: SparkSession, path: str) -> DataFrame:
     """The appended trips, equal ones folded into a ``copies`` count like the batch result."""
-    rows = spark.read.schema(TRIPS.columns).parquet(path)
+    rows = spark.read.schema(TRIPS.columns).option("recursiveFileLookup", True).parquet(path)
     return rows.groupBy(*TRIPS.fields).agg(F.count(F.lit(1)).alias("copies"))
 
 
 class BestTripsStore:
-    """Best trips kept up to date by micro-batch, in one directory per month.
-
-    A batch leaves its best legs in a directory of its own.  Then the trips of the months it
-    touched are rebuilt from the best legs of all batches and replace those months'
-    directories.  A replayed batch overwrites what it wrote before.
+    """Best trips kept up to date by micro-batch, in one folder per month and version.
+
+    A month's best legs are one folder: a batch merges its own best legs into those of the months that
+    it touches and writes them as a new version of these months.  Then the trips that start in these
+    months, or in the month before, are rebuilt.  A last step commits the batch with the version of
+    every month, a calendar's worth of rows, so readers and restarts never see half a batch, and only the
+    folders of touched months are listed.  A replayed batch does nothing.  The version before the last is
+    removed with the next batch.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, existing: str = RESET):
         self.spark = spark
         self.path = path
-
-    def update(self, flights: DataFrame, batch_id: int, writer: str = "") -> None:
-        """Take in one micro-batch of the stream that ``writer`` names by its checkpoint."""
-        stream = hashlib.md5(writer.encode()).hexdigest()
-        mine = f"{self._legs}/stream={stream}/batch={batch_id}"
-        self._write(trips.best_leg_flights(flights), "flight_date", mine)
-        starts, needed = self._months(mine)
-        seen = self.spark.read.schema(_LEG_SCHEMA).parquet(self._legs)
-        best = trips.best_of_best(seen.filter(F.col("month").isin(needed)).drop("month"))
-        rebuilt = trips.trips_of(best).filter(_month("date").isin(starts))
-        self._write(rebuilt.select(*TRIPS.fields), "date", self._trips)
-
-    def _months(self, legs: str) -> tuple[list[int], list[int]]:
-        """Months in which changed trips start, and months whose legs those trips need.
-
-        The lists hold calendar months, so their size does not grow with the flights.
-        """
-        touched = self.spark.read.schema(_LEG_SCHEMA).parquet(legs)
-        start = F.array(
-            F.col("flight_date"), F.date_sub("flight_date", trips.STOPOVER_DAYS)
-        )
-        changed = touched.select(F.explode(start).alias("date"))
-        months = changed.select(_month("date").alias("month")).distinct().collect()
-        starts = sorted(row.month for row in months)
-        following = {m + 1 if m % 100 < 12 else m + 89 for m in starts}
-        return starts, sorted(following.union(starts))
+        self.existing = existing
+
+    def update(self, flights: DataFrame, batch_id: int) -> None:
+        writer, (last, versions) = stream_id(flights), self._state()
+        own = last is not None and last.writer == writer
+        if own and last.batch_id >= batch_id:
+            return
+        if not own and batch_id > 0:
+            raise OtherStream(f"{self.path} does not hold this stream's batches before {batch_id}")
+        if not own:
+            if last is not None and self.existing == FAIL:
+                raise OtherStream(f"{self.path} holds what another stream wrote")
+            versions = {}
+        step = last.step + 1 if last is not None else 0
+        fresh = self._fresh(flights, f"{self.path}/fresh/{step}")
+        touched = sorted(r.month for r in fresh.select("month").distinct().collect())  # calendar months
+        rows = fresh
+        known = [self._folder("legs", m, versions[m]) for m in touched if m in versions]
+        if known:
+            rows = rows.unionByName(self._read(known, _LEG_SCHEMA))
+        best = trips.best_of_best(rows.drop("month"))
+        self._write(best, "flight_date", f"{self.path}/legs/{step}")
+        now = versions | {m: step for m in touched}
+        # A new leg changes trips that start on its date, or two days before.
+        starts = sorted({m for t in touched for m in (t, _before(t))} & (set(now) | set(touched)))
+        needed = [m for m in sorted({x for s in starts for x in (s, _after(s))}) if m in now]
+        legs = self._read([self._folder("legs", m, now[m]) for m in needed], _LEG_SCHEMA).drop("month")
+        rebuilt = trips.trips_of(legs).filter(_month("date").isin(starts))
+        self._write(rebuilt.select(*TRIPS.fields), "date", f"{self.path}/trips/{step}")
+        trip_steps = self._trip_steps(last) if own else {}
+        trip_steps |= {m: step for m in starts}
+        log = [(m, now.get(m), trip_steps.get(m), writer, batch_id, step) for m in sorted(set(now) | set(trip_steps))]
+        log = log or [(0, None, None, writer, batch_id, step)]
+        self.spark.createDataFrame(log, _STEP).coalesce(1).write.mode("overwrite").parquet(self._log(step))
+        self._drop_old(step, set(now.values()) | set(trip_steps.values()))
+
+    def _drop_old(self, step: int, used: set[int]) -> None:
+        delete(self.spark, f"{self.path}/fresh/{step}")
+        kept = used | {step, step - 1}
+        for kind in ("legs", "trips", "steps"):
+            for name in folders(self.spark, f"{self.path}/{kind}"):
+                # Months that an older step still serves stay with it.
+                if name.isdigit() and int(name) not in (kept if kind != "steps" else {step, step - 1}):
+                    delete(self.spark, f"{self.path}/{kind}/{name}")
+
+    def _state(self) -> tuple[Row | None, dict[int, int]]:
+        steps = [int(x) for x in folders(self.spark, f"{self.path}/steps") if x.isdigit()]
+        done = [s for s in steps if "_SUCCESS" in folders(self.spark, self._log(s))]
+        if not done:
+            return None, {}
+        rows = self.spark.read.schema(_STEP).parquet(self._log(max(done))).collect()
+        return rows[0], {r.month: r.legs for r in rows if r.legs is not None}
+
+    def _trip_steps(self, last: Row) -> dict[int, int]:
+        rows = self.spark.read.schema(_STEP).parquet(self._log(last.step)).collect()
+        return {r.month: r.trips for r in rows if r.trips is not None}
+
+    def _log(self, step: int) -> str:
+        return f"{self.path}/steps/{step}"
+
+    def _folder(self, kind: str, month: int, step: int) -> str:
+        return f"{self.path}/{kind}/{step}/month={month}"
+
+    def _read(self, paths: list[str], schema: str) -> DataFrame:
+        """Rows of some month folders; a month without rows has none."""
+        steps = {p.rsplit("/", 1)[0] for p in paths}
+        known = {f"{s}/{name}" for s in steps for name in folders(self.spark, s)}
+        there = [p for p in paths if p in known]
+        if not there:
+            return self.spark.createDataFrame([], schema)
+        date = "flight_date" if schema is _LEG_SCHEMA else "date"
+        plain = schema.removesuffix(", month INT")
+        return self.spark.read.schema(plain).parquet(*there).withColumn("month", _month(date))
+
+    def _fresh(self, flights: DataFrame, path: str) -> DataFrame:
+        """The batch's own best legs, written once as several steps read them."""
+        legs = trips.best_leg_flights(flights).withColumn("month", _month("flight_date"))
+        legs.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(legs.schema).parquet(path)
 
     def _write(self, rows: DataFrame, date: str, path: str) -> None:
-        (
-            rows.withColumn("month", _month(date))
-            .hint("rebalance", F.col("month"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("month")
-            .parquet(path)
-        )
+        shaped = rows.withColumn("month", _month(date)).hint("rebalance", F.col("month"))
+        shaped.write.mode("overwrite").partitionBy("month").parquet(path)
 
     def read(self) -> DataFrame:
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TRIPS.columns)
-        rows = self.spark.read.schema(f"{schema}, month INT").parquet(self._trips)
+        last, _ = self._state()
+        steps = self._trip_steps(last) if last is not None else {}
+        rows = self._read([self._folder("trips", m, s) for m, s in steps.items()], f"{schema}, month INT")
         return rows.select(*TRIPS.fields)
 
-    @property
-    def _legs(self) -> str:
-        return f"{self.path}/legs"
-
-    @property
-    def _trips(self) -> str:
-        return f"{self.path}/trips"
-
 
 def _month(date: str) -> Column:
     """Calendar month as a number such as 199612."""
     return F.year(date) * 100 + F.month(date)
 
 
+def _after(month: int) -> int:
+    return month + 1 if month % 100 < 12 else month + 89
+
+
+def _before(month: int) -> int:
+    return month - 1 if month % 100 > 1 else month - 89
+
+
 _LEG_SCHEMA = (
-    "origin STRING, dest STRING, flight_date DATE, delay DOUBLE, flight STRING, dep_time INT, "
-    "arr_time INT, half INT, stream STRING, batch BIGINT, month INT"
+    "origin STRING, dest STRING, delay DOUBLE, flight STRING, dep_time INT, arr_time INT, "
+    "flight_date DATE, half INT, month INT"
 )
+_STEP = "month INT, legs BIGINT, trips BIGINT, writer STRING, batch_id BIGINT, step BIGINT"
 
 
 def keep_best_trips(
     flights: DataFrame, store: BestTripsStore, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
     return (
-        flights.writeStream.foreachBatch(partial(store.update, writer=checkpoint))
+        flights.writeStream.foreachBatch(store.update)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or TABLE_TRIGGER))
         .start()

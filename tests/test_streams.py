@@ -8,7 +8,7 @@ from skyledger.sources import messages
 from skyledger.sources.driver_tables import flights as driver_flights
 from skyledger.sources.tables import as_table
 from skyledger.streaming import running
-from skyledger.streaming.sinks import SnapshotTable
+from skyledger.streaming.sinks import OtherStream, SnapshotTable
 from skyledger.streaming.trips import (
     BestTripsStore, all_trips_stream, keep_all_trips, keep_best_trips, read_all_trips,
 )
@@ -85,8 +85,10 @@ def test_ranking_in_memory_and_as_report(spark, tmp_path, parts, topic):
     running.keep_report(
         "top-airports", stream, report, str(tmp_path / "cp2"), running.AVAILABLE_NOW
     ).awaitTermination()
-    lines = sorted(r.value for r in spark.read.text(report).collect())
-    assert lines == sorted(f"{r.airport}\t{r.flights}" for r in counts.collect())
+    files = sorted((tmp_path / "report").glob("part-*"))
+    lines = [line for f in files for line in f.read_text().splitlines()]
+    order = sorted(counts.collect(), key=lambda r: (r.flights, r.airport), reverse=True)
+    assert lines == [f"{r.airport}\t{r.flights}" for r in order]
 
 
 @pytest.mark.parametrize("max_disorder", [None, "4000 days"])
@@ -131,7 +133,7 @@ def test_bounded_disorder_drops_old_legs_from_state(spark, tmp_path, flight_rows
     assert removed >= 2
 
 
-def test_best_trips_equal_batch_and_survive_a_replay(spark, tmp_path, parts, topic):
+def test_best_trips_equal_batch_and_survive_a_replay(spark, tmp_path, parts, topic, monkeypatch):
     flights, some = parts
     store = BestTripsStore(spark, str(tmp_path / "best"))
 
@@ -144,8 +146,11 @@ def test_best_trips_equal_batch_and_survive_a_replay(spark, tmp_path, parts, top
     drain(topic(some[2].unionByName(some[3])))
     expected = _rows(trips.best_trips(flights))
     assert _rows(store.read()) == expected
-    store.update(some[2].unionByName(some[3]), 1, writer=str(tmp_path / "cp"))
-    assert len(list((tmp_path / "best" / "legs").glob("stream=*/batch=*"))) == 2
+    written = sorted(str(p) for p in (tmp_path / "best").rglob("*.parquet"))
+    writer = store._state()[0].writer
+    monkeypatch.setattr("skyledger.streaming.trips.stream_id", lambda rows: writer)
+    store.update(some[2].unionByName(some[3]), 1)  # a replay
+    assert written == sorted(str(p) for p in (tmp_path / "best").rglob("*.parquet"))
     assert _rows(store.read()) == expected
 
 
@@ -153,8 +158,19 @@ def _performance(spark, *rows):
     return spark.createDataFrame(list(rows), CARRIER_PERFORMANCE.columns)
 
 
-def test_snapshot_table_upserts_and_ignores_replays(spark, tmp_path):
-    table = SnapshotTable(spark, CARRIER_PERFORMANCE, str(tmp_path / "t"), slots=2)
+@pytest.fixture
+def as_stream(monkeypatch):
+    """Call a sink as if a stream of that id did."""
+
+    def use(name):
+        monkeypatch.setattr("skyledger.streaming.sinks.stream_id", lambda rows: name)
+
+    return use
+
+
+def test_snapshot_table_upserts_and_ignores_replays(spark, tmp_path, as_stream):
+    table = SnapshotTable(spark, CARRIER_PERFORMANCE, str(tmp_path / "t"))
+    as_stream("one")
     table.create()
     assert table.read().count() == 0
     table.upsert(_performance(spark, ("A", "x", 1.0), ("B", "x", 2.0)), 0)
@@ -165,29 +181,97 @@ def test_snapshot_table_upserts_and_ignores_replays(spark, tmp_path):
     assert sorted(map(tuple, table.read().collect())) == now
     for batch in range(2, 6):
         table.upsert(_performance(spark, ("A", "x", float(batch))), batch)
-    assert table.read().filter("airport = 'A'").first().departureperf == 5.0
+    assert table.read().filter("airport = 'A'").first().ontime_pct == 5.0
     assert table.read().count() == 3
     table.replace(_performance(spark, ("Q", "q", 1.0)), 6)
     assert [tuple(r) for r in table.read().collect()] == [("Q", "q", 1.0)]
-    table.upsert(_performance(spark, ("R", "r", 1.0)), 0, writer="another stream")
-    assert table.read().count() == 2
-    table.create()
-    assert table.read().count() == 0
-    table.upsert(_performance(spark, ("A", "x", 1.0)), 0)
-    assert table.read().count() == 1
 
 
-def test_batch_that_failed_half_way_is_not_seen(spark, tmp_path):
+def test_another_stream_empties_the_table_or_fails(spark, tmp_path, as_stream):
+    path = str(tmp_path / "t")
+    table = SnapshotTable(spark, CARRIER_PERFORMANCE, path)
+    as_stream("one")
+    for batch in range(3):
+        table.upsert(_performance(spark, (f"A{batch}", "x", 1.0)), batch)
+    as_stream("two")
+    with pytest.raises(OtherStream):
+        SnapshotTable(spark, CARRIER_PERFORMANCE, path, existing="fail").upsert(_performance(spark), 0)
+    with pytest.raises(OtherStream):
+        table.upsert(_performance(spark, ("B", "x", 1.0)), 4)
+    assert table.read().count() == 3
+    table.upsert(_performance(spark, ("R", "r", 1.0)), 0)
+    assert [tuple(r) for r in table.read().collect()] == [("R", "r", 1.0)]
+
+
+def test_old_versions_go_and_files_do_not_grow_with_keys(spark, tmp_path):
+    table = SnapshotTable(spark, CARRIER_PERFORMANCE, str(tmp_path / "t"), keep_seconds=0)
+    for batch in range(6):
+        table.upsert(_performance(spark, *((f"A{batch}-{k}", "x", 1.0) for k in range(200))), batch)
+    assert table.read().count() == 1200
+    files = list((tmp_path / "t" / "data").rglob("*.parquet"))
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 1 and len(files) <= 4
+
+
+@pytest.mark.parametrize("job", ["airports", "all-trips", "best-trips", "word-count"])
+def test_emptied_and_new_checkpoints_lose_nothing(spark, tmp_path, topic, flight_rows, job):
+    import datetime as dt
+    import shutil
+
+    first = flight_rows({"origin": "X", "dest": "Y", "dep_time": 900})
+    second = flight_rows({"origin": "Y", "dest": "Z", "dep_time": 1500, "flight_date": dt.date(2008, 1, 26)})
+    third = flight_rows({"origin": "Y", "dest": "W", "dep_time": 1500, "flight_date": dt.date(2008, 1, 26)})
+    path = str(tmp_path / "out")
+
+    def drain(stream, checkpoint):
+        now = running.AVAILABLE_NOW
+        if job == "airports":
+            target = SnapshotTable(spark, running.TABLE_JOBS[job][0], path)
+            running.keep_table(job, stream, target, checkpoint, now).awaitTermination()
+            return sum(r.flights for r in target.read().collect())
+        if job == "all-trips":
+            keep_all_trips(stream, path, checkpoint, now).awaitTermination()
+            return read_all_trips(spark, path).count()
+        if job == "best-trips":
+            store = BestTripsStore(spark, path)
+            keep_best_trips(stream, store, checkpoint, now).awaitTermination()
+            return store.read().count()
+        lines = messages.read_messages(spark, "text", path=str(tmp_path / "topic"), **ONE_FILE)
+        running.count_words_per_batch(lines, path, checkpoint, now).awaitTermination()
+        return spark.read.parquet(path).agg({"n": "sum"}).first()[0]
+
+    checkpoint = str(tmp_path / "cp")
+    whole = drain(topic(first, second), checkpoint)
+    assert whole == {"airports": 4, "all-trips": 1, "best-trips": 1, "word-count": 2}[job]
+    shutil.rmtree(checkpoint)
+    assert drain(topic(), checkpoint) == whole
+    more = drain(topic(third), checkpoint)
+    assert more == {"airports": 6, "all-trips": 2, "best-trips": 2, "word-count": 3}[job]
+    assert drain(topic(), str(tmp_path / "cp2")) == more
+
+
+def test_fifty_batches_leave_a_bounded_number_of_folders(spark, tmp_path, flight_rows, as_stream, monkeypatch):
+    import datetime as dt
+
+    monkeypatch.setattr("skyledger.streaming.trips.stream_id", lambda rows: "one")
+    store = BestTripsStore(spark, str(tmp_path / "best"))
+    for batch in range(50):
+        store.update(flight_rows({"flight_date": dt.date(2008, 1 + batch % 3, 1 + batch % 9), "dep_time": 900}), batch)
+    kinds = {kind: len(list((tmp_path / "best" / kind).iterdir())) for kind in ("legs", "trips", "steps")}
+    assert kinds["legs"] <= 6 and kinds["trips"] <= 8 and kinds["steps"] <= 2
+
+
+def test_batch_that_failed_half_way_is_not_seen(spark, tmp_path, as_stream):
+    as_stream("one")
     table = SnapshotTable(spark, CARRIER_PERFORMANCE, str(tmp_path / "t"))
     table.upsert(_performance(spark, ("A", "x", 1.0)), 0)
     broken = _performance(spark, ("A", "x", 2.0)).selectExpr(
-        "airport", "carrier", "raise_error('lost') AS departureperf"
+        "airport", "carrier", "raise_error('lost') AS ontime_pct"
     )
     with pytest.raises(Exception, match="lost"):
         table.upsert(broken, 1)
-    assert table.read().first().departureperf == 1.0
+    assert table.read().first().ontime_pct == 1.0
     table.upsert(_performance(spark, ("A", "x", 2.0)), 1)
-    assert table.read().first().departureperf == 2.0
+    assert table.read().first().ontime_pct == 2.0
 
 
 def test_published_stream_is_read_back(spark, tmp_path, flight_rows):
