@@ -116,3 +116,20 @@ def test_full_rank_is_the_position_in_the_sorted_list(spark):
 def test_words(spark):
     texts = spark.createDataFrame([("a b  a",), (" b ",), ("",)], "text string")
     assert _as_dict(metrics.word_counts(texts), "word", "n") == {"a": 2, "b": 2}
+
+
+def test_full_rank_keeps_zeros_negatives_and_nulls(spark):
+    rows = spark.createDataFrame([("a", 0), ("b", 2), ("c", -3), ("d", None), ("e", 2)], "code string, v int")
+    got = [tuple(r) for r in ranking.full_rank(rows, "v", "code").collect()]
+    assert got == [("e", 2, 1), ("b", 2, 2), ("a", 0, 3), ("c", -3, 4), ("d", None, 5)]
+
+
+def test_full_rank_spreads_equal_counts_over_tasks(spark):
+    rows = spark.range(0, 5000, 1, 4).selectExpr("lpad(id, 5, '0') AS code", "1 AS v")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = ranking.full_rank(rows, "v", "code").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert [r.code for r in got] == [f"{k:05d}" for k in range(4999, -1, -1)]
+    assert [r["rank"] for r in got] == list(range(1, 5001))

@@ -97,7 +97,7 @@ def test_extract_round_trip(spark, tmp_path, flight_rows, fields, schema):
         {"dep_delay_minutes": None, "arr_delay_minutes": None, "arr_del15": None},
     )
     path = str(tmp_path / "extract")
-    extract.write_extract(flights, path, fields)
+    extract.write_layout(filters.clean(flights), path, fields)
     back = extract.read_extract(spark, path, fields)
     assert back.columns == schema.fieldNames()
     _, layout = extract.LAYOUTS[fields]
@@ -127,14 +127,12 @@ def test_message_round_trip(spark, flight_rows):
     assert sorted(map(str, back.collect())) == sorted(map(str, expected.collect()))
 
 
-def test_unreadable_messages_are_counted(spark):
+def test_unreadable_messages_have_no_fields(spark):
     lines = spark.createDataFrame(
         [("4,2008-01-24,AA,1,AUS,JFK,0905,0.00,0.00,0.00,1000,0.00,0.00,0.00",), ("junk",),
          ("4,2008-01-24,AA,1,AUS,JFK,0905,0.00,0.00,0.00,1000",)],
         "value string",
     )
-    audit = messages.parse_audit(lines).first()
-    assert (audit.all_lines, audit.bad_lines) == (3, 1)
     row = metrics.carrier_ontime(messages.parse(lines).filter("carrier is not null")).first()
     assert (row.ontime_pct, row.flights, row.unknown) == (100.0, 2, 1)
 
@@ -146,15 +144,13 @@ def test_feed_limits():
         messages.feed_limit("kafka", 2)
 
 
-def test_table_round_trip_and_reset(spark, tmp_path):
+def test_table_round_trip(spark, tmp_path):
     path = str(tmp_path / "table")
     rows = spark.createDataFrame([("1", "AA", 50.0), ("2", "AA", 60.0)], CARRIER_PERFORMANCE.columns)
     tables.write_table(rows, CARRIER_PERFORMANCE, path)
     assert sorted(tables.read_table(spark, CARRIER_PERFORMANCE, path).collect()) == rows.collect()
     tables.write_table(rows.limit(1), CARRIER_PERFORMANCE, path)
     assert tables.read_table(spark, CARRIER_PERFORMANCE, path).count() == 1
-    tables.create_table(spark, CARRIER_PERFORMANCE, path)
-    assert tables.read_table(spark, CARRIER_PERFORMANCE, path).count() == 0
 
 
 def test_text_report_keeps_the_order(spark, tmp_path):
@@ -168,3 +164,34 @@ def test_route_table_columns(flight_rows):
     metric = metrics.route_mean_delay(flight_rows({"arr_delay_minutes": 4.0}))
     row = tables.as_table(metric, ROUTE_DELAY).first()
     assert tuple(row) == ("AAA", "BBB", 4.0)
+
+
+def test_times_out_of_range_are_null_and_counted(spark, flight_rows):
+    from skyledger.functions import hhmm_text, to_time
+
+    texts = spark.createDataFrame([("0905",), ("2400",), ("2401",), ("1260",), ("12345",), ("-5",), ("905.0",), ("x",)], "t string")
+    assert [r[0] for r in texts.select(to_time(texts.t)).collect()] == [905, 2400, None, None, None, None, 905, None]
+    numbers = spark.createDataFrame([(5,), (12345,), (None,)], "t int")
+    assert [r[0] for r in numbers.select(hhmm_text(numbers.t)).collect()] == ["0005", "12345", None]
+    row = filters.audit(flight_rows({}, {"dep_time": None}, {"dep_time": None, "cancelled": 1.0}), filters.bad_times()).first()
+    assert (row.all_lines, row.good_lines, row.bad_times) == (3, 2, 1)
+
+
+def test_headerless_files_of_another_layout_are_refused(spark, tmp_path):
+    from skyledger.schema import RAW_COLUMNS
+    from skyledger.sources import raw
+
+    # Three id columns before each airport, as in another edition of the files.
+    columns = []
+    for name in RAW_COLUMNS:
+        if name in ("Origin", "Dest"):
+            columns += [f"{name}AirportID", f"{name}AirportSeqID", f"{name}CityMarketID"]
+        columns.append(name)
+    values = {"FlightDate": "2008-01-24", "UniqueCarrier": "AA", "Origin": "AUS", "Dest": "JFK", "DepTime": "0905", "Cancelled": "0.00", "Diverted": "0.00"}
+    line = ",".join(values.get(name, "14986" if name.endswith("ID") else "") for name in columns)
+    (tmp_path / "file.csv").write_text(line + "\n")
+    path = str(tmp_path / "file.csv")
+    with pytest.raises(ValueError, match="layout"):
+        raw.read_flights(spark, path, header=False).collect()
+    row = raw.read_flights(spark, path, header=False, columns=columns).first()
+    assert (row.origin, row.dest, row.cancelled) == ("AUS", "JFK", 0.0)
