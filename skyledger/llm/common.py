@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.words import mixed
+from skyledger.llm.words import give_back, mixed
 from skyledger.session import scratch_dir
 
 #: Stands for a null id inside NumPy arrays; it sorts after every id.
@@ -48,6 +48,7 @@ def binaries(parts: list[np.ndarray]) -> pa.Array:
 
 def joined(column: pa.ChunkedArray | pa.Array, dtype: str) -> np.ndarray:
     """All values of a binary column, one after the other, as one array."""
+    give_back()
     return np.frombuffer(b"".join(column.to_pylist()), dtype=dtype)
 
 
@@ -182,7 +183,8 @@ def components(links: DataFrame) -> DataFrame:
     each round is a minimum for each node, joined back, so no task gathers the neighbours of a node.
     """
     clean = links.select("a", "b").where("a is not null and b is not null and a <> b")
-    edges = saved(clean.mapInArrow(_forest, "a bigint, b bigint").distinct(), "links")
+    # After a shuffle, so that no task runs two Python functions in a row.
+    edges = saved(clean.distinct().mapInArrow(_forest, "a bigint, b bigint"), "links")
     before = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

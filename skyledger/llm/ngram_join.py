@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.common import as_batches, binaries, binary_table, bitmap, by_owner, components, fresh, home_of, in_bitmap, joined, partitions, ranges, rowwise, runs, saved, split_by
 from skyledger.llm.grouped_links import LINKS, connected
-from skyledger.llm.words import buffers, pieces, window_hashes, word_hashes, words_of
+from skyledger.llm.words import buffers, give_back, pieces, window_hashes, word_hashes, words_of
 
 #: The table of counts, whatever the input: 4 MB.
 SKETCH_BITS = 20
@@ -103,7 +103,7 @@ def _set_rows(source: DataFrame, n: int, fold: bool) -> DataFrame:
 
 
 #: Grams held together by one step, eight bytes each.
-HELD = 1 << 20
+HELD = 1 << 19
 
 # Step 2. Shares of all classes, by piece: a class that several pieces hold has the same count in each.
 
@@ -133,6 +133,7 @@ def _seen(classes: list[int], sets: list[np.ndarray], buckets: int, piece: int)
 
 def _shares(table: pa.Table, homes: int) -> pa.Table:
     """Of one bucket: how many n-grams of each class, piece by piece, also occur elsewhere."""
+    give_back()
     owners, grams, pieces_, found = [], [], [], []
     for k in range(table.num_rows):
         row = {x: table.column(x)[k].as_buffer() for x in table.column_names if x != "bucket"}

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import NO_ID, binaries, bitmap, ids_of, ids_to_arrow, in_bitmap, joined, partitions, rowwise, runs, saved
-from skyledger.llm.words import buffers, inside_windows, mixed, pieces, window_hashes, word_hashes, words_of
+from skyledger.llm.words import buffers, give_back, inside_windows, mixed, pieces, window_hashes, word_hashes, words_of
 
 PACKED = "bucket int, ids binary, marks binary, counts binary, hashes binary, steps binary, jumps binary, lost binary"
 LOST = "home int, ids binary, marks binary, counts binary, places binary"
@@ -98,6 +98,7 @@ def _losers(table: pa.Table, homes: int) -> pa.Table:
 
     They leave in packs, one for each ``home`` that gathers the places of its documents.
     """
+    give_back()
     rows = [{name: table.column(name)[i].as_buffer() for name in table.column_names if name != "bucket"} for i in range(table.num_rows)]
     settled = [np.frombuffer(r["lost"], np.uint8)[0] == 1 for r in rows]
     open_ = [_unpack(r) for r, s in zip(rows, settled, strict=True) if not s]

@@ -7,6 +7,7 @@ the same hash with a chance of 2**-64.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
@@ -17,7 +18,18 @@ import pyarrow as pa
 U64 = np.uint64
 BLOCK = 1 << 20
 #: Texts are taken in pieces of so many bytes; a longer text is a piece of its own.
-PIECE = 4 << 20
+PIECE = 2 << 20
+
+# Workers live on between tasks.  With one allocator for NumPy and Arrow, what a piece needed
+# can be given back to the system when it is done.
+pa.set_memory_pool(pa.system_memory_pool())
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    if _TRIM is not None:
+        _TRIM(0)
 
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -90,6 +102,7 @@ def pieces(offsets: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, int]]
         b = min(max(b, a + 1), n)
         yield a, b
         a = b
+        give_back()
 
 
 @dataclass
