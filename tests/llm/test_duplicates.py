@@ -219,3 +219,40 @@ def test_line_dedup(spark, block):
     rows += [(None, rows[20][1]), (70, rows[20][1])]
     got = line_dedup.remove_lines(documents(spark, rows).repartition(5), budget, block=block, buckets=5).collect()
     assert same([(r.doc_id, r.n_lines, r.n_removed, r.text) for r in got], kept_lines(rows, budget))
+
+
+def test_budget_of_long_lines_grows():
+    budget = line_dedup.Budget()
+    assert [int(budget.edits(n)) for n in (29, 30, 60, 119, 120, 200, 1000, 4000)] == [0, 1, 2, 2, 3, 5, 25, 100]
+    for rate in (10, 40):
+        b = line_dedup.Budget(rate=rate)
+        assert all(-(-(n - b.edits(n)) // (b.edits(n) + 1)) >= b.run for n in range(b.least, 5000))
+        assert b.gram + b.span - 1 == b.run
+
+
+def test_banded_distance_of_many_edits():
+    rng = random.Random(8)
+    for _ in range(150):
+        a = "".join(rng.choice("abcd") for _ in range(rng.randrange(20, 120)))
+        b = changed(rng, a, rng.randrange(30))
+        true = edit_distance(a, b)
+        assert all(line_dedup.within(a, b, most) == (true <= most) for most in (3, 5, 9, 20))
+
+
+@pytest.mark.parametrize("block, near", [(16 << 20, 256), (2000, 256), (16 << 20, 2)])
+def test_line_dedup_of_long_lines(spark, monkeypatch, block, near):
+    """Long lines with many edits, at the edges of their budgets, by the default budget."""
+    monkeypatch.setattr(line_dedup, "NEAR", near)
+    rng = random.Random(9)
+    budget = line_dedup.Budget()
+    stock = ["".join(rng.choice("abcdefghé ") for _ in range(n)) for n in (115, 119, 121, 158, 161, 240, 330, 400)]
+    rows = []
+    for k in range(60):
+        line = stock[k % len(stock)]
+        rows.append((k, "\n".join([changed(rng, line, rng.randrange(len(line) // 25 + 1)), f"line {k}"])))
+    rows += [(100, stock[7]), (101, stock[7][:150] + "another" + stock[7][154:])]
+    got = line_dedup.remove_lines(documents(spark, rows).repartition(5), budget, block=block, buckets=5).collect()
+    expected = kept_lines(rows, budget)
+    assert same([(r.doc_id, r.n_lines, r.n_removed, r.text) for r in got], expected)
+    two = kept_lines(rows, line_dedup.Budget(rate=1 << 20))
+    assert sum(x[2] for x in expected) > sum(x[2] for x in two) + 5

@@ -152,3 +152,39 @@ def test_pipeline_stages_take_effect(spark, texts):
     assert packed == Counter({d: n for d, n in copies.items() if n})
     again = corpus_pipeline.run(spark, SMALL)
     assert again.columns == rows.columns and again.count() == rows.count()
+
+
+def test_line_query_at_every_difference_of_lengths(spark, texts):
+    """As ``test_line_query``, which compares lines of up to two characters' difference only."""
+    got = {r.doc_id: (r.n_lines, r.n_removed) for r in queries.QUERIES["op10_line_dedup"](spark, SMALL).collect()}
+    lines = {}
+    for d, t in texts.items():
+        for p, x in enumerate(t.split("\n")):
+            if x.encode().split():
+                lines.setdefault(x, []).append((d, p))
+    names = sorted(lines, key=len)
+    parent = {x: x for x in names}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    budget = line_dedup.Budget()
+    for k, a in enumerate(names):
+        most = int(budget.edits(len(a)))
+        for b in names[k + 1 :]:
+            if len(b) > len(a) + most:
+                break
+            unlike = sum(((Counter(a) - Counter(b)) | (Counter(b) - Counter(a))).values())
+            if most and root(a) != root(b) and unlike <= 2 * most and line_dedup.within(a, b, most):
+                parent[root(b)] = root(a)
+    first = {}
+    for x in names:
+        first[root(x)] = min(first.get(root(x), min(lines[x])), min(lines[x]))
+    removed, total = Counter(), Counter()
+    for x, places in lines.items():
+        for d, p in places:
+            total[d] += 1
+            removed[d] += (d, p) != first[root(x)]
+    assert got == {d: (total[d], removed[d]) for d in texts}
