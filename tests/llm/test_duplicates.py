@@ -256,3 +256,13 @@ def test_line_dedup_of_long_lines(spark, monkeypatch, block, near):
     assert same([(r.doc_id, r.n_lines, r.n_removed, r.text) for r in got], expected)
     two = kept_lines(rows, line_dedup.Budget(rate=1 << 20))
     assert sum(x[2] for x in expected) > sum(x[2] for x in two) + 5
+
+
+def test_lost_places_of_repeated_rows_are_listed_once(spark, monkeypatch):
+    kept = {}
+    save = line_dedup.saved
+    monkeypatch.setattr(line_dedup, "saved", lambda df, label: kept.setdefault(label, save(df, label)))
+    rows = [(1, "one line\nanother line")] + [(None, "one line\nanother line")] * 20
+    got = line_dedup.remove_lines(documents(spark, rows)).collect()
+    assert sorted(r.n_removed for r in got) == [0] + [2] * 20
+    assert [sorted(r.places) for r in kept["lost-lines"].collect()] == [[0, 1]]
