@@ -124,3 +124,41 @@ FROM failed
 """
 
 ORACLE_SQL: dict[str, str] = {"op1_ngram_jaccard_join": OP1, "op3_substring_dedup": OP3, "op4_url_filters": OP4, "op7_quality_rules": OP7}
+
+ORACLE_SQL["op12_phrase_collocations"] = """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM pieces
+), grams AS (
+    SELECT lang, unnest(words) AS phrase, 1 AS size FROM worded
+    UNION ALL SELECT lang, unnest(list_transform(range(1, len(words)), lambda k: words[k] || ' ' || words[k + 1])), 2 FROM worded
+    UNION ALL SELECT lang, unnest(list_transform(range(1, len(words) - 1), lambda k: words[k] || ' ' || words[k + 1] || ' ' || words[k + 2])), 3 FROM worded
+), counts AS MATERIALIZED (
+    SELECT lang, size, phrase, lang || chr(10) || phrase AS name, count(*) AS f FROM grams GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE size = 1 GROUP BY lang
+), candidates AS MATERIALIZED (
+    SELECT *, string_split(phrase, ' ') AS words, lang || chr(10) AS start FROM counts WHERE size > 1 AND f >= 10
+), halves AS (
+    SELECT lang, phrase, f AS a, 1 AS k, start || words[1] AS head, start || array_to_string(words[2:], ' ') AS tail FROM candidates
+    UNION ALL SELECT lang, phrase, f, 2, start || words[1] || ' ' || words[2], start || words[3] FROM candidates WHERE size = 3
+), cuts AS (
+    SELECT h.lang, h.phrase, a, k, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+    FROM halves h JOIN counts x ON x.name = h.head JOIN counts y ON y.name = h.tail
+), lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), around AS (
+    SELECT lang, phrase, max(f) AS f FROM (
+        SELECT lang, words[1] || ' ' || words[2] AS phrase, f FROM candidates WHERE size = 3
+        UNION ALL SELECT lang, words[2] || ' ' || words[3], f FROM candidates WHERE size = 3
+    ) GROUP BY lang, phrase
+), named AS (
+    SELECT lang, phrase, a, l, r, score::BIGINT AS score FROM lowest LEFT JOIN around USING (lang, phrase) WHERE f IS NULL OR 100 * f < 50 * a
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM named
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""

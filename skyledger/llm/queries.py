@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import byte_pairs, classifier, decontaminate, line_dedup, mixing, ngram_join, packing, quality_rules, sharding, substring_dedup, url_filter
+from skyledger.llm import byte_pairs, classifier, collocations, decontaminate, line_dedup, mixing, ngram_join, packing, quality_rules, sharding, substring_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,11 +73,15 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_documents(spark, sf_dir), min_count=10, inside_percent=50, top=2000)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_benchmark_decontamination, op3_substring_dedup, op4_url_filters, op5_quality_classifier,
         op6_source_mixing, op7_quality_rules, op8_sharding, op9_token_packing, op10_line_dedup,
-        op11_byte_bpe,
+        op11_byte_bpe, op12_phrase_collocations,
     )
 }
