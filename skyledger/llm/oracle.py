@@ -162,3 +162,43 @@ WITH pieces AS (
 )
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
+
+
+def _vector_codes(rounds: int = 4, entries: int = 256) -> str:
+    """Whole numbers below 2**21 have exact distances in doubles."""
+    with_nearest = """, near{r} AS MATERIALIZED (
+    SELECT row, part, min({{'d': v2 - 2 * list_dot_product(v, c) + c2, 'e': entry}}) AS best
+    FROM cut JOIN (SELECT *, list_dot_product(c, c) AS c2 FROM book{r}) USING (part) GROUP BY row, part
+)"""
+    with_book = """, book{n} AS MATERIALIZED (
+    SELECT part, entry, coalesce(next.c, old.c) AS c FROM book{r} old LEFT JOIN (
+        SELECT part, entry, list(((total - ((total % n) + n) % n) // n)::DOUBLE ORDER BY place) AS c FROM (
+            SELECT part, entry, place, sum(x)::BIGINT AS total, count(*) AS n FROM (
+                SELECT part, best.e AS entry, unnest(v)::BIGINT AS x, generate_subscripts(v, 1) AS place FROM near{r} JOIN cut USING (row, part)
+            ) GROUP BY ALL
+        ) GROUP BY part, entry
+    ) next USING (part, entry)
+)"""
+    chain = "".join(with_nearest.format(r=r) + with_book.format(r=r, n=r + 1) for r in range(rounds)) + with_nearest.format(r=rounds)
+    return f"""
+WITH kept AS (
+    SELECT vec_id, label, row_number() OVER (ORDER BY vec_id, embedding) AS row, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v, len(embedding) // 4 AS width
+    FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), sliced AS (
+    SELECT row, part, list_slice(v, part * width + 1, part * width + width)::DOUBLE[] AS v FROM kept, range(4) AS parts(part)
+), cut AS MATERIALIZED (
+    SELECT *, list_dot_product(v, v) AS v2 FROM sliced
+), book0 AS MATERIALIZED (
+    SELECT part, row - 1 AS entry, v AS c FROM cut WHERE row <= {entries}
+){chain}, coded AS (
+    SELECT row, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM near{rounds} GROUP BY row
+), flat AS (
+    SELECT part, entry, unnest(c)::BIGINT AS x, generate_subscripts(c, 1) AS place FROM book{rounds}
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+    (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, place)) FROM flat) AS codebooks_sha256
+FROM coded JOIN kept USING (row)
+"""
+
+
+ORACLE_SQL["op13_vector_codes"] = _vector_codes()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import byte_pairs, classifier, collocations, decontaminate, line_dedup, mixing, ngram_join, packing, quality_rules, sharding, substring_dedup, url_filter
+from skyledger.llm import byte_pairs, classifier, collocations, decontaminate, line_dedup, mixing, ngram_join, packing, quality_rules, sharding, substring_dedup, url_filter, vector_codes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,11 +77,16 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_documents(spark, sf_dir), min_count=10, inside_percent=50, top=2000)
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), parts=4, entries=256, rounds=4, scale=1024)
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_benchmark_decontamination, op3_substring_dedup, op4_url_filters, op5_quality_classifier,
         op6_source_mixing, op7_quality_rules, op8_sharding, op9_token_packing, op10_line_dedup,
-        op11_byte_bpe, op12_phrase_collocations,
+        op11_byte_bpe, op12_phrase_collocations, op13_vector_codes,
     )
 }

@@ -12,7 +12,7 @@ from skyledger.llm import decontaminate, line_dedup, mixing, ngram_join, oracle,
 from skyledger.llm.common import saved
 from tests.conftest import SMALL
 
-TABLES = ("documents", "pages", "benchmark", "labels")
+TABLES = ("documents", "pages", "benchmark", "labels", "embeddings")
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +32,7 @@ def texts(sql):
 def test_all_queries_and_the_pipeline_are_registered():
     entry = importlib.import_module("__spark_entry__")
     numbers = sorted(int(name[2:].split("_")[0]) for name in entry.queries() if name.startswith("op"))
-    assert numbers == list(range(1, 13)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
     assert set(oracle.ORACLE_SQL) <= set(queries.QUERIES)
 
 
