@@ -139,19 +139,20 @@ def summed(rows: np.ndarray, weights: np.ndarray, n_words: int, largest: bool =
 
 def union(automata: list[Automaton], largest: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Words, sorted rows and weights of all sequences; weights of a sequence are added, or the largest is taken."""
-    found = [a.sequences() for a in automata]
     coded = pa.concat_arrays([a.words for a in automata]).dictionary_encode()
     order = pc.sort_indices(coded.dictionary).to_numpy()
     rank = np.empty(len(order), dtype=np.int32)
     rank[order] = np.arange(len(order), dtype=np.int32)
     label = rank[coded.indices.to_numpy()]
-    rows, base = [], 0
-    for a, (own, _) in zip(automata, found, strict=True):
-        mapped = np.full(own.shape, -1, dtype=np.int32)
-        mapped[own >= 0] = label[base + own[own >= 0]]
-        rows.append(mapped)
+    rows, weights, base = [], [], 0
+    for a in automata:
+        own, weight = a.sequences()
+        own[own >= 0] = label[base + own[own >= 0]]
+        rows.append(own)
+        weights.append(weight)
         base += len(a.words)
-    rows, weights = summed(np.concatenate(rows), np.concatenate([w for _, w in found]), len(order), largest)
+    rows, weights = np.concatenate(rows), np.concatenate(weights)
+    rows, weights = summed(rows, weights, len(order), largest)
     return coded.dictionary.take(pa.array(order)), rows, weights
 
 

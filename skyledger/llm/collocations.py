@@ -11,9 +11,9 @@ How it runs.
 1. Shards: a task counts the one, two and three word phrases of some megabytes of text, sorts them, and builds count
    transducers from them (``automata``), one for each prefix range: a range of hashes of the language and the
    first one or two words.  The first label is the language, so a language of any size is spread over all ranges.
-2. Union: the transducers of a range are united and weights summed; phrases below ``min_count`` go.  There are as many
-   ranges as the text needs, so one task holds few megabytes of them, and where a range has very many shards
-   they are first united in groups of ``FAN``.
+2. Union: the transducers of a range are united and weights summed; phrases below ``min_count`` go.  There is a range for
+   every few megabytes of text, so a group that a task holds is small.  Beyond ``WIDE`` ranges, shards are cut by wide
+   ranges, some shards of a wide range are united at a time, and their union is cut by narrow ranges.
 3. Parts: what is left is small, so ranges next to each other are put together.  Each such range asks for the counts of the
    parts of its candidates: an automaton of parts goes to the range that counts them and is composed with the
    transducer there.  A part is asked for once by a range, however many candidates have it.  Asks carry the
@@ -42,11 +42,11 @@ from skyledger.llm.common import ranges, rowwise, saved
 from skyledger.llm.words import FOLD, U64, WORD_BYTE, Words, buffers, give_back, mixed, pieces, span_hashes, words_of
 
 #: Bytes of text in a shard, and for which there is one range; bytes for which there is one range of what is left.
-SHARD = 8 << 20
-RANGE = 8 << 20
-LEFT = 128 << 20
-#: So many shards of a range are united at a time.
-FAN = 512
+SHARD = 4 << 20
+RANGE = 4 << 20
+LEFT = 64 << 20
+#: Up to so many ranges, shards are cut by them at once.
+WIDE = 256
 NO_LANGUAGE = "und"
 
 #: Punctuation that ends a piece, as a line end, like the line ends themselves.
@@ -146,6 +146,12 @@ def _table(schema: str, *columns: list) -> pa.Table:
     return pa.table([pa.array(c, kinds[kind]) for c, (_, kind) in zip(columns, fields, strict=True)], names=[name for name, _ in fields])
 
 
+def _held(table: pa.Table, min_count: int) -> pa.Table:
+    """The automata of one range as one, without rare phrases; no row if nothing is left."""
+    found = _united(table.column("automaton").to_pylist(), min_count)
+    return _table(MERGED, [table.column("bucket")[0].as_py()], [_one(*found)]) if len(found[1]) else _table(MERGED, [], [])
+
+
 def _asked(rows: np.ndarray, weights: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
     """The parts of all candidates, each once, with one more than the largest count of a longer candidate around it (else 1)."""
     rows, weights = rows[rows[:, 2] >= 0], weights[rows[:, 2] >= 0]
@@ -204,23 +210,30 @@ def _scored(own: automata.Automaton, answers: list[bytes], dropped: list[bytes])
     return _table(SCORED, *out)
 
 
-def phrase_counts(docs: DataFrame, min_count: int = 10, text_col: str = "text", lang_col: str = "lang", shard: int = SHARD, per_range: int = RANGE, fan: int = FAN) -> DataFrame:
+def phrase_counts(docs: DataFrame, min_count: int = 10, text_col: str = "text", lang_col: str = "lang", shard: int = SHARD, per_range: int = RANGE, wide: int = WIDE) -> DataFrame:
     """Count transducers (bucket, automaton) of all phrases of up to three words with at least ``min_count`` occurrences.
 
     Beside them, each transducer has for every language the number of all word occurrences that its range counts.
     """
-    return _counts(docs, volume(docs, text_col), min_count, text_col, lang_col, shard, per_range, fan)
+    return _counts(docs, _layout(docs, text_col, per_range, wide), min_count, text_col, lang_col, shard)
 
 
-def volume(docs: DataFrame, text_col: str) -> int:
-    """Bytes of all texts."""
-    return docs.agg(F.sum(F.octet_length(text_col).cast("bigint"))).first()[0] or 0
+def _layout(docs: DataFrame, text_col: str, per_range: int, wide: int) -> tuple[int, int]:
+    """How many wide ranges there are, and narrow ones in each; by the bytes of all texts."""
+    total = docs.agg(F.sum(F.octet_length(text_col).cast("bigint"))).first()[0] or 0
+    ranges = max(1, ceil(total / per_range))
+    if ranges <= wide:
+        return ranges, 1
+    return ceil(ranges**0.5), ceil(ranges / ceil(ranges**0.5))
 
 
-def _counts(docs: DataFrame, total: int, min_count: int, text_col: str, lang_col: str, shard: int, per_range: int, fan: int) -> DataFrame:
+def _counts(docs: DataFrame, layout: tuple[int, int], min_count: int, text_col: str, lang_col: str, shard: int) -> DataFrame:
     source = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), F.col(text_col).alias("text"))
-    buckets = max(1, ceil(total / per_range))
-    salts = ceil(total / shard / fan)
+    wide, narrow = layout
+
+    def cut(names: pa.Array, rows: np.ndarray, counts: np.ndarray, ranges: int, salt: int) -> pa.Table:
+        packs = automata.build(names, *_with_totals(_buckets(names, rows, ranges), rows, counts))
+        return _table(PACKED, [k for k, _ in packs], [salt] * len(packs), [x for _, x in packs])
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() if TaskContext.get() else 0
@@ -229,39 +242,41 @@ def _counts(docs: DataFrame, total: int, min_count: int, text_col: str, lang_col
             coded = rowwise(b, "lang").cast(pa.large_binary()).dictionary_encode()
             langs, of = coded.dictionary.to_pylist(), coded.indices.to_numpy()
             for i, j in pieces(offsets, shard):
-                names, rows, counts = counted(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], langs, of[i:j])
-                if not len(rows):
-                    continue
-                packs = automata.build(names, *_with_totals(_buckets(names, rows, buckets), rows, counts))
+                found = counted(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], langs, of[i:j])
                 number += 1
-                yield from _table(PACKED, [k for k, _ in packs], [number % max(salts, 1)] * len(packs), [x for _, x in packs]).to_batches()
+                if len(found[1]):
+                    # Of a wide range, a narrow range's worth of shards is united at a time.
+                    yield from cut(*found, wide, number % narrow).to_batches()
+
+    def unite(table: pa.Table) -> pa.Table:
+        give_back()
+        words, rows, weights = automata.union([automata.read(x) for x in table.column("automaton").to_pylist()])
+        counted_here = rows[:, 1] >= 0
+        return cut(words, rows[counted_here], weights[counted_here], wide * narrow, 0)
 
-    def unite(table: pa.Table, least: int, fold: int) -> pa.Table:
+    def finish(table: pa.Table) -> pa.Table:
         give_back()
-        merged = _one(*_united(table.column("automaton").to_pylist(), least))
-        bucket, salt = table.column("bucket")[0].as_py(), table.column("salt")[0].as_py()
-        return _table(PACKED, [bucket], [salt % fold], [merged])
+        return _held(table, min_count)
 
     packed = source.mapInArrow(shards, PACKED)
-    while salts > 1:
-        salts = ceil(salts / fan)
-        packed = packed.groupBy("bucket", "salt").applyInArrow(lambda table, fold=salts: unite(table, 0, fold), PACKED)
-    return packed.groupBy("bucket").applyInArrow(lambda table: unite(table, min_count, 1), PACKED).select("bucket", "automaton")
+    if narrow > 1:
+        packed = packed.groupBy("bucket", "salt").applyInArrow(unite, PACKED)
+    return packed.groupBy("bucket").applyInArrow(finish, MERGED)
 
 
 def collocations(
     docs: DataFrame, min_count: int = 10, inside_percent: int = 50, top: int = 2000, text_col: str = "text", lang_col: str = "lang",
-    shard: int = SHARD, per_range: int = RANGE, left: int = LEFT, fan: int = FAN,
+    shard: int = SHARD, per_range: int = RANGE, left: int = LEFT, wide: int = WIDE,
 ) -> DataFrame:
     """Rows (lang, rank, phrase, a, l, r, n, score) of the first ``top`` phrases of each language."""
-    total = volume(docs, text_col)
-    buckets = max(1, ceil(total / per_range))
-    fine = saved(_counts(docs, total, min_count, text_col, lang_col, shard, per_range, fan), "phrases")
+    layout = _layout(docs, text_col, per_range, wide)
+    buckets = layout[0] * layout[1]
+    fine = saved(_counts(docs, layout, min_count, text_col, lang_col, shard), "phrases")
     together = max(1, left // per_range)
     coarse = fine.withColumn("bucket", F.floor(F.col("bucket") / together))
 
     def put_together(table: pa.Table) -> pa.Table:
-        return _table(MERGED, [table.column("bucket")[0].as_py()], [_one(*_united(table.column("automaton").to_pylist(), min_count))])
+        return _held(table, min_count)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
