@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 from collections.abc import Sequence
 from fnmatch import fnmatch
 
@@ -25,12 +26,13 @@ from skyledger.session import build_session, folders
 from skyledger.sources import extract, messages, raw, tables, yearly
 from skyledger.streaming import running
 from skyledger.streaming import trips as trip_streams
-from skyledger.streaming.sinks import FAIL, RESET, SnapshotTable
+from skyledger.streaming.sinks import FAIL, RESET, BucketedTable
 
 LAYOUTS = ("table", "raw", "raw-headerless", "extract13", "extract14")
 TRIP_REPORTS = ("best_trips", "all_trips")
+TRIP_STREAMS = ("all-trips", "best-trips")
 STREAM_JOBS = (
-    *running.TABLE_JOBS, *running.RANKING_JOBS, "all-trips", "best-trips", "word-count",
+    *running.TABLE_JOBS, *running.RANKING_JOBS, *TRIP_STREAMS, "word-count",
 )
 
 
@@ -122,6 +124,8 @@ def audit(spark: SparkSession, args: argparse.Namespace) -> None:
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
     flights = flown(read_input(spark, args), keep_diverted=False)
     sent = messages.publish(filters.message_value(flights), args.transport, **options(args.option))
+    if args.close:
+        sent += messages.publish(messages.closing_messages(spark, args.close), args.transport, **options(args.option))
     print(f"{sent} messages published")
 
 
@@ -164,8 +168,13 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
         trigger = running.AVAILABLE_NOW
     query = _start(spark, args, lines, trigger)
     query.awaitTermination()
-    if args.max_disorder and (late := trip_streams.late_rows(query)):
-        print(f"{late} legs came later than {args.max_disorder} and were left out")
+    if args.job in TRIP_STREAMS and (late := trip_streams.late_rows(query)):
+        print(f"{late} legs came later than {args.max_disorder or trip_streams.MAX_DISORDER} and were left out")
+
+
+def _heavy(spark: SparkSession, args: argparse.Namespace) -> list[trip_streams.HeavyKey]:
+    """Keys to spread, as found in a table of flights like those to come."""
+    return trip_streams.heavy_keys(yearly.read_years(spark, args.heavy_from)) if args.heavy_from else []
 
 
 def _start(spark: SparkSession, args: argparse.Namespace, lines: DataFrame, trigger):
@@ -176,15 +185,17 @@ def _start(spark: SparkSession, args: argparse.Namespace, lines: DataFrame, trig
     flights = messages.parse(lines)
     if args.job == "all-trips":
         return trip_streams.keep_all_trips(
-            flights, args.out, args.checkpoint, trigger, args.salts, args.max_disorder,
+            flights, args.out, args.checkpoint, trigger, _heavy(spark, args), args.max_disorder,
             args.existing,
         )
     if args.job == "best-trips":
-        store = trip_streams.BestTripsStore(spark, args.out, args.existing)
-        return trip_streams.keep_best_trips(flights, store, args.checkpoint, trigger)
+        return trip_streams.keep_best_trips(
+            flights, args.out, args.checkpoint, trigger,
+            args.max_disorder or trip_streams.MAX_DISORDER, args.existing,
+        )
     if args.job in running.TABLE_JOBS:
         table = running.TABLE_JOBS[args.job][0]
-        target = SnapshotTable(spark, table, args.out, existing=args.existing)
+        target = BucketedTable(spark, table, args.out, existing=args.existing)
         return running.keep_table(args.job, flights, target, args.checkpoint, trigger)
     if args.out:
         return running.keep_report(args.job, flights, args.out, args.checkpoint, trigger)
@@ -194,7 +205,7 @@ def _start(spark: SparkSession, args: argparse.Namespace, lines: DataFrame, trig
 def look_up(spark: SparkSession, args: argparse.Namespace) -> None:
     table = TABLES[args.table]
     if args.streamed:
-        rows = SnapshotTable(spark, table, args.input).read()
+        rows = BucketedTable(spark, table, args.input).read()
     else:
         rows = tables.read_table(spark, table, args.input)
     keys = args.keys.split(",")
@@ -232,6 +243,7 @@ def _parser() -> argparse.ArgumentParser:
     command("audit", audit, flights=True)
 
     sub = command("publish", publish, flights=True)
+    sub.add_argument("--close", type=dt.date.fromisoformat, help="then close all dates well before this one for best-trips")
     sub.add_argument("--transport", default="kafka")
     sub.add_argument("--option", action="append", default=[], metavar="NAME=VALUE")
 
@@ -261,7 +273,7 @@ def _parser() -> argparse.ArgumentParser:
         "--existing", choices=(RESET, FAIL), default=RESET,
         help="when a new stream finds what another one wrote",
     )
-    sub.add_argument("--salts", type=int, default=trip_streams.DEFAULT_SALTS)
+    sub.add_argument("--heavy-from", help="a flight table whose heavy stopovers all-trips spreads")
     sub.add_argument("--max-disorder", help="drop older legs from state, e.g. '33 days'")
 
     sub = command("lookup", look_up)

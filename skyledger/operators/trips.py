@@ -6,7 +6,7 @@ The first leg departs before noon and the second after noon; a 12:00 departure i
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,12 +38,17 @@ def legs(flights: DataFrame) -> DataFrame:
     return with_values(marked, *LEG_KEY, "half")
 
 
-def first_legs(flights: DataFrame) -> DataFrame:
-    return legs(flights).filter(F.col("half") == FIRST).drop("half")
+def first_legs(flights: DataFrame, marked: bool = False) -> DataFrame:
+    return _half(flights, FIRST, marked)
 
 
-def second_legs(flights: DataFrame) -> DataFrame:
-    return legs(flights).filter(F.col("half") == SECOND).drop("half")
+def second_legs(flights: DataFrame, marked: bool = False) -> DataFrame:
+    return _half(flights, SECOND, marked)
+
+
+def _half(flights: DataFrame, half: int, marked: bool) -> DataFrame:
+    found = legs(flights).filter(F.col("half") == half)
+    return found if marked else found.drop("half")
 
 
 def best_leg_flights(flights: DataFrame) -> DataFrame:
@@ -56,12 +61,12 @@ def best_leg_flights(flights: DataFrame) -> DataFrame:
     return best_of_best(legs(flights))
 
 
-def best_of_best(candidates: DataFrame) -> DataFrame:
-    """The best of legs that may themselves be the best of earlier parts."""
+def best_of_best(candidates: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The best of legs that may themselves be the best of earlier parts; ``by`` names more keys to keep."""
     # The date and half-day travel inside the struct too: conditions on those copies stay
     # above the aggregate, so the two sides of the trip join share one scan and one shuffle.
     best = F.min(F.struct(*LEG_FLIGHT, "flight_date", "half")).alias("best")
-    return candidates.groupBy(*LEG_KEY, "half").agg(best).select("origin", "dest", "best.*")
+    return candidates.groupBy(*by, *LEG_KEY, "half").agg(best).select(*by, "origin", "dest", "best.*")
 
 
 def best_trips(flights: DataFrame) -> DataFrame:
@@ -125,39 +130,26 @@ def all_trips(flights: DataFrame) -> DataFrame:
 
 
 def join_legs(
-    first: DataFrame, second: DataFrame, copies: bool = False, salts: int = 1,
-    meeting_time: bool = False,
+    first: DataFrame, second: DataFrame, copies: bool = False, on: Sequence[str] = ()
 ) -> DataFrame:
-    """Equi-join of first legs with second legs on stopover airport and date.
-
-    ``salts`` spreads each key over that many tasks: the first legs are dealt out by hash and
-    the second legs repeated.  It is meant for streams, where AQE cannot split a heavy key.
-    ``meeting_time`` adds the watermarked ``meeting`` column of both sides to the key.
-    """
+    """Equi-join of first legs with second legs on stopover airport and date, and on columns ``on`` of both."""
     copied = ["n"] if copies else []
-    timed = ["meeting"] if meeting_time else []
     xy = first.select(
         F.date_add("flight_date", STOPOVER_DAYS).alias("yzdate"),
         F.col("dest").alias("stopby"),
         F.col("origin"),
         *[F.col(name).alias(f"xy_{name}") for name in (*LEG_FLIGHT, *copied)],
-        *timed,
+        *on,
     )
     yz = second.select(
         F.col("flight_date").alias("yzdate"),
         F.col("origin").alias("stopby"),
         F.col("dest").alias("destination"),
         *[F.col(name).alias(f"yz_{name}") for name in (*LEG_FLIGHT, *copied)],
-        *timed,
+        *on,
     )
-    on = ["yzdate", "stopby", *timed]
-    if salts > 1:
-        dealt = F.pmod(F.xxhash64("origin", "yzdate", "xy_flight", "xy_dep_time"), F.lit(salts))
-        xy = xy.withColumn("salt", dealt.cast("int"))
-        yz = yz.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        on.append("salt")
     # Times are made text only here, so the shuffle and the stream state hold integers.
-    return xy.join(yz, on).select(
+    return xy.join(yz, ["yzdate", "stopby", *on]).select(
         "origin",
         "destination",
         "stopby",

@@ -5,6 +5,7 @@ Each call drains what is published and returns what the stream's sink holds.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +15,16 @@ from skyledger.session import scratch_dir
 from skyledger.sources import messages
 from skyledger.sources.driver_tables import flights, table
 from skyledger.streaming import running
-from skyledger.streaming.sinks import SnapshotTable
+from skyledger.streaming.sinks import BucketedTable
 from skyledger.streaming.trips import (
-    BestTripsStore, keep_all_trips, keep_best_trips, read_all_trips,
+    heavy_keys, keep_all_trips, keep_best_trips, read_all_trips, read_best_trips,
 )
 
 
+#: A date after all flights, to which the stream of best trips is moved on at the end.
+CLOSING_DATE = dt.date(2100, 1, 1)
+
+
 def _topic(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the messages that this call publishes."""
     path = scratch_dir(spark, "topic")
@@ -46,7 +51,7 @@ def _top(job: str):
 def _table(job: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         result, _ = running.TABLE_JOBS[job]
-        target = SnapshotTable(spark, result, scratch_dir(spark, result.name))
+        target = BucketedTable(spark, result, scratch_dir(spark, result.name))
         running.keep_table(
             job, _flight_stream(spark, sf_dir), target, scratch_dir(spark, "checkpoint"),
             trigger=running.AVAILABLE_NOW,
@@ -57,21 +62,23 @@ def _table(job: str):
 
 
 def all_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark, "all-trips")
+    topic, path = _topic(spark, sf_dir), scratch_dir(spark, "all-trips")
+    backlog = messages.parse(spark.read.text(topic))
     keep_all_trips(
-        _flight_stream(spark, sf_dir), path, scratch_dir(spark, "checkpoint"),
-        trigger=running.AVAILABLE_NOW,
+        messages.parse(messages.read_messages(spark, "text", path=topic)), path,
+        scratch_dir(spark, "checkpoint"), trigger=running.AVAILABLE_NOW, heavy=heavy_keys(backlog),
     ).awaitTermination()
     return read_all_trips(spark, path)
 
 
 def best_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = BestTripsStore(spark, scratch_dir(spark, "best-trips"))
+    topic, path = _topic(spark, sf_dir), scratch_dir(spark, "best-trips")
+    messages.publish(messages.closing_messages(spark, CLOSING_DATE), "text", path=topic)
     keep_best_trips(
-        _flight_stream(spark, sf_dir), store, scratch_dir(spark, "checkpoint"),
-        trigger=running.AVAILABLE_NOW,
+        messages.parse(messages.read_messages(spark, "text", path=topic)), path,
+        scratch_dir(spark, "checkpoint"), trigger=running.AVAILABLE_NOW,
     ).awaitTermination()
-    return store.read()
+    return read_best_trips(spark, path)
 
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,8 @@ against a broker in production and against a folder in tests.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from skyledger.operators.filters import clean, message_value
 from skyledger.schema import FLIGHT14
 from skyledger.sources.extract import times_as_numbers
 
+#: Stands for the airports of closing messages.
+NO_AIRPORT = "~"
 # Fixed value: the rate at which the feed is capped.
 FEED_BYTES_PER_SECOND = 15 * 1024 * 1024
 
@@ -34,6 +38,25 @@ def publish(messages: DataFrame, transport: str = "kafka", **options: str) -> in
     return sent.get["rows"]
 
 
+def closing_messages(spark: SparkSession, date: dt.date) -> DataFrame:
+    """Two flights of no airport on a date after all others, one in each half of the day.
+
+    A stream that waits for late flights keeps its newest dates open.  These messages move it on to ``date``, so
+    all dates before it by more than the allowed disorder are closed.  They never meet each other.
+    """
+    rows = [
+        {"flight_date": date, "origin": NO_AIRPORT, "dest": NO_AIRPORT, "dep_time": time, "arr_time": time}
+        for time in (900, 1500)
+    ]
+    whole = spark.createDataFrame([tuple(r.get(f.name) for f in FLIGHT14) for r in rows], _closing_ddl())
+    return message_value(whole)
+
+
+def _closing_ddl() -> str:
+    numbers = ("dep_time", "arr_time")
+    return ", ".join(f"{f.name} {'int' if f.name in numbers else f.dataType.simpleString()}" for f in FLIGHT14)
+
+
 def publish_stream(
     messages: DataFrame, checkpoint: str, transport: str = "kafka", trigger: dict | None = None,
     **options: str,

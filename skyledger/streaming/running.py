@@ -17,7 +17,7 @@ from skyledger.schema import (
     ResultTable,
 )
 from skyledger.sources.tables import as_table
-from skyledger.streaming.sinks import RESET, BatchFolders, SnapshotTable, ranked_report
+from skyledger.streaming.sinks import RESET, BatchFolders, BucketedTable, ranked_report
 
 # How often the rankings and the keyed tables are brought up to date.
 RANKING_TRIGGER = {"processingTime": "2 seconds"}
@@ -55,7 +55,7 @@ RANKING_JOBS: dict[str, tuple[Callable[[DataFrame], DataFrame], str, str]] = {
 
 
 def keep_table(
-    job: str, flights: DataFrame, target: SnapshotTable, checkpoint: str,
+    job: str, flights: DataFrame, target: BucketedTable, checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Upsert the keys whose metric changed in each micro-batch."""

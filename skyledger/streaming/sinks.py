@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from skyledger.schema import ResultTable
 from skyledger.session import delete, folders
-from skyledger.sources.tables import read_table, write_table, write_text
+from skyledger.sources.tables import write_text
 
 
-_COMMIT = "batch_id BIGINT, writer STRING, at TIMESTAMP, version BIGINT"
+#: Key buckets of a table.
+BUCKETS = 16
+_OWNER = "writer STRING, buckets INT"
 #: What a stream does at its first batch when another stream wrote the target before.
 RESET, FAIL = "reset", "fail"
 
@@ -29,110 +32,100 @@ class OtherStream(RuntimeError):
     """The target holds what another stream wrote."""
 
 
-class SnapshotTable:
-    """A keyed Parquet table that micro-batches replace as a whole.
+class BucketedTable:
+    """A keyed Parquet table of which micro-batches rewrite only the key buckets that they touch.
 
-    Each batch writes a new version in few files sorted by key and then, as a separate last step, a
-    one-row commit naming the batch and the stream that wrote it.  Readers use the newest commit,
-    so they never see half a write.  A batch replayed after a failure finds its own commit and does
-    nothing.  A stream that starts anew empties the table, or fails with ``existing="fail"``; one whose
-    earlier batches the table does not hold fails.  Old versions go when they are older than
-    ``keep_seconds``, so a reader has that long to finish.
+    The bucket of a key is a partition of the table.  A batch reads the buckets of its keys, puts its rows in, and
+    writes these buckets whole: first as the pending change, then, by dynamic partition overwrite, in place of the old
+    ones.  If the second step fails half way, the replayed batch finds its pending change and repeats that step.
+    Rows of a key are replaced as a whole, so a batch that is replayed later changes nothing.  Readers see each
+    bucket before or after a batch, not in between.
+
+    A stream that starts anew empties the table, or fails with ``existing="fail"``; one whose earlier batches
+    the table does not hold fails.
     """
 
     def __init__(
-        self, spark: SparkSession, table: ResultTable, path: str, keep_seconds: int = 3600,
-        existing: str = RESET,
+        self, spark: SparkSession, table: ResultTable, path: str, buckets: int = BUCKETS, existing: str = RESET,
     ):
         if existing not in (RESET, FAIL):
             raise ValueError(f"existing is {RESET} or {FAIL}")
         self.spark = spark
         self.table = table
         self.path = path
-        self.keep_seconds = keep_seconds
+        self.buckets = buckets
         self.existing = existing
 
-    def create(self) -> None:
+    def create(self, writer: str = "") -> None:
         """Create the table empty, dropping what it held before."""
-        newest = self._newest()
-        self._commit(newest.version + 1 if newest else 0, "", -1, self._empty())
+        delete(self.spark, self.path)
+        owner = self.spark.range(1).select(F.lit(writer).alias("writer"), F.lit(self.buckets).alias("buckets"))
+        owner.coalesce(1).write.parquet(self._owner)
 
     def read(self) -> DataFrame:
-        """The content as of the newest commit."""
-        newest = self._newest()
-        if newest is None:
+        """The content now."""
+        if "_SUCCESS" not in folders(self.spark, self._owner):
             raise FileNotFoundError(f"no table at {self.path}")
-        return read_table(self.spark, self.table, self._data(newest.version))
-
-    def replace(self, rows: DataFrame, batch_id: int) -> None:
-        """Make the rows the table's content (for complete-mode streams)."""
-        self._store(rows, batch_id, lambda _: rows)
+        return self._rows().select(*self.table.fields)
 
     def upsert(self, rows: DataFrame, batch_id: int) -> None:
         """Put rows with new keys in, and let rows with known keys replace the old ones."""
-
-        def merged(current: DataFrame) -> DataFrame:
-            fresh = rows.select(*self.table.fields)
-            kept = current.join(fresh, list(self.table.key), "left_anti")
-            return fresh.unionByName(kept.select(*self.table.fields))
-
-        # The batch is read twice, for the anti-join and for the union.
-        rows.persist()
-        try:
-            self._store(rows, batch_id, merged)
-        finally:
-            rows.unpersist()
-
-    def _store(
-        self, rows: DataFrame, batch_id: int, content: Callable[[DataFrame], DataFrame]
-    ) -> None:
-        writer = stream_id(rows)
-        newest = self._newest()
-        own = newest is not None and newest.writer == writer and newest.batch_id >= 0
-        if own and newest.batch_id >= batch_id:
-            return
-        if not own and batch_id > 0:
+        buckets = self._begin(stream_id(rows), batch_id)
+        pending = f"{self.path}/pending/batch={batch_id}"
+        if "_SUCCESS" not in folders(self.spark, pending):
+            # The batch is read for its buckets, for the anti-join and for the union.
+            rows.persist()
+            try:
+                fresh = self._bucketed(rows.select(*self.table.fields), buckets)
+                touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]  # at most ``buckets``
+                current = self._rows().filter(F.col("bucket").isin(touched))
+                kept = current.join(fresh, list(self.table.key), "left_anti").select(*fresh.columns)
+                self._write(fresh.unionByName(kept), pending)
+            finally:
+                rows.unpersist()
+        change = self.spark.read.schema(self._schema).parquet(pending)
+        self._write(change, self._data, partitionOverwriteMode="dynamic")
+        for name in folders(self.spark, f"{self.path}/pending"):
+            if name != f"batch={batch_id}":
+                delete(self.spark, f"{self.path}/pending/{name}")
+
+    def _begin(self, writer: str, batch_id: int) -> int:
+        """The number of buckets, after making sure that the table is this stream's."""
+        owner = None
+        if "_SUCCESS" in folders(self.spark, self._owner):
+            owner = self.spark.read.schema(_OWNER).parquet(self._owner).first()
+        if owner is not None and owner.writer == writer:
+            return owner.buckets
+        if batch_id > 0:
             raise OtherStream(f"{self.path} does not hold this stream's batches before {batch_id}")
-        if not own and newest is not None and newest.batch_id >= 0 and self.existing == FAIL:
+        if owner is not None and owner.writer and self.existing == FAIL:
             raise OtherStream(f"{self.path} holds what another stream wrote")
-        current = self.read() if own else self._empty()
-        self._commit(newest.version + 1 if newest else 0, writer, batch_id, content(current))
-
-    def _empty(self) -> DataFrame:
-        return self.spark.createDataFrame([], self.table.columns)
-
-    def _commit(self, version: int, writer: str, batch_id: int, rows: DataFrame) -> None:
-        write_table(rows, self.table, self._data(version))
-        row = self.spark.range(1).select(
-            F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(writer).alias("writer"),
-            F.current_timestamp().alias("at"),
-        )
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self._commits}/version={version}")
-        self._drop_old(version)
-
-    def _drop_old(self, newest: int) -> None:
-        age = F.current_timestamp().cast("double") - F.col("at").cast("double")
-        old = self._log().filter((F.col("version") < newest) & (age >= self.keep_seconds))
-        for row in old.select("version").collect():  # at most those of ``keep_seconds``
-            # The commit goes first: what it names is then no longer looked for.
-            delete(self.spark, f"{self._commits}/version={row.version}")
-            delete(self.spark, self._data(row.version))
-
-    def _log(self) -> DataFrame:
-        return self.spark.read.schema(_COMMIT).parquet(self._commits)
-
-    def _newest(self) -> Row | None:
-        if not folders(self.spark, self._commits):
-            return None
-        newest = F.max(F.struct("version", "writer", "batch_id")).alias("newest")
-        return self._log().agg(newest).first().newest
-
-    def _data(self, version: int) -> str:
-        return f"{self.path}/data/version{version}"
+        self.create(writer)
+        return self.buckets
+
+    def _bucketed(self, rows: DataFrame, buckets: int) -> DataFrame:
+        return rows.withColumn("bucket", F.pmod(F.xxhash64(*self.table.key), F.lit(buckets)).cast("int"))
+
+    def _rows(self) -> DataFrame:
+        if not folders(self.spark, self._data):
+            return self.spark.createDataFrame([], self._schema)
+        return self.spark.read.schema(self._schema).parquet(self._data)
+
+    def _write(self, rows: DataFrame, path: str, **options: str) -> None:
+        shaped = rows.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", *self.table.key)
+        shaped.write.mode("overwrite").options(**options).partitionBy("bucket").parquet(path)
+
+    @property
+    def _schema(self) -> StructType:
+        return StructType([*self.table.columns, StructField("bucket", IntegerType())])
+
+    @property
+    def _data(self) -> str:
+        return f"{self.path}/data"
 
     @property
-    def _commits(self) -> str:
-        return f"{self.path}/commits"
+    def _owner(self) -> str:
+        return f"{self.path}/owner"
 
 
 class BatchFolders:

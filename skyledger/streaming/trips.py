@@ -2,38 +2,108 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+import datetime as dt
+from collections.abc import Sequence
+from math import ceil
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skyledger.operators import trips
 from skyledger.schema import TRIPS
-from skyledger.session import delete, folders
+from skyledger.session import folders
 from skyledger.streaming.running import TABLE_TRIGGER
-from skyledger.streaming.sinks import FAIL, RESET, BatchFolders, OtherStream, stream_id
+from skyledger.streaming.sinks import RESET, BatchFolders
+
+#: Files loaded month by month need at least a month plus the two days between the legs.
+MAX_DISORDER = "33 days"
+#: Repeated legs of heavy keys add at most this share of all legs to the state.
+MOST_REPEATED = 0.1
+_HEAVY = "yzdate DATE, stopby STRING, salts INT, repeat_first BOOLEAN"
+
+
+class HeavyKey(NamedTuple):
+    """A meeting of legs that is spread over ``salts`` tasks; one of its sides is repeated in each."""
+
+    yzdate: dt.date
+    stopby: str
+    salts: int
+    repeat_first: bool
 
-DEFAULT_SALTS = 4
+
+def heavy_keys(flights: DataFrame, tasks: int | None = None, most_repeated: float = MOST_REPEATED) -> list[HeavyKey]:
+    """Frequent items of (second date, stopover): keys with more legs than a task's fair share.
+
+    Fewer keys than ``tasks`` can be that frequent, so they fit on the driver.  The side with fewer legs is the
+    one to repeat, as often as the other fills tasks and ``most_repeated`` of all legs allows.
+    """
+    tasks = tasks or int(flights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = F.col("half") == trips.FIRST
+    met = F.when(first, F.date_add("flight_date", trips.STOPOVER_DAYS)).otherwise(F.col("flight_date"))
+    stop = F.when(first, F.col("dest")).otherwise(F.col("origin"))
+    counts = trips.legs(flights).groupBy(met.alias("yzdate"), stop.alias("stopby")).agg(
+        F.count_if(first).alias("first"), F.count_if(~first).alias("second"), F.count(F.lit(1)).alias("n")
+    )
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    share = total / tasks
+    frequent = counts.filter(F.col("n") > share).collect()
+    held = sum(r.n for r in frequent)
+    found = []
+    for r in sorted(frequent, key=lambda r: (r.yzdate, r.stopby)):
+        fewer = max(1, min(r.first, r.second))
+        allowed = 1 + int(most_repeated * total * r.n / held / fewer)
+        salts = min(ceil(r.n / share), allowed)
+        if salts > 1:
+            found.append(HeavyKey(r.yzdate, r.stopby, salts, r.first < r.second))
+    return found
+
+
+def _kept_keys(spark: SparkSession, checkpoint: str, heavy: Sequence[HeavyKey]) -> list[HeavyKey]:
+    """The heavy keys that this checkpoint began with; they are part of its state."""
+    path = f"{checkpoint}/heavy-keys"
+    if "_SUCCESS" not in folders(spark, path):
+        if "offsets" in folders(spark, checkpoint):
+            return []  # it began without any
+        spark.createDataFrame(list(heavy), _HEAVY).coalesce(1).write.mode("overwrite").parquet(path)
+    return [HeavyKey(*r) for r in spark.read.schema(_HEAVY).parquet(path).collect()]
 
 
 def all_trips_stream(
-    flights: DataFrame, salts: int = DEFAULT_SALTS, max_disorder: str | None = None
+    flights: DataFrame, heavy: Sequence[HeavyKey] = (), max_disorder: str | None = None
 ) -> DataFrame:
     """Stream-stream join of first and second legs.
 
     Without ``max_disorder`` every leg stays in state for good, so a late month still meets its
     partners.  With it (for example ``"33 days"``), legs older than the newest date by more
-    than that are dropped from state; files loaded month by month need at least a month plus
-    the two days between the legs.
+    than that are dropped from state.  AQE does not run in streams, so legs of ``heavy`` keys are dealt out
+    over several tasks, and only the other legs that meet them are repeated.
     """
     first, second = trips.first_legs(flights), trips.second_legs(flights)
-    if max_disorder is None:
-        return trips.join_legs(first, second, salts=salts)
-    return trips.join_legs(
-        _meeting(first, trips.STOPOVER_DAYS, max_disorder),
-        _meeting(second, 0, max_disorder),
-        salts=salts,
-        meeting_time=True,
+    on = []
+    if max_disorder is not None:
+        first = _meeting(first, trips.STOPOVER_DAYS, max_disorder)
+        second = _meeting(second, 0, max_disorder)
+        on.append("meeting")
+    if heavy:
+        keys = F.broadcast(flights.sparkSession.createDataFrame(list(heavy), _HEAVY))
+        first = _spread(first, keys, F.date_add("flight_date", trips.STOPOVER_DAYS), "dest", True)
+        second = _spread(second, keys, F.col("flight_date"), "origin", False)
+        on.append("salt")
+    return trips.join_legs(first, second, on=on)
+
+
+def _spread(legs: DataFrame, keys: DataFrame, date, stop: str, is_first: bool) -> DataFrame:
+    """Legs with a ``salt``: one of several for a heavy key, or a copy for each of them; 0 otherwise."""
+    met = legs.withColumns({"yz_at": date, "stop_at": F.col(stop)}).join(
+        keys, (F.col("yz_at") == F.col("yzdate")) & (F.col("stop_at") == F.col("stopby")), "left"
     )
+    salts = F.coalesce("salts", F.lit(1))
+    dealt = F.pmod(F.xxhash64("origin", "dest", "flight_date", "flight", "dep_time"), salts).cast("int")
+    repeated = F.coalesce(F.col("repeat_first") == F.lit(is_first), F.lit(False))
+    salt = F.explode(F.when(repeated, F.sequence(F.lit(0), salts - 1)).otherwise(F.array(dealt)))
+    return met.select(*legs.columns, salt.alias("salt"))
 
 
 def _meeting(legs: DataFrame, days: int, max_disorder: str) -> DataFrame:
@@ -43,16 +113,45 @@ def _meeting(legs: DataFrame, days: int, max_disorder: str) -> DataFrame:
 
 def keep_all_trips(
     flights: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-    salts: int = DEFAULT_SALTS, max_disorder: str | None = None, existing: str = RESET,
+    heavy: Sequence[HeavyKey] = (), max_disorder: str | None = None, existing: str = RESET,
 ) -> StreamingQuery:
     """Append every trip as soon as both of its legs have been seen.
 
-    The number of salts is part of the state's key, so a checkpoint keeps the one it began with.
+    Heavy keys are part of the state's key, so a checkpoint keeps those it began with.
     """
+    heavy = _kept_keys(flights.sparkSession, checkpoint, heavy)
+    return _append(all_trips_stream(flights, heavy, max_disorder), path, checkpoint, trigger, existing)
+
+
+def best_trips_stream(flights: DataFrame, max_disorder: str = MAX_DISORDER) -> DataFrame:
+    """Trips made of the best flight of each leg: two running minima, joined.
+
+    The best flight of a route, date and half-day is known when no more flights of that date can come, that is
+    when the watermark has passed its meeting: then the minimum leaves the first state and enters
+    the join.  A joined meeting leaves the second state in the same way, so both hold ``max_disorder`` of dates
+    only.  Flights that come later than that are dropped and counted (``late_rows``).
+    """
+    best = [
+        trips.best_of_best(_meeting(legs, days, max_disorder), ("meeting",))
+        for legs, days in ((trips.first_legs(flights, True), trips.STOPOVER_DAYS), (trips.second_legs(flights, True), 0))
+    ]
+    return trips.join_legs(*best, on=["meeting"])
+
+
+def keep_best_trips(
+    flights: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+    max_disorder: str = MAX_DISORDER, existing: str = RESET,
+) -> StreamingQuery:
+    """Append each best trip once, when the watermark has passed its second leg."""
+    return _append(best_trips_stream(flights, max_disorder), path, checkpoint, trigger, existing)
+
+
+def _append(
+    found: DataFrame, path: str, checkpoint: str, trigger: dict | None, existing: str
+) -> StreamingQuery:
     target = BatchFolders(path, lambda rows: rows.select(*TRIPS.fields), existing)
     return (
-        all_trips_stream(flights, salts, max_disorder)
-        .writeStream.outputMode("append")
+        found.writeStream.outputMode("append")
         .foreachBatch(target.write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or TABLE_TRIGGER))
@@ -67,144 +166,21 @@ def late_rows(query: StreamingQuery) -> int:
     )
 
 
-def read_all_trips(spark: SparkSession, path: str) -> DataFrame:
-    """The appended trips, equal ones folded into a ``copies`` count like the batch result."""
-    rows = spark.read.schema(TRIPS.columns).option("recursiveFileLookup", True).parquet(path)
-    return rows.groupBy(*TRIPS.fields).agg(F.count(F.lit(1)).alias("copies"))
+def state_rows(query: StreamingQuery) -> int:
+    """Rows that all stateful operators hold after the last batch."""
+    last = query.lastProgress
+    return sum(state["numRowsTotal"] for state in last["stateOperators"]) if last else 0
 
 
-class BestTripsStore:
-    """Best trips kept up to date by micro-batch, in one folder per month and version.
+def read_all_trips(spark: SparkSession, path: str) -> DataFrame:
+    """The appended trips, equal ones folded into a ``copies`` count like the batch result."""
+    return _appended(spark, path).groupBy(*TRIPS.fields).agg(F.count(F.lit(1)).alias("copies"))
 
-    A month's best legs are one folder: a batch merges its own best legs into those of the months that
-    it touches and writes them as a new version of these months.  Then the trips that start in these
-    months, or in the month before, are rebuilt.  A last step commits the batch with the version of
-    every month, a calendar's worth of rows, so readers and restarts never see half a batch, and only the
-    folders of touched months are listed.  A replayed batch does nothing.  The version before the last is
-    removed with the next batch.
-    """
 
-    def __init__(self, spark: SparkSession, path: str, existing: str = RESET):
-        self.spark = spark
-        self.path = path
-        self.existing = existing
-
-    def update(self, flights: DataFrame, batch_id: int) -> None:
-        writer, (last, versions) = stream_id(flights), self._state()
-        own = last is not None and last.writer == writer
-        if own and last.batch_id >= batch_id:
-            return
-        if not own and batch_id > 0:
-            raise OtherStream(f"{self.path} does not hold this stream's batches before {batch_id}")
-        if not own:
-            if last is not None and self.existing == FAIL:
-                raise OtherStream(f"{self.path} holds what another stream wrote")
-            versions = {}
-        step = last.step + 1 if last is not None else 0
-        fresh = self._fresh(flights, f"{self.path}/fresh/{step}")
-        touched = sorted(r.month for r in fresh.select("month").distinct().collect())  # calendar months
-        rows = fresh
-        known = [self._folder("legs", m, versions[m]) for m in touched if m in versions]
-        if known:
-            rows = rows.unionByName(self._read(known, _LEG_SCHEMA))
-        best = trips.best_of_best(rows.drop("month"))
-        self._write(best, "flight_date", f"{self.path}/legs/{step}")
-        now = versions | {m: step for m in touched}
-        # A new leg changes trips that start on its date, or two days before.
-        starts = sorted({m for t in touched for m in (t, _before(t))} & (set(now) | set(touched)))
-        needed = [m for m in sorted({x for s in starts for x in (s, _after(s))}) if m in now]
-        legs = self._read([self._folder("legs", m, now[m]) for m in needed], _LEG_SCHEMA).drop("month")
-        rebuilt = trips.trips_of(legs).filter(_month("date").isin(starts))
-        self._write(rebuilt.select(*TRIPS.fields), "date", f"{self.path}/trips/{step}")
-        trip_steps = self._trip_steps(last) if own else {}
-        trip_steps |= {m: step for m in starts}
-        log = [(m, now.get(m), trip_steps.get(m), writer, batch_id, step) for m in sorted(set(now) | set(trip_steps))]
-        log = log or [(0, None, None, writer, batch_id, step)]
-        self.spark.createDataFrame(log, _STEP).coalesce(1).write.mode("overwrite").parquet(self._log(step))
-        self._drop_old(step, set(now.values()) | set(trip_steps.values()))
-
-    def _drop_old(self, step: int, used: set[int]) -> None:
-        delete(self.spark, f"{self.path}/fresh/{step}")
-        kept = used | {step, step - 1}
-        for kind in ("legs", "trips", "steps"):
-            for name in folders(self.spark, f"{self.path}/{kind}"):
-                # Months that an older step still serves stay with it.
-                if name.isdigit() and int(name) not in (kept if kind != "steps" else {step, step - 1}):
-                    delete(self.spark, f"{self.path}/{kind}/{name}")
-
-    def _state(self) -> tuple[Row | None, dict[int, int]]:
-        steps = [int(x) for x in folders(self.spark, f"{self.path}/steps") if x.isdigit()]
-        done = [s for s in steps if "_SUCCESS" in folders(self.spark, self._log(s))]
-        if not done:
-            return None, {}
-        rows = self.spark.read.schema(_STEP).parquet(self._log(max(done))).collect()
-        return rows[0], {r.month: r.legs for r in rows if r.legs is not None}
-
-    def _trip_steps(self, last: Row) -> dict[int, int]:
-        rows = self.spark.read.schema(_STEP).parquet(self._log(last.step)).collect()
-        return {r.month: r.trips for r in rows if r.trips is not None}
-
-    def _log(self, step: int) -> str:
-        return f"{self.path}/steps/{step}"
-
-    def _folder(self, kind: str, month: int, step: int) -> str:
-        return f"{self.path}/{kind}/{step}/month={month}"
-
-    def _read(self, paths: list[str], schema: str) -> DataFrame:
-        """Rows of some month folders; a month without rows has none."""
-        steps = {p.rsplit("/", 1)[0] for p in paths}
-        known = {f"{s}/{name}" for s in steps for name in folders(self.spark, s)}
-        there = [p for p in paths if p in known]
-        if not there:
-            return self.spark.createDataFrame([], schema)
-        date = "flight_date" if schema is _LEG_SCHEMA else "date"
-        plain = schema.removesuffix(", month INT")
-        return self.spark.read.schema(plain).parquet(*there).withColumn("month", _month(date))
-
-    def _fresh(self, flights: DataFrame, path: str) -> DataFrame:
-        """The batch's own best legs, written once as several steps read them."""
-        legs = trips.best_leg_flights(flights).withColumn("month", _month("flight_date"))
-        legs.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(legs.schema).parquet(path)
-
-    def _write(self, rows: DataFrame, date: str, path: str) -> None:
-        shaped = rows.withColumn("month", _month(date)).hint("rebalance", F.col("month"))
-        shaped.write.mode("overwrite").partitionBy("month").parquet(path)
-
-    def read(self) -> DataFrame:
-        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TRIPS.columns)
-        last, _ = self._state()
-        steps = self._trip_steps(last) if last is not None else {}
-        rows = self._read([self._folder("trips", m, s) for m, s in steps.items()], f"{schema}, month INT")
-        return rows.select(*TRIPS.fields)
-
-
-def _month(date: str) -> Column:
-    """Calendar month as a number such as 199612."""
-    return F.year(date) * 100 + F.month(date)
-
-
-def _after(month: int) -> int:
-    return month + 1 if month % 100 < 12 else month + 89
-
-
-def _before(month: int) -> int:
-    return month - 1 if month % 100 > 1 else month - 89
-
-
-_LEG_SCHEMA = (
-    "origin STRING, dest STRING, delay DOUBLE, flight STRING, dep_time INT, arr_time INT, "
-    "flight_date DATE, half INT, month INT"
-)
-_STEP = "month INT, legs BIGINT, trips BIGINT, writer STRING, batch_id BIGINT, step BIGINT"
+def read_best_trips(spark: SparkSession, path: str) -> DataFrame:
+    """The appended best trips."""
+    return _appended(spark, path).select(*TRIPS.fields)
 
 
-def keep_best_trips(
-    flights: DataFrame, store: BestTripsStore, checkpoint: str, trigger: dict | None = None
-) -> StreamingQuery:
-    return (
-        flights.writeStream.foreachBatch(store.update)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or TABLE_TRIGGER))
-        .start()
-    )
+def _appended(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(TRIPS.columns).option("recursiveFileLookup", True).parquet(path)

@@ -7,7 +7,7 @@ from skyledger.schema import CARRIER_DELAY, CARRIER_PERFORMANCE
 from skyledger.session import drop_scratch, folders, scratch_dir, shared_root
 from skyledger.sources import yearly
 from skyledger.sources.tables import as_table
-from skyledger.streaming.trips import BestTripsStore
+from skyledger.streaming.trips import read_best_trips
 from tests.test_sources import _write
 
 
@@ -75,8 +75,8 @@ def test_extract_and_stream(spark, raw_root, tmp_path, capsys):
     assert "UA" in capsys.readouterr().out
 
     topic = tmp_path / "topic"
-    _run(spark, "publish", *raw_input, "--transport", "text", "--option", f"path={topic}")
-    assert "3 messages published" in capsys.readouterr().out
+    _run(spark, "publish", *raw_input, "--transport", "text", "--option", f"path={topic}", "--close", "2100-01-01")
+    assert "5 messages published" in capsys.readouterr().out
     source = ("--transport", "text", "--option", f"path={topic}", "--once")
     for job in ("route-mean", "top-carriers", "all-trips", "best-trips", "word-count"):
         _run(
@@ -95,7 +95,7 @@ def test_extract_and_stream(spark, raw_root, tmp_path, capsys):
     assert {r.value.split("\t")[0] for r in report} == {"AA", "UA"}
     # Two first legs out of AUS meet the onward flight from JFK; one of them is the better.
     assert spark.read.parquet(str(tmp_path / "all-trips")).count() == 2
-    assert BestTripsStore(spark, str(tmp_path / "best-trips")).read().count() == 1
+    assert read_best_trips(spark, str(tmp_path / "best-trips")).count() == 1
 
 
 def test_months_of_a_year_are_loaded_one_by_one(spark, tmp_path, capsys):

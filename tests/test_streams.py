@@ -8,9 +8,10 @@ from skyledger.sources import messages
 from skyledger.sources.driver_tables import flights as driver_flights
 from skyledger.sources.tables import as_table
 from skyledger.streaming import running
-from skyledger.streaming.sinks import OtherStream, SnapshotTable
+from skyledger.streaming.sinks import BucketedTable, OtherStream
 from skyledger.streaming.trips import (
-    BestTripsStore, all_trips_stream, keep_all_trips, keep_best_trips, read_all_trips,
+    HeavyKey, all_trips_stream, heavy_keys, keep_all_trips, keep_best_trips, late_rows, read_all_trips,
+    read_best_trips, state_rows,
 )
 from tests.conftest import SMALL
 
@@ -48,7 +49,7 @@ def _rows(frame):
 def test_table_equals_batch_before_and_after_restart(spark, tmp_path, parts, topic, job):
     flights, some = parts
     table, metric = running.TABLE_JOBS[job]
-    target = SnapshotTable(spark, table, str(tmp_path / "table"))
+    target = BucketedTable(spark, table, str(tmp_path / "table"))
 
     def drain(stream):
         running.keep_table(
@@ -64,7 +65,7 @@ def test_table_equals_batch_before_and_after_restart(spark, tmp_path, parts, top
 
 def test_same_message_twice_counts_twice(spark, tmp_path, topic, flight_rows):
     stream = topic(flight_rows({}), flight_rows({}))
-    table = SnapshotTable(spark, running.TABLE_JOBS["carriers"][0], str(tmp_path / "table"))
+    table = BucketedTable(spark, running.TABLE_JOBS["carriers"][0], str(tmp_path / "table"))
     running.keep_table(
         "carriers", stream, table, str(tmp_path / "cp"), running.AVAILABLE_NOW
     ).awaitTermination()
@@ -95,15 +96,16 @@ def test_ranking_in_memory_and_as_report(spark, tmp_path, parts, topic):
 def test_all_trips_equal_batch_after_restart(spark, tmp_path, parts, topic, max_disorder):
     flights, some = parts
     path = str(tmp_path / "trips")
+    met = trips.all_trips(flights).select("yzdate", "stopby").distinct().limit(6).collect()
+    heavy = [HeavyKey(r.yzdate, r.stopby, 3, bool(k % 2)) for k, r in enumerate(met)]
 
-    def drain(stream):
+    def drain(stream, heavy):
         keep_all_trips(
-            stream, path, str(tmp_path / "cp"), running.AVAILABLE_NOW, salts=2,
-            max_disorder=max_disorder,
+            stream, path, str(tmp_path / "cp"), running.AVAILABLE_NOW, heavy, max_disorder,
         ).awaitTermination()
 
-    drain(topic(some[0], some[1]))
-    drain(topic(some[2], some[3]))
+    drain(topic(some[0], some[1]), heavy)
+    drain(topic(some[2], some[3]), [])  # the checkpoint keeps the keys that it began with
     assert _rows(read_all_trips(spark, path)) == _rows(trips.all_trips(flights))
 
 
@@ -120,7 +122,7 @@ def test_bounded_disorder_drops_old_legs_from_state(spark, tmp_path, flight_rows
     two = dt.timedelta(days=2)
     steps = [first(old), second(old + two), first(new), second(new + two), second(new + two)]
     query = (
-        all_trips_stream(topic(*steps), salts=1, max_disorder="33 days")
+        all_trips_stream(topic(*steps), max_disorder="33 days")
         .writeStream.format("parquet").option("path", str(tmp_path / "trips"))
         .option("checkpointLocation", str(tmp_path / "cp"))
         .trigger(availableNow=True).start()
@@ -133,25 +135,87 @@ def test_bounded_disorder_drops_old_legs_from_state(spark, tmp_path, flight_rows
     assert removed >= 2
 
 
-def test_best_trips_equal_batch_and_survive_a_replay(spark, tmp_path, parts, topic, monkeypatch):
+def _hub(flight_rows, n):
+    """A third of all legs meet at one hub on one day, few of them second legs; the others are spread."""
+    import datetime as dt
+
+    day = dt.date(2008, 1, 10)
+    rows = [{"origin": f"A{k}", "dest": "HUB", "flight_date": day, "dep_time": 900, "flight_num": str(k)} for k in range(n)]
+    rows += [{"origin": "HUB", "dest": f"C{k}", "flight_date": day + dt.timedelta(days=2), "dep_time": 1500} for k in range(n // 20)]
+    for k in range(n):
+        far = {"origin": f"B{k % 40}", "dest": f"D{k % 40}", "flight_num": str(k)}
+        rows += [{**far, "flight_date": day + dt.timedelta(days=k % 30), "dep_time": time} for time in (800, 1600)]
+    return flight_rows(*rows)
+
+
+def test_heavy_keys_are_spread_without_repeating_other_legs(spark, tmp_path, flight_rows, topic):
+    flights = _hub(flight_rows, 200)
+    heavy = heavy_keys(flights, tasks=8)
+    assert [(k.stopby, str(k.yzdate), k.salts, k.repeat_first) for k in heavy] == [("HUB", "2008-01-12", 3, False)]
+    assert heavy_keys(flights.limit(0), tasks=8) == []
+    path = str(tmp_path / "trips")
+    query = keep_all_trips(topic(flights), path, str(tmp_path / "cp"), running.AVAILABLE_NOW, heavy)
+    query.awaitTermination()
+    assert _rows(read_all_trips(spark, path)) == _rows(trips.all_trips(flights))
+    legs = trips.legs(flights).count()
+    assert legs < state_rows(query) <= 1.1 * legs
+
+
+def test_heavy_on_both_sides_stays_within_the_share(flight_rows):
+    rows = [{"origin": "A", "dest": "HUB", "dep_time": 900, "flight_num": str(k)} for k in range(100)]
+    rows += [{"origin": "HUB", "dest": "A", "dep_time": 1500, "flight_num": str(k), "flight_date": __import__("datetime").date(2008, 1, 26)} for k in range(90)]
+    assert heavy_keys(flight_rows(*rows), tasks=8) == []  # one more copy of 90 legs is more than a tenth of 190
+    found = heavy_keys(flight_rows(*rows), tasks=8, most_repeated=1.0)
+    assert [(k.stopby, k.salts, k.repeat_first) for k in found] == [("HUB", 3, False)]
+
+
+def _closing(spark, tmp_path):
+    import datetime as dt
+
+    messages.publish(messages.closing_messages(spark, dt.date(2100, 1, 1)), "text", path=str(tmp_path / "topic"))
+    return messages.parse(messages.read_messages(spark, "text", path=str(tmp_path / "topic"), **ONE_FILE))
+
+
+def test_best_trips_equal_batch_after_restart_and_close_their_state(spark, tmp_path, parts, topic):
     flights, some = parts
-    store = BestTripsStore(spark, str(tmp_path / "best"))
+    path, held = str(tmp_path / "best"), []
 
     def drain(stream):
-        keep_best_trips(
-            stream, store, str(tmp_path / "cp"), running.AVAILABLE_NOW
-        ).awaitTermination()
+        query = keep_best_trips(stream, path, str(tmp_path / "cp"), running.AVAILABLE_NOW, "4000 days")
+        query.awaitTermination()
+        held.append(state_rows(query))
+
+    drain(topic(some[0], some[1]))
+    assert read_best_trips(spark, path).count() == 0 and held[0] > 100  # any flight may still come
+    topic(some[2], some[3])
+    drain(_closing(spark, tmp_path))
+    assert _rows(read_best_trips(spark, path)) == _rows(trips.best_trips(flights))
+    assert held[1] == 2  # the closing messages themselves
+    drain(topic())
+    assert _rows(read_best_trips(spark, path)) == _rows(trips.best_trips(flights))
+    # A new checkpoint reads the topic again and replaces what the other stream wrote.
+    keep_best_trips(topic(), path, str(tmp_path / "cp2"), running.AVAILABLE_NOW, "4000 days").awaitTermination()
+    assert _rows(read_best_trips(spark, path)) == _rows(trips.best_trips(flights))
+
+
+def test_late_months_count_within_the_disorder_and_are_counted_beyond(spark, tmp_path, flight_rows, topic):
+    import datetime as dt
 
-    drain(topic(some[0].unionByName(some[1])))
-    drain(topic(some[2].unionByName(some[3])))
-    expected = _rows(trips.best_trips(flights))
-    assert _rows(store.read()) == expected
-    written = sorted(str(p) for p in (tmp_path / "best").rglob("*.parquet"))
-    writer = store._state()[0].writer
-    monkeypatch.setattr("skyledger.streaming.trips.stream_id", lambda rows: writer)
-    store.update(some[2].unionByName(some[3]), 1)  # a replay
-    assert written == sorted(str(p) for p in (tmp_path / "best").rglob("*.parquet"))
-    assert _rows(store.read()) == expected
+    def trip(month, flight, delay):
+        legs = ({"origin": "X", "dest": "Y", "dep_time": 900}, {"origin": "Y", "dest": "Z", "dep_time": 1500})
+        return flight_rows(*(
+            {**leg, "flight_num": flight, "arr_delay_minutes": delay, "flight_date": dt.date(2008, month, 5 + 2 * k)}
+            for k, leg in enumerate(legs)
+        ))
+
+    # March comes, then a better February flight, then April, then January.
+    stream = topic(trip(2, "1", 9.0), trip(3, "1", 9.0), trip(2, "2", 3.0), trip(5, "1", 9.0), trip(1, "1", 1.0))
+    path = str(tmp_path / "best")
+    query = keep_best_trips(stream, path, str(tmp_path / "cp"), running.AVAILABLE_NOW, "33 days")
+    query.awaitTermination()
+    found = sorted((r.date.month, r.xydelay, r.yzdelay) for r in read_best_trips(spark, path).collect())
+    assert found == [(2, 3.0, 3.0), (3, 9.0, 9.0)]
+    assert late_rows(query) == 2 and state_rows(query) == 2
 
 
 def _performance(spark, *rows):
@@ -168,8 +232,8 @@ def as_stream(monkeypatch):
     return use
 
 
-def test_snapshot_table_upserts_and_ignores_replays(spark, tmp_path, as_stream):
-    table = SnapshotTable(spark, CARRIER_PERFORMANCE, str(tmp_path / "t"))
+def test_table_upserts_and_replays_change_nothing(spark, tmp_path, as_stream):
+    table = BucketedTable(spark, CARRIER_PERFORMANCE, str(tmp_path / "t"), buckets=4)
     as_stream("one")
     table.create()
     assert table.read().count() == 0
@@ -177,25 +241,68 @@ def test_snapshot_table_upserts_and_ignores_replays(spark, tmp_path, as_stream):
     table.upsert(_performance(spark, ("B", "x", 3.0), ("C", "x", 4.0)), 1)
     now = [("A", "x", 1.0), ("B", "x", 3.0), ("C", "x", 4.0)]
     assert sorted(map(tuple, table.read().collect())) == now
-    table.upsert(_performance(spark, ("Z", "z", 9.0)), 1)
+    table.upsert(_performance(spark, ("B", "x", 3.0), ("C", "x", 4.0)), 1)
     assert sorted(map(tuple, table.read().collect())) == now
     for batch in range(2, 6):
         table.upsert(_performance(spark, ("A", "x", float(batch))), batch)
     assert table.read().filter("airport = 'A'").first().ontime_pct == 5.0
     assert table.read().count() == 3
-    table.replace(_performance(spark, ("Q", "q", 1.0)), 6)
-    assert [tuple(r) for r in table.read().collect()] == [("Q", "q", 1.0)]
+    with pytest.raises(FileNotFoundError):
+        BucketedTable(spark, CARRIER_PERFORMANCE, str(tmp_path / "none")).read()
+
+
+def _files(folder):
+    return {p.parent.name: p.name for p in (folder / "data").rglob("*.parquet")}
+
+
+def test_batch_writes_only_the_buckets_of_its_keys(spark, tmp_path, as_stream):
+    as_stream("one")
+    table = BucketedTable(spark, CARRIER_PERFORMANCE, str(tmp_path / "t"), buckets=8)
+    table.upsert(_performance(spark, *((f"A{k}", "x", 1.0) for k in range(200))), 0)
+    before = _files(tmp_path / "t")
+    table.upsert(_performance(spark, ("A7", "x", 2.0)), 1)
+    after = _files(tmp_path / "t")
+    assert len(before) == len(after) == 8 and sum(before[k] != after[k] for k in after) == 1
+    assert table.read().count() == 200 and table.read().filter("ontime_pct = 2").first().airport == "A7"
+    table.upsert(_performance(spark), 2)
+    assert _files(tmp_path / "t") == after
+    # Another number of buckets does not change a table that is there.
+    BucketedTable(spark, CARRIER_PERFORMANCE, str(tmp_path / "t"), buckets=3).upsert(_performance(spark, ("A7", "x", 3.0)), 3)
+    assert table.read().count() == 200 and table.read().filter("airport = 'A7'").first().ontime_pct == 3.0
+
+
+def test_replay_finishes_a_change_that_was_put_in_place_half_way(spark, tmp_path, as_stream, monkeypatch):
+    import shutil
+
+    as_stream("one")
+    table = BucketedTable(spark, CARRIER_PERFORMANCE, str(tmp_path / "t"), buckets=2)
+    table.upsert(_performance(spark, *((f"A{k}", "x", 1.0) for k in range(50))), 0)
+    write = BucketedTable._write
+
+    def stops(self, rows, path, **options):
+        if options:  # the old bucket is gone, the new one not yet there
+            shutil.rmtree(tmp_path / "t" / "data" / "bucket=0")
+            raise RuntimeError("lost")
+        write(self, rows, path)
+
+    batch = _performance(spark, *((f"A{k}", "x", 2.0) for k in range(0, 50, 5)))
+    monkeypatch.setattr(BucketedTable, "_write", stops)
+    with pytest.raises(RuntimeError):
+        table.upsert(batch, 1)
+    monkeypatch.setattr(BucketedTable, "_write", write)
+    table.upsert(batch, 1)
+    assert sorted(map(tuple, table.read().collect())) == sorted((f"A{k}", "x", 1.0 + (k % 5 == 0)) for k in range(50))
 
 
 def test_another_stream_empties_the_table_or_fails(spark, tmp_path, as_stream):
     path = str(tmp_path / "t")
-    table = SnapshotTable(spark, CARRIER_PERFORMANCE, path)
+    table = BucketedTable(spark, CARRIER_PERFORMANCE, path)
     as_stream("one")
     for batch in range(3):
         table.upsert(_performance(spark, (f"A{batch}", "x", 1.0)), batch)
     as_stream("two")
     with pytest.raises(OtherStream):
-        SnapshotTable(spark, CARRIER_PERFORMANCE, path, existing="fail").upsert(_performance(spark), 0)
+        BucketedTable(spark, CARRIER_PERFORMANCE, path, existing="fail").upsert(_performance(spark), 0)
     with pytest.raises(OtherStream):
         table.upsert(_performance(spark, ("B", "x", 1.0)), 4)
     assert table.read().count() == 3
@@ -203,16 +310,7 @@ def test_another_stream_empties_the_table_or_fails(spark, tmp_path, as_stream):
     assert [tuple(r) for r in table.read().collect()] == [("R", "r", 1.0)]
 
 
-def test_old_versions_go_and_files_do_not_grow_with_keys(spark, tmp_path):
-    table = SnapshotTable(spark, CARRIER_PERFORMANCE, str(tmp_path / "t"), keep_seconds=0)
-    for batch in range(6):
-        table.upsert(_performance(spark, *((f"A{batch}-{k}", "x", 1.0) for k in range(200))), batch)
-    assert table.read().count() == 1200
-    files = list((tmp_path / "t" / "data").rglob("*.parquet"))
-    assert len(list((tmp_path / "t" / "data").iterdir())) == 1 and len(files) <= 4
-
-
-@pytest.mark.parametrize("job", ["airports", "all-trips", "best-trips", "word-count"])
+@pytest.mark.parametrize("job", ["airports", "all-trips", "word-count"])
 def test_emptied_and_new_checkpoints_lose_nothing(spark, tmp_path, topic, flight_rows, job):
     import datetime as dt
     import shutil
@@ -225,44 +323,29 @@ def test_emptied_and_new_checkpoints_lose_nothing(spark, tmp_path, topic, flight
     def drain(stream, checkpoint):
         now = running.AVAILABLE_NOW
         if job == "airports":
-            target = SnapshotTable(spark, running.TABLE_JOBS[job][0], path)
+            target = BucketedTable(spark, running.TABLE_JOBS[job][0], path)
             running.keep_table(job, stream, target, checkpoint, now).awaitTermination()
             return sum(r.flights for r in target.read().collect())
         if job == "all-trips":
             keep_all_trips(stream, path, checkpoint, now).awaitTermination()
             return read_all_trips(spark, path).count()
-        if job == "best-trips":
-            store = BestTripsStore(spark, path)
-            keep_best_trips(stream, store, checkpoint, now).awaitTermination()
-            return store.read().count()
         lines = messages.read_messages(spark, "text", path=str(tmp_path / "topic"), **ONE_FILE)
         running.count_words_per_batch(lines, path, checkpoint, now).awaitTermination()
         return spark.read.parquet(path).agg({"n": "sum"}).first()[0]
 
     checkpoint = str(tmp_path / "cp")
     whole = drain(topic(first, second), checkpoint)
-    assert whole == {"airports": 4, "all-trips": 1, "best-trips": 1, "word-count": 2}[job]
+    assert whole == {"airports": 4, "all-trips": 1, "word-count": 2}[job]
     shutil.rmtree(checkpoint)
     assert drain(topic(), checkpoint) == whole
     more = drain(topic(third), checkpoint)
-    assert more == {"airports": 6, "all-trips": 2, "best-trips": 2, "word-count": 3}[job]
+    assert more == {"airports": 6, "all-trips": 2, "word-count": 3}[job]
     assert drain(topic(), str(tmp_path / "cp2")) == more
 
 
-def test_fifty_batches_leave_a_bounded_number_of_folders(spark, tmp_path, flight_rows, as_stream, monkeypatch):
-    import datetime as dt
-
-    monkeypatch.setattr("skyledger.streaming.trips.stream_id", lambda rows: "one")
-    store = BestTripsStore(spark, str(tmp_path / "best"))
-    for batch in range(50):
-        store.update(flight_rows({"flight_date": dt.date(2008, 1 + batch % 3, 1 + batch % 9), "dep_time": 900}), batch)
-    kinds = {kind: len(list((tmp_path / "best" / kind).iterdir())) for kind in ("legs", "trips", "steps")}
-    assert kinds["legs"] <= 6 and kinds["trips"] <= 8 and kinds["steps"] <= 2
-
-
 def test_batch_that_failed_half_way_is_not_seen(spark, tmp_path, as_stream):
     as_stream("one")
-    table = SnapshotTable(spark, CARRIER_PERFORMANCE, str(tmp_path / "t"))
+    table = BucketedTable(spark, CARRIER_PERFORMANCE, str(tmp_path / "t"))
     table.upsert(_performance(spark, ("A", "x", 1.0)), 0)
     broken = _performance(spark, ("A", "x", 2.0)).selectExpr(
         "airport", "carrier", "raise_error('lost') AS ontime_pct"

@@ -4,6 +4,7 @@ import random
 import pytest
 
 from skyledger.operators import trips
+from skyledger.streaming.trips import HeavyKey, all_trips_stream
 
 
 def _leg(origin, dest, day, time, delay=0.0, num="1", **more):
@@ -122,11 +123,13 @@ def test_against_brute_force(flight_rows, hot_share):
     assert set(best) <= set(every)
 
 
-def test_salted_join_gives_the_same_trips(flight_rows):
+@pytest.mark.parametrize("repeat_first", [True, False])
+def test_spread_keys_give_the_same_trips(flight_rows, repeat_first):
     flights = flight_rows(*_random_flights(300, seed=5, hot_share=0.3))
-    first, second = trips.first_legs(flights), trips.second_legs(flights)
-    plain = sorted(map(tuple, trips.join_legs(first, second).collect()))
-    assert sorted(map(tuple, trips.join_legs(first, second, salts=5).collect())) == plain
+    plain = trips.join_legs(trips.first_legs(flights), trips.second_legs(flights)).collect()
+    heavy = [HeavyKey(r.yzdate, r.stopby, 5, repeat_first) for r in plain[::3]]
+    spread = all_trips_stream(flights, list(dict.fromkeys(heavy)))
+    assert plain and sorted(map(tuple, spread.collect())) == sorted(map(tuple, plain))
 
 
 def test_trips_on_dates_are_the_trips_of_those_dates(flight_rows):
