@@ -155,32 +155,37 @@ def split_by(docs: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, Dat
 # Connected components.
 
 
+def star(x: np.ndarray, y: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links among 0 to n - 1 reduced to one star for each of their components: each node with its smallest one."""
+    label = np.arange(n)
+    while len(x):
+        low = np.minimum(label[x], label[y])
+        before = label.copy()
+        np.minimum.at(label, label[x], low)
+        np.minimum.at(label, label[y], low)
+        label = label[label]
+        if np.array_equal(before, label):
+            break
+    while not np.array_equal(label, label[label]):
+        label = label[label]
+    other = np.flatnonzero(label != np.arange(n))
+    return other, label[other]
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of each batch reduced to one star for each of its own components."""
     for b in batches:
         ends, flat = np.unique(np.concatenate([np.asarray(b.column(0)), np.asarray(b.column(1))]), return_inverse=True)
-        n = b.num_rows
-        label = np.arange(len(ends))
-        x, y = flat[:n], flat[n:]
-        while n:
-            low = np.minimum(label[x], label[y])
-            before = label.copy()
-            np.minimum.at(label, label[x], low)
-            np.minimum.at(label, label[y], low)
-            label = label[label]
-            if np.array_equal(before, label):
-                break
-        while not np.array_equal(label, label[label]):
-            label = label[label]
-        other = np.flatnonzero(label != np.arange(len(ends)))
-        yield pa.record_batch({"a": ends[other], "b": ends[label[other]]})
+        other, least = star(flat[: b.num_rows], flat[b.num_rows :], len(ends))
+        yield pa.record_batch({"a": ends[other], "b": ends[least]})
 
 
 def components(links: DataFrame) -> DataFrame:
     """Connected components of the undirected links (a bigint, b bigint): rows (node, component).
 
     The component is its smallest node.  Large-star and small-star rounds run until nothing changes;
-    each round is a minimum for each node, joined back, so no task gathers the neighbours of a node.
+    each round is a minimum for each node, joined back.  Where a node has very many neighbours, that join leaves
+    them in one partition until Spark splits it by its size; no task holds them at once.
     """
     clean = links.select("a", "b").where("a is not null and b is not null and a <> b")
     # After a shuffle, so that no task runs two Python functions in a row.

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import components, saved
+from skyledger.llm.common import components, partitions, saved
 
 LINKS = "a bigint, b bigint"
 #: Anchors of a large group, about so many.
@@ -48,8 +48,9 @@ def _within(rows: DataFrame, join: Join) -> DataFrame:
         if key is not None:
             yield links()
 
+    # A fixed number of tasks: what they do is bound by CPU, so Spark must not put them together by bytes.
     order = ["component", "block", "part"]
-    return rows.select(*order, "class", "label", "payload").repartition(*order).sortWithinPartitions(*order).mapInArrow(run, LINKS)
+    return rows.select(*order, "class", "label", "payload").repartition(partitions(rows.sparkSession), *order).sortWithinPartitions(*order).mapInArrow(run, LINKS)
 
 
 def _large(members: DataFrame, large: DataFrame, join: Join, block: int) -> DataFrame:

@@ -95,42 +95,6 @@ def test_packing_query(spark, texts):
     assert tokens == {d: len(known.encode_ordinary(t)) + 1 for d, t in texts.items() if t}
 
 
-def test_line_query(spark, texts):
-    got = {r.doc_id: (r.n_lines, r.n_removed) for r in queries.QUERIES["op10_line_dedup"](spark, SMALL).collect()}
-    lines = {}
-    for d, t in texts.items():
-        for p, x in enumerate(t.split("\n")):
-            if x.encode().split():
-                lines.setdefault(x, []).append((d, p))
-    names = sorted(lines, key=len)
-    parent = {x: x for x in names}
-
-    def root(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    budget = line_dedup.Budget()
-    by_length = defaultdict(list)
-    for x in names:
-        by_length[len(x)].append(x)
-    for b in names:
-        for shift in range(3):
-            most = budget.edits(len(b) - shift)
-            for a in by_length[len(b) - shift] if most >= max(1, shift) else ():
-                if a != b and root(a) != root(b) and line_dedup.within(a, b, most):
-                    parent[root(b)] = root(a)
-    first = {}
-    for x in names:
-        first[root(x)] = min(first.get(root(x), min(lines[x])), min(lines[x]))
-    removed, total = Counter(), Counter()
-    for x, places in lines.items():
-        for d, p in places:
-            total[d] += 1
-            removed[d] += (d, p) != first[root(x)]
-    assert got == {d: (total[d], removed[d]) for d in texts}
-
-
 def test_pipeline_stages_take_effect(spark, texts):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     columns, tables = docs.columns, []
@@ -154,8 +118,8 @@ def test_pipeline_stages_take_effect(spark, texts):
     assert again.columns == rows.columns and again.count() == rows.count()
 
 
-def test_line_query_at_every_difference_of_lengths(spark, texts):
-    """As ``test_line_query``, which compares lines of up to two characters' difference only."""
+def test_line_query(spark, texts):
+    """Lines of every difference of lengths are compared."""
     got = {r.doc_id: (r.n_lines, r.n_removed) for r in queries.QUERIES["op10_line_dedup"](spark, SMALL).collect()}
     lines = {}
     for d, t in texts.items():
