@@ -129,25 +129,41 @@ def all_trips(flights: DataFrame) -> DataFrame:
     return trips_of(sides, copies=True)
 
 
-def join_legs(
-    first: DataFrame, second: DataFrame, copies: bool = False, on: Sequence[str] = ()
-) -> DataFrame:
-    """Equi-join of first legs with second legs on stopover airport and date, and on columns ``on`` of both."""
-    copied = ["n"] if copies else []
-    xy = first.select(
+def first_side(first: DataFrame, copies: bool = False, on: Sequence[str] = ()) -> DataFrame:
+    """First legs by where and when they meet second legs."""
+    return first.select(
         F.date_add("flight_date", STOPOVER_DAYS).alias("yzdate"),
         F.col("dest").alias("stopby"),
         F.col("origin"),
-        *[F.col(name).alias(f"xy_{name}") for name in (*LEG_FLIGHT, *copied)],
+        *[F.col(name).alias(f"xy_{name}") for name in (*LEG_FLIGHT, *_copied(copies))],
         *on,
     )
-    yz = second.select(
+
+
+def second_side(second: DataFrame, copies: bool = False, on: Sequence[str] = ()) -> DataFrame:
+    """Second legs by where and when they meet first legs."""
+    return second.select(
         F.col("flight_date").alias("yzdate"),
         F.col("origin").alias("stopby"),
         F.col("dest").alias("destination"),
-        *[F.col(name).alias(f"yz_{name}") for name in (*LEG_FLIGHT, *copied)],
+        *[F.col(name).alias(f"yz_{name}") for name in (*LEG_FLIGHT, *_copied(copies))],
         *on,
     )
+
+
+def _copied(copies: bool) -> tuple[str, ...]:
+    return ("n",) if copies else ()
+
+
+def join_legs(
+    first: DataFrame, second: DataFrame, copies: bool = False, on: Sequence[str] = ()
+) -> DataFrame:
+    """Equi-join of first legs with second legs on stopover airport and date, and on columns ``on`` of both."""
+    return meet(first_side(first, copies, on), second_side(second, copies, on), copies, on)
+
+
+def meet(xy: DataFrame, yz: DataFrame, copies: bool = False, on: Sequence[str] = ()) -> DataFrame:
+    """Trips of both sides."""
     # Times are made text only here, so the shuffle and the stream state hold integers.
     return xy.join(yz, ["yzdate", "stopby", *on]).select(
         "origin",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from skyledger.plans.gaps import GAPS
 from skyledger.plans.parameters import (
-    DATES, LOOKUP_AIRPORTS, LOOKUP_ROUTES, TRIP_DATES, YEARS,
+    CORRECTED_BEFORE, CORRECTED_MONTH, DATES, LOOKUP_AIRPORTS, LOOKUP_ROUTES, TRIP_DATES, YEARS,
 )
 
 _VIEW = """
@@ -263,6 +263,28 @@ _FLIGHT_QUERIES = {
 }
 
 
+_CORRECTED = f"""(SELECT * FROM clean WHERE NOT (year(flight_date) = {CORRECTED_MONTH[0]}
+  AND month(flight_date) = {CORRECTED_MONTH[1]} AND dep_time < {CORRECTED_BEFORE})) AS corrected"""
+_FLIGHT_QUERIES |= {
+    f"partials_{name}": _FLIGHT_QUERIES[name].replace("FROM clean", f"FROM {_CORRECTED}")
+    for name in (
+        "airport_counts", "carrier_mean_delay", "carrier_total_delay", "carrier_ontime_pct",
+        "airport_dest_ontime_pct", "route_mean_delay",
+    )
+}
+_FLIGHT_QUERIES |= {
+    "partials_airport_carrier_mean_delay": _AIRPORT_CARRIER_MEAN.replace("FROM clean", f"FROM {_CORRECTED}"),
+    "best_trips_bucketed": _FLIGHT_QUERIES["best_trips"],
+    "table_reset": _CARRIER_DELAY_TABLE,
+    "ranked_text": f"""SELECT concat_ws(chr(9), CAST(rank AS VARCHAR), airport, CAST(flights AS VARCHAR)) AS value
+        FROM ({_FLIGHT_QUERIES["airport_popularity"]}) AS r""",
+    "lookup_lines": f"""SELECT printf('%s - %s - %f', origin, destination, mean_delay) AS line
+        FROM ({_FLIGHT_QUERIES["lookup_route"]}) AS r""",
+    "stream_state_airports": _FLIGHT_QUERIES["airport_counts"],
+    "stream_state_carriers": _FLIGHT_QUERIES["carrier_ontime_pct"],
+}
+
+
 def _gap_view() -> str:
     """The view with columns blanked by times of day."""
     kept = [

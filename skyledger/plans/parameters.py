@@ -13,3 +13,6 @@ DATES = (
     "1998-05-16", "1998-05-18", "1999-09-07", "1999-09-09",
 )
 TRIP_DATES = ("1996-01-24", "1997-04-03", "1998-05-16", "1999-09-07")
+# The month that is delivered again, without flights that depart before this time.
+CORRECTED_MONTH = (1996, 3)
+CORRECTED_BEFORE = 600

@@ -7,18 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.operators import filters, lookup, metrics
-from skyledger.plans.parameters import LOOKUP_AIRPORTS, LOOKUP_ROUTES, YEARS
+from skyledger.operators import filters, lookup, metrics, partials, ranking
+from skyledger.plans.parameters import (
+    CORRECTED_BEFORE, CORRECTED_MONTH, LOOKUP_AIRPORTS, LOOKUP_ROUTES, YEARS,
+)
 from skyledger.schema import (
     CARRIER_DELAY, CARRIER_PERFORMANCE, DESTINATION_DELAY, DESTINATION_PERFORMANCE, ROUTE_DELAY,
     ResultTable,
 )
 from skyledger.session import scratch_dir
-from skyledger.sources import tables, yearly
+from skyledger.sources import bucketed, tables, yearly
 from skyledger.sources.driver_tables import flights
 
 
-
 def _written(spark: SparkSession, label: str, write: Callable[[str], object]) -> str:
     """Path of a table that this call writes."""
     path = scratch_dir(spark, label)
@@ -71,7 +72,67 @@ def lookup_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.routes(rows, LOOKUP_ROUTES)
 
 
+#: The metrics that are also asked of partials.
+PARTIAL_REPORTS = (
+    "airport_counts", "carrier_mean_delay", "carrier_total_delay", "carrier_ontime_pct",
+    "airport_dest_ontime_pct", "airport_carrier_mean_delay", "route_mean_delay",
+)
+
+
+def _corrected(flown: DataFrame) -> DataFrame:
+    """A later delivery of one month, without its flights of the early morning."""
+    year, month = CORRECTED_MONTH
+    of_month = (F.year("flight_date") == year) & (F.month("flight_date") == month)
+    return flown.filter(of_month & (F.col("dep_time") >= CORRECTED_BEFORE))
+
+
+def _merged(name: str):
+    """A metric merged from the partials of all months, after one month was replaced."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        flown = filters.clean(flights(spark, sf_dir))
+        path = _written(spark, "partials", lambda path: partials.write_partials(flown, path))
+        partials.write_partials(_corrected(flown), path)
+        return partials.MERGED[name](partials.read_partials(spark, path))
+
+    return query
+
+
+def best_trips_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "legs")
+    name = "legs_" + path.rsplit("-", 1)[1]
+    bucketed.write_legs(filters.clean(flights(spark, sf_dir)), name, path)
+    return bucketed.best_trips(spark, name)
+
+
+def table_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A result table that held one metric, replaced as a whole by another."""
+    flown = filters.clean(flights(spark, sf_dir))
+    path = scratch_dir(spark, CARRIER_DELAY.name)
+    for metric in (metrics.airport_carrier_total_delay, metrics.airport_carrier_mean_delay):
+        tables.write_table(tables.as_table(metric(flown), CARRIER_DELAY), CARRIER_DELAY, path)
+    return tables.read_table(spark, CARRIER_DELAY, path)
+
+
+def ranked_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full ranking as delimited text, read back line by line."""
+    counts = metrics.airport_counts(filters.clean(flights(spark, sf_dir)))
+    rows = ranking.full_rank(counts, "flights", "airport")
+    path = _written(spark, "ranked", lambda path: tables.write_text(rows.select("rank", "airport", "flights"), path))
+    return spark.read.text(path)
+
+
+def lookup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The printed lines of looked-up routes."""
+    return lookup.report_lines(lookup_route(spark, sf_dir), ROUTE_DELAY)
+
+
 QUERIES = {
+    **{f"partials_{name}": _merged(name) for name in PARTIAL_REPORTS},
+    "best_trips_bucketed": best_trips_bucketed,
+    "table_reset": table_reset,
+    "ranked_text": ranked_text,
+    "lookup_lines": lookup_lines,
     "flights_by_year": flights_by_year,
     "flights_year_range": flights_year_range,
     **{name: _lookup(table, metric) for name, (table, metric) in _LOOKUPS.items()},

@@ -11,10 +11,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.operators.filters import clean
 from skyledger.session import scratch_dir
 from skyledger.sources import messages
 from skyledger.sources.driver_tables import flights, table
-from skyledger.streaming import running
+from skyledger.streaming import running, state
 from skyledger.streaming.sinks import BucketedTable
 from skyledger.streaming.trips import (
     heavy_keys, keep_all_trips, keep_best_trips, read_all_trips, read_best_trips,
@@ -93,7 +94,27 @@ def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _state_of(job: str, read):
+    """Running state read from the checkpoint after two runs of one stream."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        topic, checkpoint = scratch_dir(spark, "topic"), scratch_dir(spark, "checkpoint")
+        result, _ = running.TABLE_JOBS[job]
+        target = BucketedTable(spark, result, scratch_dir(spark, result.name))
+        early = F.col("dep_time") < 1200
+        sent = clean(flights(spark, sf_dir))
+        for part in (sent.filter(early), sent.filter(~early)):
+            messages.publish(messages.to_messages(part), "text", path=topic)
+            stream = messages.parse(messages.read_messages(spark, "text", path=topic))
+            running.keep_table(job, stream, target, checkpoint, trigger=running.AVAILABLE_NOW).awaitTermination()
+        return read(spark, checkpoint)
+
+    return query
+
+
 QUERIES = {
+    "stream_state_airports": _state_of("airports", state.airport_counts),
+    "stream_state_carriers": _state_of("carriers", state.carrier_ontime),
     "stream_top_airports": _top("top-airports"),
     "stream_top_carriers": _top("top-carriers"),
     "stream_airport_carrier": _table("airport-carrier"),
