@@ -44,7 +44,8 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    # ``local-cluster`` has executors of its own.
+    if not (spark.sparkContext.master + "[").startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_ROOTS:

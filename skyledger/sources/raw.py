@@ -16,8 +16,8 @@ FILE_PATTERN = "On_Time_On_Time_Performance_{year}_*.csv"
 
 
 FLAGS = ("Cancelled", "Diverted")
-#: Lines that are looked at to tell a wrong layout.
-LAYOUT_SAMPLE = 1000
+#: Files that an error names.
+NAMED_FILES = 20
 
 
 def raw_paths(root: str, years: Iterable[int]) -> list[str]:
@@ -33,8 +33,8 @@ def read_raw(
 
     With a header, the names come from the first file and every other file is checked against
     them, so a file with another column order fails instead of being misread.  Without one,
-    ``columns`` are the names by position, and files whose flag columns hold no flag in any of the
-    first lines are refused.
+    ``columns`` are the names by position, and a file is refused if its flag columns hold flags in
+    fewer than half of its lines.
     """
     if not header:
         return _without_header(spark, paths, columns)
@@ -54,15 +54,20 @@ def _without_header(
 ) -> DataFrame:
     schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
     rows = spark.read.schema(schema).option("escape", '"').csv(paths)
-    sample = rows.select(*FLAGS).limit(LAYOUT_SAMPLE)
-    seen, flagged = sample.agg(
-        F.count(F.lit(1)), F.count_if(_is_flag("Cancelled") & _is_flag("Diverted"))
-    ).first()
-    if seen and not flagged:
-        raise ValueError(f"no flags where {' and '.join(FLAGS)} should be: another column layout?")
+    wrong = misread_files(rows)
+    if wrong:
+        raise ValueError(f"no flags where {' and '.join(FLAGS)} should be: another column layout? {', '.join(wrong)}")
     return rows
 
 
+def misread_files(rows: DataFrame) -> list[str]:
+    """Files whose lines mostly hold no flags where flags should be: all lines of all files, in one aggregate."""
+    flagged = _is_flag("Cancelled") & _is_flag("Diverted")
+    by_file = rows.select(flagged.alias("flagged"), F.col("_metadata.file_path").alias("file")).groupBy("file")
+    seen = by_file.agg(F.count(F.lit(1)).alias("lines"), F.count_if("flagged").alias("good"))
+    return [r.file for r in seen.filter("2 * good < lines").orderBy("file").limit(NAMED_FILES).collect()]
+
+
 def _is_flag(name: str) -> Column:
     return F.coalesce(to_number(F.col(name), "double").isin(0.0, 1.0), F.lit(False))
 

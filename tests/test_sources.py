@@ -195,3 +195,36 @@ def test_headerless_files_of_another_layout_are_refused(spark, tmp_path):
         raw.read_flights(spark, path, header=False).collect()
     row = raw.read_flights(spark, path, header=False, columns=columns).first()
     assert (row.origin, row.dest, row.cancelled) == ("AUS", "JFK", 0.0)
+
+
+def test_shifted_file_among_good_ones_is_named(spark, tmp_path):
+    from skyledger.schema import RAW_COLUMNS
+    from skyledger.sources import raw
+
+    values = {"FlightDate": "2008-01-24", "UniqueCarrier": "AA", "Origin": "AUS", "Dest": "JFK", "DepTime": "0905", "Cancelled": "0.00", "Diverted": "0.00"}
+    good = ",".join(values.get(name, "") for name in RAW_COLUMNS)
+    (tmp_path / "a.csv").write_text((good + "\n") * 2000)
+    (tmp_path / "b.csv").write_text(("14986," + good + "\n") * 50)
+    # Odd lines at the head do not make a file bad.
+    (tmp_path / "c.csv").write_text("odd\n" * 1001 + (good + "\n") * 1500)
+    with pytest.raises(ValueError, match="layout.*/b.csv") as error:
+        raw.read_flights(spark, str(tmp_path), header=False)
+    assert "a.csv" not in str(error.value) and "c.csv" not in str(error.value)
+    kept = raw.read_flights(spark, [str(tmp_path / "a.csv"), str(tmp_path / "c.csv")], header=False)
+    assert kept.filter("cancelled = 0").count() == 3500
+
+
+def test_only_a_local_session_may_go_without_a_shared_folder():
+    from types import SimpleNamespace
+
+    from skyledger import session
+
+    def of(master):
+        context = SimpleNamespace(master=master, applicationId="app-" + master)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+
+    for master in ("local", "local[4]"):
+        assert session.shared_root(of(master))
+    for master in ("local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(RuntimeError):
+            session.shared_root(of(master))
