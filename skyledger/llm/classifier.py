@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import binaries, ids_of, ids_to_arrow, rowwise, saved
+from skyledger.llm.common import binaries, ids_of, rowwise, saved
 from skyledger.llm.words import Words, buffers, inside_windows, mixed, pieces, window_hashes, word_hashes, words_of
 
 BUCKETS = 1 << 14
@@ -54,7 +54,7 @@ def models(docs: DataFrame, good: DataFrame, id_col: str, text_col: str, max_lab
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, BUCKETS), dtype=np.int64)
         for b in batches:
-            chosen = np.isin(ids_of(b.column("doc_id")), known.value)
+            chosen = np.isin(ids_of(b.column("doc_id")), known.value) & b.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
             for i, words, ones, twos in _buckets(rowwise(b, "text")):
                 own = np.repeat(chosen[i : i + len(words.first) - 1], words.counts)
                 for places in (ones, twos):
@@ -110,7 +110,7 @@ def scores(docs: DataFrame, ratio: np.ndarray, seed: int, id_col: str, text_col:
                     weight[k] = gain[words.first[k] : words.first[k + 1]].sum()
                 own = ids[i : i + m]
                 score = weight + _noise(own, seed)
-                yield pa.record_batch([ids_to_arrow(own), pa.array(words.counts), pa.array(weight), pa.array(score), pa.array(_sortable(score))], names=["doc_id", "n_words", "log_weight", "score", "key"])
+                yield pa.record_batch([b.column("doc_id").slice(i, m), pa.array(words.counts), pa.array(weight), pa.array(score), pa.array(_sortable(score))], names=["doc_id", "n_words", "log_weight", "score", "key"])
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCORED)
 

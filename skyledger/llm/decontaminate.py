@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import ids_of, ids_to_arrow, saved
+from skyledger.llm.common import saved
 
 
 
@@ -156,9 +156,8 @@ def find_items(
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             known = Items(*sent.value)
             for b in batches:
-                ids, texts = ids_of(b.column("doc_id")), b.column("text")
-                rows = [(i, *hit) for i, text in zip(ids, texts, strict=True) for hit in known.matches(plain(text.as_py()))]
-                named = ids_to_arrow(np.array([r[0] for r in rows], dtype=np.int64))
+                rows = [(k, *hit) for k, text in enumerate(b.column("text")) for hit in known.matches(plain(text.as_py()))]
+                named = b.column("doc_id").take(pa.array([r[0] for r in rows], pa.int64()))
                 yield pa.record_batch([named, pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.int64())], names=["doc_id", "item_id", "errors", "ends_at"])
 
         passes.append(source.mapInArrow(run, RESULT))

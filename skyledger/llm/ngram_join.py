@@ -532,4 +532,9 @@ def keep_one(
     keyed = docs.withColumn(key, F.xxhash64(F.col(id_col).cast("bigint"), F.xxhash64(F.col(text_col))))
     clear, rest = split_by(keyed, key, decided.select("key"))
     kept = rest.join(decided.where("not stays").select(F.col("key").alias(key)), key, "left_anti")
-    return clear.select(*columns).unionByName(kept.dropDuplicates([key]).select(*columns))
+    # Only rows that repeat a deciding id and text are repeats; the bitmap lets others through, too.
+    again = fresh("again")
+    repeated = decided.where("stays").select(F.col("key").alias(key), F.lit(True).alias(again)).distinct()
+    marked = kept.join(repeated, key, "left")
+    once = marked.where(F.col(again)).dropDuplicates([key])
+    return clear.select(*columns).unionByName(marked.where(F.col(again).isNull()).select(*columns)).unionByName(once.select(*columns))

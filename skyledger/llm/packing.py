@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import NO_ID, ids_of, rowwise
+from skyledger.llm.common import rowwise
 from skyledger.llm.words import SPACE, buffers, pieces, span_hashes
 
 #: Fixed value: the pattern that belongs to the vocabulary.
@@ -204,15 +204,14 @@ def pack(
         held = 0
         for b in batches:
             raw, offsets = buffers(rowwise(b, "text"))
-            ids = ids_of(b.column("doc_id")).tolist()
+            ids = b.column("doc_id").to_pylist()
             for i, j in pieces(offsets):
                 tokens, bounds = encode(known, raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 tokens = tokens.astype(dtype)
                 for k in range(j - i):
                     if bounds[k + 1] > bounds[k]:
                         own = np.append(tokens[bounds[k] : bounds[k + 1]], dtype(end_of_text))
-                        name = None if ids[i + k] == NO_ID else ids[i + k]
-                        waiting.extend((name, at, own[at : at + room]) for at in range(0, len(own), room))
+                        waiting.extend((ids[i + k], at, own[at : at + room]) for at in range(0, len(own), room))
                         held += len(own)
                 if held >= pool:
                     out = _packed(waiting, room, pad, dtype, row_id)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import ids_of, ids_to_arrow, rowwise, runs
+from skyledger.llm.common import rowwise, runs
 from skyledger.llm.words import Words, buffers, pieces, span_hashes, word_hashes, words_of
 
 #: Bytes of text whose suffixes are sorted together.
@@ -183,7 +183,7 @@ def judge(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = ids_to_arrow(ids_of(b.column("doc_id")))
+            ids = b.column("doc_id")
             for i, j, m in _measured(b, limits):
                 yield pa.record_batch([ids.slice(i, j - i), *(pa.array(m[x]) for x in (*NAMES, "base_failed", "kept"))], names=["doc_id", *NAMES, "base_failed", "kept"])
 

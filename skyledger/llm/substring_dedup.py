@@ -10,7 +10,7 @@ The rest goes to ``buckets`` by hash range, packed as arrays: eight bytes for th
 one for the place.  A bucket sorts its hashes and returns the places that lose.  Only documents
 that lose words are then shuffled, with their places; a bitmap of fixed size tells which.
 
-Null or empty texts have no words and lose none.  A null id ranks after all ids, and rows that
+Null or empty texts have no words and lose none.  A null id ranks as 2**63 - 1, and rows that
 share an id never take words from each other.  Texts shorter than a window lose nothing.  Other
 columns are ignored.  Equal hashes of different windows (2**-64 a pair) are taken for equal.
 """
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import NO_ID, binaries, bitmap, ids_of, ids_to_arrow, in_bitmap, joined, partitions, rowwise, runs, saved
+from skyledger.llm.common import NO_ID, binaries, bitmap, ids_of, in_bitmap, joined, partitions, rowwise, runs, saved
 from skyledger.llm.words import buffers, give_back, inside_windows, mixed, pieces, window_hashes, word_hashes, words_of
 
 PACKED = "bucket int, ids binary, marks binary, counts binary, hashes binary, steps binary, jumps binary, lost binary"
@@ -33,6 +33,11 @@ PLACES = "doc_id bigint, mark int, places binary"
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, text string"
 
 
+def _home(ids: np.ndarray, marks: np.ndarray, homes: int) -> np.ndarray:
+    """Spread documents evenly: ids may have a common stride or be null."""
+    return (mixed(ids.view(np.uint64) ^ mixed(marks.astype(np.int64).view(np.uint64))) % np.uint64(homes)).astype(np.int64)
+
+
 def _packed_rows(ids, marks, raw, offsets, width: int, buckets: int) -> list[tuple]:
     words = words_of(raw, offsets)
     hashes = window_hashes(word_hashes(words), width)
@@ -53,8 +58,8 @@ def _packed_rows(ids, marks, raw, offsets, width: int, buckets: int) -> list[tup
     out = []
     bucket = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     for kind, keep in ((False, np.flatnonzero(~lost)), (True, np.flatnonzero(lost))):
-        # What was lost here needs no hash and may go anywhere: its document's id says where.
-        to = (ids[doc[keep]] % buckets if kind else bucket[keep]).astype(np.uint16 if buckets < 65536 else np.int64)
+        # What was lost here needs no hash and may go anywhere: its document says where.
+        to = (_home(ids[doc[keep]], marks[doc[keep]], buckets) if kind else bucket[keep]).astype(np.uint16 if buckets < 65536 else np.int64)
         keep = keep[np.argsort(to, kind="stable")]
         to = np.sort(to, kind="stable")
         cut = np.append(runs(to), len(to))
@@ -121,7 +126,7 @@ def _losers(table: pa.Table, homes: int) -> pa.Table:
             parts.append((ids, np.concatenate([x[1] for x in open_])[order], np.concatenate([x[3] for x in open_])[order]))
     ids, marks, places = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(3))
     ids, marks, places, first = _settled(ids, marks, places)
-    home = (mixed(ids[first].view(np.uint64)) % np.uint64(homes)).astype(np.int64)
+    home = _home(ids[first], marks[first], homes)
     chunks = np.split(places, first[1:]) if len(first) else []
     packs = []
     for k in np.unique(home):
@@ -138,7 +143,7 @@ def _by_document(table: pa.Table) -> pa.Table:
     marks = np.repeat(joined(table.column("marks"), "i4"), counts)
     ids, marks, places, first = _settled(ids, marks, joined(table.column("places"), "u4"))
     return pa.table({
-        "doc_id": ids_to_arrow(ids[first]), "mark": pa.array(marks[first], pa.int32()), "places": binaries(np.split(places, first[1:]) if len(first) else []),
+        "doc_id": pa.array(ids[first], pa.int64()), "mark": pa.array(marks[first], pa.int32()), "places": binaries(np.split(places, first[1:]) if len(first) else []),
     })
 
 
@@ -210,7 +215,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
                 yield pa.record_batch([b.column("doc_id").slice(i, j - i), pa.array(words.counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, SPANS), pa.array(texts, pa.string())], names=RESULT_NAMES)
 
     hit = source.mapInArrow(marked, source.schema).alias("d").join(
-        places.alias("p"), F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d.mark") == F.col("p.mark")), "left"
+        places.alias("p"), (F.coalesce("d.doc_id", F.lit(int(NO_ID))) == F.col("p.doc_id")) & (F.col("d.mark") == F.col("p.mark")), "left"
     ).select("d.doc_id", "d.text", "p.places")
     return source.mapInArrow(whole, RESULT).unionByName(hit.mapInArrow(cut, RESULT))
 

@@ -266,3 +266,25 @@ def test_lost_places_of_repeated_rows_are_listed_once(spark, monkeypatch):
     got = line_dedup.remove_lines(documents(spark, rows)).collect()
     assert sorted(r.n_removed for r in got) == [0] + [2] * 20
     assert [sorted(r.places) for r in kept["lost-lines"].collect()] == [[0, 1]]
+
+
+def test_keep_one_keeps_wordless_rows_even_if_every_bit_is_set(spark, monkeypatch):
+    import numpy as np
+
+    from skyledger.llm import common
+
+    rows = [(None, None), (None, None), (4, " "), (4, " "), (4, " "), (7, "a b c d e f"), (7, "a b c d e f"), (9, "a b c d e f")]
+    expected = [(4, " ")] * 3 + [(7, "a b c d e f")] + [(None, None)] * 2
+    for full in (False, True):
+        if full:
+            monkeypatch.setattr(common, "bitmap", lambda keys: np.full(common.BITMAP_BITS // 8, 255, np.uint8))
+        kept = ngram_join.keep_one(documents(spark, rows), 5, 80).collect()
+        assert sorted(((r.doc_id, r.text) for r in kept), key=str) == expected
+
+
+def test_substring_dedup_of_the_largest_id_and_of_ids_with_a_stride(spark):
+    top = 2**63 - 1
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(8 * k, text + f" end{k}") for k in range(12)] + [(top, text), (-5, text)]
+    got = {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(documents(spark, rows), width=50).collect()}
+    assert got == {**{8 * k: 60 for k in range(12)}, top: 60, -5: 0}

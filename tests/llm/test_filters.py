@@ -213,3 +213,17 @@ def test_rank_selection_is_exact(spark):
     for rank in (1, 2, 100, 104, len(values)):
         assert classifier.key_of_rank(keys, rank) == sorted(values, reverse=True)[rank - 1]
     assert classifier.key_of_rank(keys, len(values) + 1) is None
+
+
+def test_largest_id_is_no_null(spark):
+    from skyledger.llm import classifier, decontaminate, packing, quality_rules
+
+    top = 2**63 - 1
+    docs = documents(spark, [(top, "one two three four"), (None, "one two three four")])
+    both = {top, None}
+    assert {r.doc_id for r in quality_rules.judge(docs).collect()} == both
+    items = spark.createDataFrame([(1, "one two three four")], "item_id bigint, text string")
+    assert {r.doc_id for r in decontaminate.find_items(docs, items).collect()} == both
+    labels = spark.createDataFrame([(top, 1)], "doc_id bigint, quality int")
+    assert {r.doc_id for r in classifier.resample(docs, labels).collect()} == both
+    assert {d for r in packing.pack(docs, room=16).collect() for d in r.doc_ids} == both
