@@ -8,7 +8,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators.filters import clean
@@ -94,6 +94,31 @@ def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _damaged(value: Column) -> Column:
+    """Messages of some minutes of departure as a faulty feed would send them."""
+    minute = F.substring(F.split(value, ",")[6], 3, 2)
+    return (
+        F.when(minute == "07", F.concat(value, F.lit(",more")))
+        .when(minute == "13", F.regexp_replace(value, "^[^,]*", "x"))
+        .when(minute == "21", F.lit(""))
+        .when(minute == "34", F.regexp_replace(value, ",[^,]*,[^,]*$", ""))
+        .otherwise(value)
+    )
+
+
+def checked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines of a faulty feed are good, and why the others are rejected."""
+    topic, good, bad = (scratch_dir(spark, name) for name in ("topic", "good", "rejected"))
+    sent = messages.to_messages(flights(spark, sf_dir)).select(_damaged(F.col("value")).alias("value"))
+    messages.publish(sent, "text", path=topic)
+    running.keep_checked(
+        messages.read_messages(spark, "text", path=topic), good, bad, scratch_dir(spark, "checkpoint"),
+        trigger=running.AVAILABLE_NOW,
+    ).awaitTermination()
+    kept = spark.read.parquet(good).select(F.lit("good").alias("reason"))
+    return kept.unionByName(spark.read.parquet(bad).select("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def _state_of(job: str, read):
     """Running state read from the checkpoint after two runs of one stream."""
 
@@ -113,6 +138,7 @@ def _state_of(job: str, read):
 
 
 QUERIES = {
+    "stream_checked_lines": checked_lines,
     "stream_state_airports": _state_of("airports", state.airport_counts),
     "stream_state_carriers": _state_of("carriers", state.carrier_ontime),
     "stream_top_airports": _top("top-airports"),

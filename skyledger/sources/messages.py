@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField
 
+from skyledger.functions import to_number, to_time
 from skyledger.operators.filters import clean, message_value
 from skyledger.schema import FLIGHT14
 from skyledger.sources.extract import times_as_numbers
@@ -96,5 +98,44 @@ def parse(messages: DataFrame) -> DataFrame:
     return times_as_numbers(messages.select(record).select("flight.*"))
 
 
+def checked(messages: DataFrame) -> DataFrame:
+    """Messages with a ``reason`` why they are rejected, null for good ones; works on batches and streams.
+
+    A line that ends early is good.  A field that holds text which is no number or date, a line with more
+    fields than a message has, and an empty line are not.
+    """
+    names = [field.name for field in FLIGHT14]
+    texts = F.from_csv("value", ", ".join(f"{name} string" for name in (*names, REST)))
+    found = messages.select("value", texts.alias("text"))
+    wrong = [
+        F.when(_unreadable(F.col(f"text.{f.name}"), f), F.lit(f"unreadable {f.name}"))
+        for f in FLIGHT14
+        if f.name in TIMES or not isinstance(f.dataType, StringType)
+    ]
+    empty = F.when(F.trim("value") == "", F.lit("empty line"))
+    long = F.when(F.col(f"text.{REST}").isNotNull(), F.lit("too many fields"))
+    return found.select("value", F.coalesce(empty, long, *wrong).alias("reason"))
+
+
+REST = "rest"
+TIMES = ("dep_time", "arr_time")
+
+
+def _unreadable(text: Column, field: StructField) -> Column:
+    """Text that the parser would turn into null."""
+    read = to_time(text) if field.name in TIMES else to_number(text, field.dataType.simpleString())
+    return (F.trim(text) != "") & read.isNull()
+
+
+def good(lines: DataFrame) -> DataFrame:
+    """The flights of checked messages that are not rejected."""
+    return parse(lines.filter(F.col("reason").isNull()).select("value"))
+
+
+def rejected(lines: DataFrame) -> DataFrame:
+    """The rejected messages and why."""
+    return lines.filter(F.col("reason").isNotNull())
+
+
 def _ddl() -> str:
     return ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in FLIGHT14)

@@ -16,6 +16,7 @@ from skyledger.schema import (
     AIRPORT_COUNTS, CARRIER_ONTIME, CARRIER_PERFORMANCE, DESTINATION_PERFORMANCE, ROUTE_DELAY,
     ResultTable,
 )
+from skyledger.sources import messages
 from skyledger.sources.tables import as_table
 from skyledger.streaming.sinks import RESET, BatchFolders, BucketedTable, ranked_report
 
@@ -105,13 +106,38 @@ def show_top(
 
 
 def count_words_per_batch(
-    messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+    lines: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
     existing: str = RESET,
 ) -> StreamingQuery:
     """Word counts of every micro-batch by itself; no state is kept."""
     target = BatchFolders(path, lambda rows: metrics.word_counts(rows, "value"), existing)
     return (
-        messages.writeStream.foreachBatch(target.write)
+        lines.writeStream.foreachBatch(target.write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or RANKING_TRIGGER))
+        .start()
+    )
+
+
+def keep_checked(
+    lines: DataFrame, path: str, rejected_path: str, checkpoint: str, trigger: dict | None = None,
+    existing: str = RESET,
+) -> StreamingQuery:
+    """Flights of good messages to one folder, rejected messages with their reasons to another."""
+    good = BatchFolders(path, messages.good, existing)
+    rejected = BatchFolders(rejected_path, messages.rejected, existing)
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.persist()
+        try:
+            good.write(rows, batch_id)
+            rejected.write(rows, batch_id)
+        finally:
+            rows.unpersist()
+
+    return (
+        messages.checked(lines)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or RANKING_TRIGGER))
         .start()

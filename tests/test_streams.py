@@ -383,3 +383,23 @@ def test_feed_limit_splits_the_backlog_into_batches(spark, tmp_path, flight_rows
 def test_table_metric_has_the_result_columns(flight_rows):
     metric = metrics.airport_carrier_ontime(flight_rows({}))
     assert as_table(metric, CARRIER_PERFORMANCE).columns == CARRIER_PERFORMANCE.fields
+
+
+def test_good_and_rejected_lines_are_kept_apart(spark, tmp_path):
+    good = "4,2008-01-24,AA,1,AUS,JFK,0905,1.00,1.00,0.00,1005,1.00,1.00,0.00"
+    lines = {
+        good: None, good.replace("2008-01-24", "2008-13-24"): "unreadable flight_date", good.replace("0905", "late"): "unreadable dep_time",
+        good + ",1": "too many fields", "": "empty line", "  ": "empty line", good[:30]: None, good.replace("0905", ""): None,
+        good.replace("1.00,1.00,0.00,1005", "NA,1.00,0.00,1005"): "unreadable dep_delay",
+    }
+    rows = spark.createDataFrame([(x,) for x in lines], "value string")
+    checked = messages.checked(rows)
+    assert {r.value: r.reason for r in checked.collect()} == lines
+    assert messages.good(checked).count() + messages.rejected(checked).count() == len(lines)
+    rows.coalesce(1).write.text(str(tmp_path / "topic"))
+    running.keep_checked(
+        messages.read_messages(spark, "text", path=str(tmp_path / "topic")), str(tmp_path / "good"), str(tmp_path / "bad"),
+        str(tmp_path / "cp"), running.AVAILABLE_NOW,
+    ).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "good")).count() == 3
+    assert {r.value: r.reason for r in spark.read.parquet(str(tmp_path / "bad")).collect()} == {k: v for k, v in lines.items() if v}
