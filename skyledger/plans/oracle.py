@@ -280,6 +280,8 @@ _FLIGHT_QUERIES |= {
         FROM ({_FLIGHT_QUERIES["airport_popularity"]}) AS r""",
     "lookup_lines": f"""SELECT printf('%s - %s - %f', origin, destination, mean_delay) AS line
         FROM ({_FLIGHT_QUERIES["lookup_route"]}) AS r""",
+    "stream_progress": f"""SELECT count(*) AS lines, CAST(sum(strlen(value)) AS BIGINT) AS bytes, CAST(0 AS BIGINT) AS over_cap
+        FROM ({_MESSAGE}) AS m""",
     "stream_checked_lines": """SELECT CASE dep_time % 100 WHEN 7 THEN 'too many fields' WHEN 13 THEN 'unreadable day_of_week'
         WHEN 21 THEN 'empty line' ELSE 'good' END AS reason, count(*) AS lines FROM clean GROUP BY ALL""",
     "stream_state_airports": _FLIGHT_QUERIES["airport_counts"],

@@ -15,7 +15,7 @@ from skyledger.operators.filters import clean
 from skyledger.session import scratch_dir
 from skyledger.sources import messages
 from skyledger.sources.driver_tables import flights, table
-from skyledger.streaming import running, state
+from skyledger.streaming import progress, running, state
 from skyledger.streaming.sinks import BucketedTable
 from skyledger.streaming.trips import (
     heavy_keys, keep_all_trips, keep_best_trips, read_all_trips, read_best_trips,
@@ -119,6 +119,27 @@ def checked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.unionByName(spark.read.parquet(bad).select("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
 
 
+def feed_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and bytes that a capped feed reports by micro-batch, and how many batches went over the cap.
+
+    A batch takes whole files, so it may pass the cap by less than a file.
+    """
+    topic = scratch_dir(spark, "topic")
+    messages.publish(messages.to_messages(flights(spark, sf_dir)).repartition(6), "text", path=topic)
+    sizes = spark.read.text(topic).groupBy("_metadata.file_path").agg(F.sum(F.octet_length("value") + 1).alias("bytes"))
+    total, largest = sizes.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.max("bytes"), F.lit(0))).first()
+    cap = max(1, total // 4)
+    limit = messages.feed_limit("text", interval_seconds=1, per_second=cap)
+    lines = progress.observed(messages.read_messages(spark, "text", path=topic, **limit))
+    with progress.Progress(spark) as reports:
+        reports.drained(running.count_words_per_batch(
+            lines, scratch_dir(spark, "words"), scratch_dir(spark, "checkpoint"), trigger=running.AVAILABLE_NOW
+        ))
+        batches = reports.table()
+    over = F.col("bytes") > cap + largest
+    return batches.agg(F.sum("rows").alias("lines"), F.sum("bytes").alias("bytes"), F.count_if(over).alias("over_cap"))
+
+
 def _state_of(job: str, read):
     """Running state read from the checkpoint after two runs of one stream."""
 
@@ -138,6 +159,7 @@ def _state_of(job: str, read):
 
 
 QUERIES = {
+    "stream_progress": feed_progress,
     "stream_checked_lines": checked_lines,
     "stream_state_airports": _state_of("airports", state.airport_counts),
     "stream_state_carriers": _state_of("carriers", state.carrier_ontime),

@@ -7,7 +7,7 @@ from skyledger.schema import CARRIER_PERFORMANCE
 from skyledger.sources import messages
 from skyledger.sources.driver_tables import flights as driver_flights
 from skyledger.sources.tables import as_table
-from skyledger.streaming import running
+from skyledger.streaming import progress, running
 from skyledger.streaming.sinks import BucketedTable, OtherStream
 from skyledger.streaming.trips import (
     HeavyKey, all_trips_stream, heavy_keys, keep_all_trips, keep_best_trips, late_rows, read_all_trips,
@@ -403,3 +403,15 @@ def test_good_and_rejected_lines_are_kept_apart(spark, tmp_path):
     ).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "good")).count() == 3
     assert {r.value: r.reason for r in spark.read.parquet(str(tmp_path / "bad")).collect()} == {k: v for k, v in lines.items() if v}
+
+
+def test_progress_has_a_row_for_every_batch(spark, tmp_path, flight_rows):
+    path = str(tmp_path / "topic")
+    for n in (1, 2, 3):
+        messages.publish(messages.to_messages(flight_rows(*[{}] * n)).coalesce(1), "text", path=path)
+    lines = progress.observed(messages.read_messages(spark, "text", path=path, **ONE_FILE))
+    with progress.Progress(spark) as reports:
+        reports.drained(running.count_words_per_batch(lines, str(tmp_path / "words"), str(tmp_path / "cp"), running.AVAILABLE_NOW))
+        rows = sorted(reports.table().collect(), key=lambda r: r.batch_id)
+    size = len(messages.to_messages(flight_rows({})).first().value)
+    assert [(r.batch_id, r.rows, r.bytes) for r in rows] == [(0, 1, size), (1, 2, 2 * size), (2, 3, 3 * size)]
