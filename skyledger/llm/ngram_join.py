@@ -38,8 +38,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import as_batches, binaries, binary_table, bitmap, by_owner, components, fresh, home_of, in_bitmap, joined, partitions, ranges, rowwise, runs, saved, split_by
+from skyledger.llm.common import as_batches, binaries, binary_table, bitmap, by_owner, components, fresh, home_of, in_bitmap, joined, ranges, rowwise, runs, saved, split_by
 from skyledger.llm.grouped_links import LINKS, connected
+from skyledger.llm.volume import buckets_for
 from skyledger.llm.words import buffers, give_back, pieces, window_hashes, word_hashes, words_of
 
 #: The table of counts, whatever the input: 4 MB.
@@ -444,7 +445,7 @@ def _joined(source: DataFrame, n: int, percent: int, fold: bool, block: int, buc
     """Texts (doc_id, mark, size, class), and the component of every class that links to another."""
     spark = source.sparkSession
     alike = Similarity(percent)
-    buckets = buckets or partitions(spark)
+    buckets = buckets or buckets_for(source, "text")
     texts = saved(_set_rows(source, n, fold), "sets")
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -36,30 +36,29 @@ def difference(sizes: np.ndarray, bins: int) -> np.ndarray:
     n = len(sizes)
     if n == 0 or bins == 1:
         return np.zeros(n, dtype=np.int64)
-    # A partition holds its bins' sums, largest first, and for each bin one item that stands for it.
+    # A partition holds the sums of its filled bins, largest first, and for each one item that stands for it.
+    # All partitions together never hold more than ``n`` sums.
     parent = np.arange(n)
-    heap = []
-    for k in np.argsort(-sizes, kind="stable").tolist():
-        sums, stands = np.zeros(bins, dtype=np.int64), np.full(bins, -1, dtype=np.int64)
-        sums[0], stands[0] = sizes[k], k
-        heap.append((-int(sizes[k]), k, sums, stands))
+    heap = [(-int(sizes[k]), k, sizes[k : k + 1].astype(np.int64), np.array([k])) for k in np.argsort(-sizes, kind="stable").tolist()]
     heapq.heapify(heap)
     while len(heap) > 1:
         _, k, a, x = heapq.heappop(heap)
         _, _, b, y = heapq.heappop(heap)
-        sums, y = a + b[::-1], y[::-1]
-        both = (x >= 0) & (y >= 0)
-        parent[y[both]] = x[both]
-        stands = np.where(x >= 0, x, y)
+        # The largest of one meets the smallest of the other; empty bins are the smallest of all.
+        shared = max(0, len(a) + len(b) - bins)
+        i, j = len(a) - shared, len(b) - shared
+        parent[y[j:][::-1]] = x[i:]
+        sums = np.concatenate([a[:i], a[i:] + b[j:][::-1], b[:j][::-1]])
+        stands = np.concatenate([x, y[:j][::-1]])
         order = np.argsort(-sums, kind="stable")
         sums, stands = sums[order], stands[order]
-        heapq.heappush(heap, (int(sums[-1] - sums[0]), k, sums, stands))
+        least = int(sums[-1]) if len(sums) == bins else 0
+        heapq.heappush(heap, (least - int(sums[0]), k, sums, stands))
     while not np.array_equal(parent, parent[parent]):
         parent = parent[parent]
     place = np.zeros(n, dtype=np.int64)
     stands = heap[0][3]
-    used = stands >= 0
-    place[stands[used]] = np.flatnonzero(used)
+    place[stands] = np.arange(len(stands))
     return place[parent]
 
 

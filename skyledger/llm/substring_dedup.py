@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import NO_ID, binaries, bitmap, ids_of, in_bitmap, joined, partitions, rowwise, runs, saved
+from skyledger.llm.common import NO_ID, binaries, bitmap, ids_of, in_bitmap, joined, rowwise, runs, saved
+from skyledger.llm.volume import buckets_for
 from skyledger.llm.words import buffers, give_back, inside_windows, mixed, pieces, window_hashes, word_hashes, words_of
 
 PACKED = "bucket int, ids binary, marks binary, counts binary, hashes binary, steps binary, jumps binary, lost binary"
@@ -171,7 +172,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
     if width < 1:
         raise ValueError("width must be at least 1")
     spark = docs.sparkSession
-    buckets = buckets or partitions(spark)
+    buckets = buckets or buckets_for(docs, text_col)
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.hash(F.col(text_col)).alias("mark"), F.col(text_col).alias("text"))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -214,3 +214,32 @@ def test_matrix_of_packed_rows(spark, tmp_path):
     table = pq.read_table(tmp_path / "rows")
     ids = packing.matrix(table["ids"], 32)
     assert ids.shape == (table.num_rows, 32) and ids.dtype == np.uint16
+
+
+def test_differencing_of_many_bins_is_that_of_dense_partitions_and_stays_small():
+    import heapq
+    import tracemalloc
+
+    def dense(sizes, bins):
+        """Each partition with all of its bins, empty ones included."""
+        n = len(sizes)
+        parts = [(-int(sizes[k]), k, [(int(sizes[k]), [k])] + [(0, [])] * (bins - 1)) for k in range(n)]
+        heapq.heapify(parts)
+        while len(parts) > 1:
+            _, k, a = heapq.heappop(parts)
+            _, _, b = heapq.heappop(parts)
+            both = sorted(((x + y, p + q) for (x, p), (y, q) in zip(a, b[::-1], strict=True)), key=lambda r: -r[0])
+            heapq.heappush(parts, (both[-1][0] - both[0][0], k, both))
+        place = np.zeros(n, dtype=np.int64)
+        for at, (_, items) in enumerate(parts[0][2]):
+            place[items] = at
+        return place
+
+    rng = np.random.default_rng(7)
+    for n, bins in ((1, 5), (3, 5), (40, 7), (60, 60), (80, 2), (50, 90)):
+        sizes = rng.integers(16, 60, n)
+        assert np.array_equal(sharding.difference(sizes, bins), dense(sizes, bins)), (n, bins)
+    tracemalloc.start()
+    sharding.difference(rng.integers(16, 10_000, 20_000), 4000)
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()

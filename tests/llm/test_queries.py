@@ -62,16 +62,54 @@ def test_classifier_query(spark, sql, texts):
     assert sum(right) >= 0.9 * len(right)
 
 
-def test_mixing_query(spark, texts):
+def test_classifier_counts_are_recounted(spark, sql, texts):
+    """Counts of words and pairs, their ratios and sums, and the kept documents, in plain Python."""
+    import math
+
+    import numpy as np
+
+    from skyledger.llm import classifier
+    from skyledger.llm.words import buffers, window_hashes, word_hashes, words_of
+
+    good = {d for d, q in sql.execute("SELECT doc_id, quality FROM labels").fetchall() if q == 1}
+    share = sql.execute("SELECT avg((quality = 1)::INT) FROM labels").fetchone()[0]
+    shift = 64 - classifier.BUCKETS.bit_length() + 1
+    counts = [Counter(), Counter()]
+    features = {}
+    for d, t in texts.items():
+        hashes = word_hashes(words_of(*buffers(__import__("pyarrow").array([t]))), fold=True)
+        features[d] = [int(h) >> shift for h in hashes] + [int(window_hashes(hashes[k : k + 2], 2)[0]) >> shift for k in range(len(hashes) - 1)]
+        counts[0].update(features[d])
+        counts[1].update(features[d] if d in good else [])
+    totals = [sum(c.values()) + classifier.BUCKETS for c in counts]
+    weight = {d: sum(math.log((counts[1][f] + 1) / totals[1]) - math.log((counts[0][f] + 1) / totals[0]) for f in own) for d, own in features.items()}
+    noise = classifier._noise(np.array(list(texts), dtype=np.int64), 1)
+    score = {d: weight[d] + z for d, z in zip(texts, noise.tolist(), strict=True)}
+    want = int(share * len(texts) + 0.5)
+    kept = set(sorted((d for d, own in features.items() if own), key=lambda d: -score[d])[:want])
+    got = {r.doc_id: r for r in queries.QUERIES["op5_quality_classifier"](spark, SMALL).collect()}
+    assert all(abs(r.log_weight - weight[d]) < 1e-6 and abs(r.score - score[d]) < 1e-6 for d, r in got.items())
+    assert {d for d, r in got.items() if r.kept} == kept
+
+
+def test_mixing_query(spark, sql, texts):
     got = queries.QUERIES["op6_source_mixing"](spark, SMALL).collect()
     assert {r.doc_id: r["size"] for r in got} == {d: len(t.encode().split()) for d, t in texts.items()}
-    taken, wanted = Counter(), {}
+    taken = Counter()
     for r in got:
         taken[(r.target, r.source_size)] += r.taken
-        wanted.setdefault((r.target, r.source_size), []).append(r["size"])
         assert r.taken <= 2 * r["size"]
-    for (target, _), words in taken.items():
-        assert words % 1 == 0 and target > 0
+    sources = dict(sql.execute("SELECT doc_id, source FROM documents").fetchall())
+    by_source, size, most = Counter(), Counter(), Counter()
+    for r in got:
+        source = sources[r.doc_id]
+        by_source[source] += r.taken
+        size[source] += r["size"]
+        most[source] = max(most[source], r["size"])
+    target = {sources[r.doc_id]: r.target for r in got}
+    for source, words in by_source.items():
+        assert abs(words - target[source]) <= most[source] and target[source] <= 2 * size[source]
+    assert {sources[r.doc_id]: r.source_size for r in got} == size
     assert abs(sum(taken.values()) - 1.5 * sum(len(t.encode().split()) for t in texts.values())) < 0.01 * sum(taken.values())
 
 
