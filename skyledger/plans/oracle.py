@@ -278,6 +278,7 @@ _FLIGHT_QUERIES |= {
     "table_reset": _CARRIER_DELAY_TABLE,
     "ranked_text": f"""SELECT concat_ws(chr(9), CAST(rank AS VARCHAR), airport, CAST(flights AS VARCHAR)) AS value
         FROM ({_FLIGHT_QUERIES["airport_popularity"]}) AS r""",
+    "lookup_route_interleaved": _FLIGHT_QUERIES["lookup_route"],
     "lookup_lines": f"""SELECT printf('%s - %s - %f', origin, destination, mean_delay) AS line
         FROM ({_FLIGHT_QUERIES["lookup_route"]}) AS r""",
     "stream_progress": f"""SELECT count(*) AS lines, CAST(sum(strlen(value)) AS BIGINT) AS bytes, CAST(0 AS BIGINT) AS over_cap

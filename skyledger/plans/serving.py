@@ -122,6 +122,13 @@ def ranked_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def lookup_route_interleaved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same routes from a table whose row groups either code skips."""
+    rows = tables.as_table(metrics.route_mean_delay(filters.clean(flights(spark, sf_dir))), ROUTE_DELAY)
+    path = _written(spark, "route-pairs", lambda path: tables.write_pairs(rows, ROUTE_DELAY, path))
+    return lookup.routes(tables.read_table(spark, ROUTE_DELAY, path), LOOKUP_ROUTES)
+
+
 def lookup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The printed lines of looked-up routes."""
     return lookup.report_lines(lookup_route(spark, sf_dir), ROUTE_DELAY)
@@ -133,6 +140,7 @@ QUERIES = {
     "table_reset": table_reset,
     "ranked_text": ranked_text,
     "lookup_lines": lookup_lines,
+    "lookup_route_interleaved": lookup_route_interleaved,
     "flights_by_year": flights_by_year,
     "flights_year_range": flights_year_range,
     **{name: _lookup(table, metric) for name, (table, metric) in _LOOKUPS.items()},

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.schema import ResultTable
@@ -19,6 +21,39 @@ def write_table(rows: DataFrame, table: ResultTable, path: str) -> None:
     _writer(shaped.sortWithinPartitions(*table.partition_by, *table.key), table).parquet(path)
 
 
+#: Bits of each code's hash in the interleaved order.
+PAIR_BITS = 12
+
+
+def interleaved(first: str, second: str, bits: int = PAIR_BITS) -> Column:
+    """A number whose bits are taken in turn from the hashes of two columns."""
+    hashes = [F.xxhash64(name, F.lit(1)) for name in (first, second)]
+    parts = [
+        F.shiftleft(F.shiftright(h, bit).bitwiseAND(F.lit(1)), 2 * bit + k)
+        for k, h in enumerate(hashes)
+        for bit in range(bits)
+    ]
+    return reduce(Column.__add__, parts)
+
+
+def write_pairs(rows: DataFrame, table: ResultTable, path: str, row_group_bytes: int | None = None) -> None:
+    """Replace the content of a table with a key of two codes, so that either code skips row groups.
+
+    Rows lie in an order that interleaves both codes, so a row group holds few values of each; Bloom filters of
+    both columns then tell which row groups can hold a code.  Of n row groups a pair needs one or two,
+    and one code about the root of n.
+    """
+    first, second = table.key
+    ordered = rows.select(*table.fields, interleaved(first, second).alias("z"))
+    shaped = ordered.repartitionByRange("z").sortWithinPartitions("z").select(*table.fields)
+    writer = shaped.write.mode("overwrite")
+    for name in table.key:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", str(row_group_bytes))
+    writer.parquet(path)
+
+
 def read_table(spark: SparkSession, table: ResultTable, path: str) -> DataFrame:
     """The table under its declared schema, so codes such as ``"1"`` stay text."""
     return spark.read.schema(table.columns).parquet(path).select(*table.fields)

@@ -228,3 +228,32 @@ def test_only_a_local_session_may_go_without_a_shared_folder():
     for master in ("local-cluster[2,1,1024]", "yarn"):
         with pytest.raises(RuntimeError):
             session.shared_root(of(master))
+
+
+def _rows_scanned(frame):
+    """Rows that the scan handed on after it had skipped row groups."""
+    rows = frame.collect()
+    leaf = frame._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return rows, leaf.metrics().apply("numOutputRows").value()
+
+
+def test_either_code_of_a_pair_skips_row_groups(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from skyledger.operators import lookup
+    from skyledger.schema import ROUTE_DELAY
+    from skyledger.sources import tables
+
+    codes = spark.range(200).selectExpr("concat('A', lpad(id, 3, '0')) AS code")
+    routes = codes.withColumnRenamed("code", "origin").crossJoin(codes.withColumnRenamed("code", "destination"))
+    path = str(tmp_path / "routes")
+    tables.write_pairs(routes.selectExpr("*", "CAST(1 AS DOUBLE) AS mean_delay"), ROUTE_DELAY, path, row_group_bytes=4096)
+    groups = sum(pq.ParquetFile(f).metadata.num_row_groups for f in (tmp_path / "routes").glob("*.parquet"))
+    table = tables.read_table(spark, ROUTE_DELAY, path)
+    assert groups >= 100 and table.count() == 40_000
+    rows, scanned = _rows_scanned(lookup.routes(table, [("A017", "A111")]))
+    assert [(r.origin, r.destination) for r in rows] == [("A017", "A111")] and scanned <= 6 * 40_000 / groups
+    for code in ("origin", "destination"):
+        rows, scanned = _rows_scanned(table.filter(f"{code} = 'A017'"))
+        assert len(rows) == 200 and scanned <= 40_000 / 4
+    assert _rows_scanned(table.filter("origin = 'A0175'"))[1] <= 40_000 / 10
