@@ -34,7 +34,7 @@ def read_raw(
     With a header, the names come from the first file and every other file is checked against
     them, so a file with another column order fails instead of being misread.  Without one,
     ``columns`` are the names by position, and a file is refused if its flag columns hold flags in
-    fewer than half of its lines.
+    fewer than half of its lines, header lines left out.
     """
     if not header:
         return _without_header(spark, paths, columns)
@@ -61,21 +61,27 @@ def _without_header(
 
 
 def misread_files(rows: DataFrame) -> list[str]:
-    """Files whose lines mostly hold no flags where flags should be: all lines of all files, in one aggregate."""
+    """Files whose lines mostly hold no flags where flags should be: all lines of all files, in one aggregate.
+
+    Header lines where ``rows`` has their columns say nothing against a file; no flight is read from them.
+    """
     flagged = _is_flag("Cancelled") & _is_flag("Diverted")
-    by_file = rows.select(flagged.alias("flagged"), F.col("_metadata.file_path").alias("file")).groupBy("file")
+    by_file = rows.filter(~_is_header()).select(flagged.alias("flagged"), F.col("_metadata.file_path").alias("file")).groupBy("file")
     seen = by_file.agg(F.count(F.lit(1)).alias("lines"), F.count_if("flagged").alias("good"))
     return [r.file for r in seen.filter("2 * good < lines").orderBy("file").limit(NAMED_FILES).collect()]
 
 
+def _is_header() -> Column:
+    return F.coalesce(F.col("Year") == "Year", F.lit(False))
+
+
 def _is_flag(name: str) -> Column:
     return F.coalesce(to_number(F.col(name), "double").isin(0.0, 1.0), F.lit(False))
 
 
 def to_flights(raw: DataFrame) -> DataFrame:
     """Typed flights: empty and dirty fields become null, header rows inside files go."""
-    is_header = F.coalesce(F.col("Year") == "Year", F.lit(False))
-    return raw.filter(~is_header).select(
+    return raw.filter(~_is_header()).select(
         *[_typed(name, kind).alias(alias) for name, alias, kind in RAW_TO_FLIGHT]
     )
 

@@ -257,3 +257,31 @@ def test_either_code_of_a_pair_skips_row_groups(spark, tmp_path):
         rows, scanned = _rows_scanned(table.filter(f"{code} = 'A017'"))
         assert len(rows) == 200 and scanned <= 40_000 / 4
     assert _rows_scanned(table.filter("origin = 'A0175'"))[1] <= 40_000 / 10
+
+
+def test_odd_lines_lie_in_the_files_of_the_lines_they_stand_beside(spark, tmp_path, flight_rows):
+    from pyspark.sql import functions as F
+
+    from skyledger.plans import gaps
+
+    flights = flight_rows(*[{"flight_num": str(n)} for n in range(400)]).repartition(3)
+    path = str(tmp_path / "lines")
+    gaps._with_odd_lines(gaps._raw_line(flights)).write.text(path)
+    kinds = spark.read.text(path).select(
+        F.input_file_name().alias("file"), F.size(F.split("value", ",")).alias("fields"), F.col("value").startswith("Year,").alias("header")
+    )
+    by_file = kinds.groupBy("file").agg(
+        F.count_if("header").alias("headers"), F.count_if(F.col("fields") == 12).alias("short"), F.count(F.lit(1)).alias("lines")
+    ).collect()
+    assert sum(r.lines - r.headers - r.short for r in by_file) == 400 and sum(r.short for r in by_file) > 0
+    assert all(r.headers == r.short < r.lines / 2 for r in by_file)
+    assert raw.read_flights(spark, path, header=False).filter("cancelled = 0").count() == 400
+
+
+def test_file_of_header_lines_only_is_not_refused(spark, tmp_path):
+    from skyledger.schema import RAW_COLUMNS
+
+    (tmp_path / "a.csv").write_text((",".join(RAW_COLUMNS) + "\n") * 3)
+    assert raw.read_flights(spark, str(tmp_path / "a.csv"), header=False).count() == 0
+    _write(tmp_path / "b.csv", {}, header=False)
+    assert raw.read_flights(spark, str(tmp_path), header=False).count() == 1
