@@ -32,6 +32,10 @@ GAPS = {
 }
 
 
+#: Lines of a compressed raw file at most; a real month has half a million.
+LINES_PER_FILE = 500_000
+
+
 def with_gaps(rows: DataFrame) -> DataFrame:
     def gap(name: str):
         time, divisor, remainder = GAPS[name]
@@ -78,12 +82,14 @@ def headerless_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw files with a header each, read by name."""
+    """Raw files with a header each, compressed, read by name."""
     path = scratch_dir(spark, "raw")
     fields = {name: F.col(alias).cast("string").alias(name) for name, alias, _ in RAW_TO_FLIGHT}
     fields |= {"OriginCityName": F.lit('Sea "Port", X').alias("OriginCityName")}
     rows = flights(spark, sf_dir).select(*[fields.get(name, F.lit("").alias(name)) for name in RAW_COLUMNS])
-    rows.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    # A compressed file is read by one task, so its lines are limited.
+    files = rows.write.option("compression", "gzip").option("maxRecordsPerFile", LINES_PER_FILE)
+    files.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
     return filters.layout14(filters.clean(raw.read_flights(spark, path)))
 
 

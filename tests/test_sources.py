@@ -285,3 +285,27 @@ def test_file_of_header_lines_only_is_not_refused(spark, tmp_path):
     assert raw.read_flights(spark, str(tmp_path / "a.csv"), header=False).count() == 0
     _write(tmp_path / "b.csv", {}, header=False)
     assert raw.read_flights(spark, str(tmp_path), header=False).count() == 1
+
+
+def test_raw_round_trip_writes_compressed_files_of_few_lines(spark, tmp_path, flight_rows, monkeypatch):
+    import gzip
+
+    from skyledger.plans import gaps
+    from tests.conftest import SMALL
+
+    written = flight_rows(*[{"flight_num": str(n)} for n in range(250)]).coalesce(1)
+    monkeypatch.setattr(gaps, "flights", lambda spark, sf_dir: written)
+    monkeypatch.setattr(gaps, "scratch_dir", lambda spark, label: str(tmp_path / label))
+    monkeypatch.setattr(gaps, "LINES_PER_FILE", 100)
+    assert gaps.raw_round_trip(spark, SMALL).count() == 250
+    lines = [len(gzip.open(file).readlines()) for file in (tmp_path / "raw").glob("*.csv.gz")]
+    assert sorted(lines) == [51, 101, 101]  # each with its header
+
+
+def test_line_items_travel_without_the_columns_made_of_them(spark):
+    from skyledger.sources.driver_tables import flights
+    from tests.conftest import SMALL
+
+    plan = flights(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    joined = [line for line in plan.splitlines() if "Join" in line][0]
+    assert plan.index("dep_delay_minutes") < plan.index(joined) and "dep_delay_minutes" not in plan[plan.index(joined):]
