@@ -138,3 +138,12 @@ def test_trips_on_dates_are_the_trips_of_those_dates(flight_rows):
     every = trips.best_trips(flights).filter("date in ('2008-01-02', '2008-01-03')").collect()
     assert sorted(map(tuple, some)) == sorted(map(tuple, every))
     assert [(r.xydelay, r.yzdelay) for r in some] == sorted((r.xydelay, r.yzdelay) for r in some)
+
+
+def test_times_of_counted_legs_are_text_before_the_join(flight_rows):
+    flights = flight_rows({"dep_time": 5}, {"origin": "BBB", "dest": "CCC", "flight_date": dt.date(2008, 1, 26), "dep_time": 1505, "arr_time": None})
+    found = trips.all_trips(flights)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "lpad" not in plan[: plan.index("Join")] and "lpad" in plan
+    row = found.first()
+    assert (row.xydeptime, row.xyarrtime, row.yzdeptime, row.yzarrtime, row.copies) == ("0005", "1000", "1505", None, 1)
