@@ -429,3 +429,17 @@ def test_files_of_the_capped_feed_hold_few_lines_each(spark, monkeypatch):
     files = spark.read.text(published[0]).groupBy("_metadata.file_path").count().collect()
     assert len(files) >= row.lines / 500 > 6 and max(r["count"] for r in files) <= 600
     assert sum(r["count"] for r in files) == row.lines and row.over_cap == 0
+
+
+def test_conditions_on_a_message_do_not_parse_it_again(spark, flight_rows):
+    from skyledger.operators import trips
+    from skyledger.sources import messages
+
+    lines = messages.to_messages(flight_rows({"dep_time": 905}, {"dep_time": 1505})).unionByName(
+        spark.createDataFrame([(None,), ("4,2008-01-24,AA",)], "value string")
+    )
+    parsed = messages.parse(lines)
+    assert sorted(str(r.dep_time) for r in parsed.collect()) == ["1505", "905", "None", "None"]
+    best = trips.best_trips(parsed)
+    assert trips.first_legs(parsed).count() == 1 and best.count() == 0
+    assert trips.first_legs(parsed)._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
