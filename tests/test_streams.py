@@ -92,6 +92,51 @@ def test_ranking_in_memory_and_as_report(spark, tmp_path, parts, topic):
     assert lines == [f"{r.airport}\t{r.flights}" for r in order]
 
 
+@pytest.mark.parametrize("max_disorder", [None, "4000 days"])
+@pytest.mark.parametrize("most", [10_000, 3])
+def test_bundled_trips_equal_batch_after_restart(spark, tmp_path, parts, topic, monkeypatch, most, max_disorder):
+    monkeypatch.setattr("skyledger.streaming.trips.BUNDLE", most)
+    flights, some = parts
+    path = str(tmp_path / "trips")
+    met = trips.all_trips(flights).select("yzdate", "stopby").distinct().limit(6).collect()
+    heavy = [HeavyKey(r.yzdate, r.stopby, 3, bool(k % 2)) for k, r in enumerate(met)]
+
+    def drain(stream, heavy):
+        keep_all_trips(
+            stream, path, str(tmp_path / "cp"), running.AVAILABLE_NOW, heavy, max_disorder, bundled=True,
+        ).awaitTermination()
+
+    drain(topic(some[0], some[1], some[0]), heavy)
+    drain(topic(some[2], some[3]), [])
+    every = flights.drop("part").unionByName(some[0])
+    assert _rows(read_all_trips(spark, path, bundled=True)) == _rows(trips.all_trips(every))
+
+
+def test_sink_of_all_trips_grows_with_legs(spark, tmp_path, flight_rows, topic):
+    import datetime as dt
+
+    rows = [{"origin": f"A{k}", "dest": "HUB", "dep_time": 900, "arr_delay_minutes": -0.0 if k % 2 else 0.0} for k in (*range(40), 0, 1)]
+    rows += [{"origin": "HUB", "dest": f"C{k}", "dep_time": 1500, "flight_date": dt.date(2008, 1, 26)} for k in (*range(50), 0)]
+    flights, path = flight_rows(*rows), str(tmp_path / "trips")
+    query = keep_all_trips(topic(flights), path, str(tmp_path / "cp"), running.AVAILABLE_NOW, bundled=True)
+    query.awaitTermination()
+    assert spark.read.option("recursiveFileLookup", True).parquet(path).count() == 1 and state_rows(query) == 2
+    found = read_all_trips(spark, path, bundled=True)
+    assert _rows(found) == _rows(trips.all_trips(flights)) and found.count() == 40 * 50
+    assert found.agg({"copies": "sum"}).first()[0] == 42 * 51
+
+
+def test_named_all_trips_writes_meetings_not_trips(spark, monkeypatch):
+    from skyledger.plans import streams
+
+    paths = []
+    scratch = streams.scratch_dir
+    monkeypatch.setattr(streams, "scratch_dir", lambda spark, label: paths.append((label, scratch(spark, label))) or paths[-1][1])
+    found = streams.all_trips(spark, SMALL)
+    sink = spark.read.option("recursiveFileLookup", True).parquet(dict(paths)["all-trips"])
+    assert sink.count() == found.select("yzdate", "stopby").distinct().count() < found.count()
+
+
 @pytest.mark.parametrize("max_disorder", [None, "4000 days"])
 def test_all_trips_equal_batch_after_restart(spark, tmp_path, parts, topic, max_disorder):
     flights, some = parts
