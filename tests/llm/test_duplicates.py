@@ -288,3 +288,29 @@ def test_substring_dedup_of_the_largest_id_and_of_ids_with_a_stride(spark):
     rows = [(8 * k, text + f" end{k}") for k in range(12)] + [(top, text), (-5, text)]
     got = {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(documents(spark, rows), width=50).collect()}
     assert got == {**{8 * k: 60 for k in range(12)}, top: 60, -5: 0}
+
+
+def test_shared_runs_count_copies_once_whatever_the_slices(monkeypatch):
+    import numpy as np
+
+    from skyledger.llm import line_dedup
+    from skyledger.llm.common import binary_table
+
+    near = "".join(chr(97 + k * k % 26) for k in range(200))
+    far = "".join(chr(110 + k * k % 13) for k in range(150)) + near[-50:]
+    lines = [near] * 300 + [near[:90] + "z" + near[91:], far]
+    text = np.frombuffer("".join(lines).encode("utf-32-le"), dtype=np.uint32)
+    bounds = np.arange(0, 200 * len(lines) + 1, 200)
+    names = np.array([1] * 300 + [2, 3], dtype=np.int64)
+    of, signs = line_dedup._least_hashes(text, bounds, line_dedup.Budget())
+    bins = line_dedup._bins(text, bounds)
+    count = np.bincount(of, minlength=len(lines)).astype(np.uint32)
+    low = (signs & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    table = binary_table([(0, names, count, low, np.full(len(lines), 200, np.uint32), bins)], line_dedup.RUNS)
+    for entries in (None, 100):
+        if entries:
+            monkeypatch.setattr(line_dedup, "SLICE", entries)
+        found = line_dedup._near(line_dedup.Budget())(table)
+        assert list(zip(found["a"].to_pylist(), found["b"].to_pylist(), strict=True)) == [(2, 1)]
+    some, other = np.arange(32, dtype=np.uint8).reshape(2, 16) * 8, np.full((2, 16), 255, np.uint8)
+    assert line_dedup._apart(some, other).tolist() == np.abs(some.astype(int) - other).sum(axis=1).tolist()
