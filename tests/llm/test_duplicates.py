@@ -314,3 +314,47 @@ def test_shared_runs_count_copies_once_whatever_the_slices(monkeypatch):
         assert list(zip(found["a"].to_pylist(), found["b"].to_pylist(), strict=True)) == [(2, 1)]
     some, other = np.arange(32, dtype=np.uint8).reshape(2, 16) * 8, np.full((2, 16), 255, np.uint8)
     assert line_dedup._apart(some, other).tolist() == np.abs(some.astype(int) - other).sum(axis=1).tolist()
+
+
+def test_pairs_compared_at_once_are_within_as_one_by_one():
+    import numpy as np
+
+    rng = random.Random(12)
+    for _ in range(20):
+        pairs = []
+        while len(pairs) < 30:
+            a = "".join(rng.choice("abcé") for _ in range(rng.randrange(20, 120)))
+            a, b = sorted((a, changed(rng, a, rng.randrange(30))), key=len)
+            most = rng.randrange(14)
+            if len(b) - len(a) <= most:
+                pairs.append((a, b, most))
+        words, bounds = line_dedup.low_bytes([x for a, b, _ in pairs for x in (a, b)])
+        first = np.arange(len(pairs)) * 2
+        got = line_dedup.perhaps_within(words, bounds, first, first + 1, np.array([most for *_, most in pairs]))
+        assert got.tolist() == [line_dedup.within(a, b, most) for a, b, most in pairs]
+
+
+def test_lines_that_share_runs_in_a_row_meet_at_the_first_only():
+    import numpy as np
+
+    from skyledger.llm.common import binary_table, by_owner
+
+    rng = random.Random(13)
+    near = "".join(rng.choice("abcdefgh ") for _ in range(400))
+    lines = [near, near[:200] + "z" + near[201:], near[:50] + "z" + near[50:]]
+    chars = np.frombuffer("".join(lines).encode("utf-32-le"), dtype=np.uint32)
+    bounds = np.concatenate(([0], np.cumsum([len(x) for x in lines])))
+    names = np.arange(1, 4, dtype=np.int64)
+    budget = line_dedup.Budget()
+    buckets = 16
+    signed = line_dedup._runs_signed(names, chars, bounds, budget, buckets)
+    near_of = line_dedup._near(budget)
+    found = [near_of(signed.filter(np.asarray(signed.column("bucket")) == k)) for k in sorted(set(signed.column("bucket").to_pylist()))]
+    ties = [t for f in found for t in zip(f["a"].to_pylist(), f["b"].to_pylist(), strict=True)]
+    # Without the signs before, every bucket ties them again.
+    line, signs = line_dedup._least_hashes(chars, bounds, budget)
+    packs = by_owner(line_dedup.ranges(line_dedup.mixed(signs), buckets), line, (signs & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+    bins, size = line_dedup._bins(chars, bounds), np.diff(bounds).astype(np.uint32)
+    plain = [near_of(binary_table([(key, names[own], count, low, size[own], bins[own])], line_dedup.RUNS)) for key, own, count, low in packs]
+    assert {x for t in ties for x in t} == {1, 2, 3}
+    assert len(ties) <= 6 < sum(f.num_rows for f in plain)
