@@ -358,3 +358,44 @@ def test_lines_that_share_runs_in_a_row_meet_at_the_first_only():
     plain = [near_of(binary_table([(key, names[own], count, low, size[own], bins[own])], line_dedup.RUNS)) for key, own, count, low in packs]
     assert {x for t in ties for x in t} == {1, 2, 3}
     assert len(ties) <= 6 < sum(f.num_rows for f in plain)
+
+
+def test_bytes_sent_for_long_lines_do_not_grow_with_the_buckets():
+    import numpy as np
+
+    rng = random.Random(14)
+    lines = ["".join(rng.choice("abcdefghijklmnop ") for _ in range(rng.randrange(120, 900))) for _ in range(120)]
+    chars = np.frombuffer("".join(lines).encode("utf-32-le"), dtype=np.uint32)
+    bounds = np.concatenate(([0], np.cumsum([len(x) for x in lines])))
+    sent = []
+    for buckets in (12, 3000):
+        table = line_dedup._runs_signed(np.arange(len(lines)), chars, bounds, line_dedup.Budget(), buckets)
+        sent.append(sum(len(x) for c in table.column_names[1:] for x in table.column(c).to_pylist()))
+    assert sent[0] == sent[1] < 2 * len(chars)
+
+
+def test_lines_at_the_edge_of_their_budget_meet():
+    import numpy as np
+
+    rng = random.Random(15)
+    budget = line_dedup.Budget()
+    near_of, pairs = line_dedup._near(budget), 0
+    for n in (120, 121, 159, 160, 199, 240, 399, 441, 799, 801, 1600, 2601):
+        for kind in ("change", "insert", "remove"):
+            a = [chr(97 + rng.randrange(20)) for _ in range(n)]
+            b, most = list(a), int(budget.edits(n))
+            # As evenly as possible, so that no stretch between two edits is longer than it must be.
+            for k in range(most, 0, -1):
+                at = min(n - 1, k * n // (most + 1) + rng.randrange(2))
+                b[at : at + (kind != "insert")] = [] if kind == "remove" else ["é"]
+            short, long = sorted(("".join(a), "".join(b)), key=len)
+            if not line_dedup.within(short, long, int(budget.edits(len(short)))):
+                continue
+            pairs += 1
+            chars = np.frombuffer((short + long).encode("utf-32-le"), dtype=np.uint32)
+            bounds = np.array([0, len(short), len(short) + len(long)])
+            signed = line_dedup._runs_signed(np.array([3, (1 << 40) - 2]), chars, bounds, budget, 7)
+            found = [near_of(signed.filter(np.asarray(signed.column("bucket")) == k)) for k in set(signed.column("bucket").to_pylist())]
+            ties = {t for f in found for t in zip(f["a"].to_pylist(), f["b"].to_pylist(), strict=True)}
+            assert ties == ({((1 << 40) - 2, 3)}), (n, kind)
+    assert pairs > 24
