@@ -147,3 +147,14 @@ def test_times_of_counted_legs_are_text_before_the_join(flight_rows):
     assert "lpad" not in plan[: plan.index("Join")] and "lpad" in plan
     row = found.first()
     assert (row.xydeptime, row.xyarrtime, row.yzdeptime, row.yzarrtime, row.copies) == ("0005", "1000", "1505", None, 1)
+
+
+def test_first_legs_meet_bundles_of_second_legs(flight_rows):
+    """The join makes a row for each bundle that a leg meets; trips are made by a loop over the bundle."""
+    day, later = dt.date(2008, 1, 1), dt.date(2008, 1, 3)
+    first = [_leg("X", "Y", day, 900, float(k), str(k)) for k in range(30)]
+    second = [_leg("Y", "Z", later, 1500, float(k), str(k)) for k in range(100)]
+    found = trips.all_trips(flight_rows(*first, *second, *second[:7]))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate inline(bundle") < plan.index("Join Inner")
+    assert found.count() == 3000 and found.filter("copies = 2").count() == 30 * 7
