@@ -488,3 +488,11 @@ def test_conditions_on_a_message_do_not_parse_it_again(spark, flight_rows):
     best = trips.best_trips(parsed)
     assert trips.first_legs(parsed).count() == 1 and best.count() == 0
     assert trips.first_legs(parsed)._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
+
+
+def test_conditions_on_times_do_not_read_their_text_again(spark):
+    line = "4,2008-01-24,AA,1,X,Y,0900,1.00,1.00,0.00,1000,2.00,2.00,0.00"
+    found = trips.first_legs(messages.parse(spark.createDataFrame([(line,), ("",), (None,)], "value string")))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in plan and "cast" not in plan[: plan.index("Generate inline")]
+    assert [(r.origin, r.dep_time, r.arr_time) for r in found.collect()] == [("X", 900, 1000)]
